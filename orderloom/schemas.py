@@ -2,11 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    BooleanType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
+
+_TYPES = {
+    "string": StringType(),
+    "bigint": LongType(),
+    "int": IntegerType(),
+    "double": DoubleType(),
+    "boolean": BooleanType(),
+    "date": DateType(),
+    "timestamp_ntz": TimestampNTZType(),
+    "decimal(18,2)": DecimalType(18, 2),
+    "decimal(9,6)": DecimalType(9, 6),
+    "decimal(18,6)": DecimalType(18, 6),
+}
 
 
 def _schema(ddl: str) -> StructType:
-    return StructType.fromDDL(ddl)
+    """``"name type, name type"`` as a schema; needs no running session."""
+    pairs = (column.split(" ") for column in ddl.split(", "))
+    return StructType([StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 # Raw files, in load order. Timestamps stay text until the silver layer.

@@ -30,17 +30,21 @@ ORDER_ITEMS_PATTERN = "*order_items_dataset.csv*"
 CUSTOMERS_PATTERN = "*customers_dataset.csv*"
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Columns are taken by position with a fixed schema, never inferred."""
-    df = spark.read.schema(schema).options(**DIALECT).csv(path)
+def clean_text(df: DataFrame) -> DataFrame:
+    """Text trimmed, blank text NULL; the reader leaves blanks inside quotes alone."""
     return df.select(
         *[
             blank_to_null(F.col(f.name)).alias(f.name) if isinstance(f.dataType, StringType) else F.col(f.name)
-            for f in schema.fields
+            for f in df.schema.fields
         ]
     )
 
 
+def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Columns are taken by position with a fixed schema, never inferred."""
+    return clean_text(spark.read.schema(schema).options(**DIALECT).csv(path))
+
+
 def stamp_ingested(df: DataFrame, run_ts: datetime | None = None) -> DataFrame:
     now = F.lit(run_ts) if run_ts else F.current_timestamp()
     return df.withColumn("ingested_at", now.cast("timestamp_ntz"))

@@ -429,4 +429,46 @@ SELECT model_name, round(CAST(0.5 AS DOUBLE) * avg(CASE WHEN split_name LIKE 'cv
   + CAST(0.4 AS DOUBLE) * max(CASE WHEN split_name = 'holdout' AND metric_name = 'lift_at_k' THEN metric_value END)
   + CAST(0.1 AS DOUBLE) * max(CASE WHEN split_name = 'holdout' AND metric_name = 'auc' THEN metric_value END), 6) AS selection_score
 FROM long GROUP BY 1""",
+    "baseline_report": _EV_ALL + ", in_rows AS (SELECT 1 AS g, customer_id AS k1, 0 AS k2, y, score FROM scored)," + _METRICS_BY + f"""
+SELECT 'churn_baseline' AS model_name, 'v1' AS model_version, {_RUN} AS run_ts, CAST(NULL AS VARCHAR) AS split_name,
+  CAST(NULL AS DATE) AS snapshot_start, CAST(NULL AS DATE) AS snapshot_end, cutoff AS train_cutoff, cutoff AS test_start,
+  (SELECT max(order_date) FROM person_orders) AS test_end, m.metric_name, round(m.metric_value, 6) AS metric_value,
+  'window_days=90, top_k_fraction=0.1' AS notes
+FROM (SELECT unnest([
+    {{'metric_name': 'auc', 'metric_value': auc}}, {{'metric_name': 'pr_auc', 'metric_value': pr_auc}},
+    {{'metric_name': 'precision_at_k', 'metric_value': top_rate}}, {{'metric_name': 'lift_at_k', 'metric_value': top_rate / (p / n)}},
+    {{'metric_name': 'sample_size', 'metric_value': n}}, {{'metric_name': 'churn_rate', 'metric_value': p / n}}]) AS m FROM metrics), cut""",
+    "load_orders_csv": _with(_ORDERS) + f"""
+SELECT order_id, customer_id, order_status, CAST(order_purchase_ts AS VARCHAR) AS order_purchase_timestamp,
+  CAST(order_approved_ts AS VARCHAR) AS order_approved_at, CAST(order_delivered_carrier_ts AS VARCHAR) AS order_delivered_carrier_date,
+  CAST(order_delivered_customer_ts AS VARCHAR) AS order_delivered_customer_date,
+  CAST(order_estimated_delivery_ts AS VARCHAR) AS order_estimated_delivery_date, {_RUN} AS ingested_at FROM orders_s""",
+    "load_items_csv": _with(_ITEMS) + f"""
+SELECT order_id, order_item_id, product_id, seller_id, CAST(shipping_limit_ts AS VARCHAR) AS shipping_limit_date, price, freight_value,
+  {_RUN} AS ingested_at FROM items_s""",
+    "load_customers_csv": _with(_CUSTOMERS) + f" SELECT *, {_RUN} AS ingested_at FROM customers_s",
+    "raw_items_as_text": _with(_ITEMS) + """
+SELECT order_id, CAST(order_item_id AS VARCHAR) AS order_item_id, product_id, seller_id,
+  CAST(shipping_limit_ts AS VARCHAR) AS shipping_limit_date, CAST(price AS VARCHAR) AS price, CAST(freight_value AS VARCHAR) AS freight_value
+FROM items_s""",
+    "table_refresh": _RFM_ALL + " SELECT * REPLACE (CAST(monetary * 2 AS DECIMAL(18,2)) AS monetary) FROM rfm",
+    "table_append": _DAILY_ALL + """
+SELECT * FROM daily UNION ALL
+SELECT DISTINCT CAST(order_purchase_ts AS DATE), CAST(NULL AS DECIMAL(18,2)), CAST(0 AS BIGINT) FROM orders_s
+WHERE CAST(order_purchase_ts AS DATE) NOT IN (SELECT order_date FROM daily)""",
+    "table_evolve": _with(_CUSTOMERS)
+    + _upsert(
+        """SELECT * REPLACE (CAST(NULL AS VARCHAR) AS customer_unique_id, CAST(NULL AS VARCHAR) AS customer_zip_code_prefix)
+           FROM customers_s WHERE customer_state <> 'ASIA'""",
+        "SELECT * FROM customers_s WHERE customer_state <> 'EUROPE'",
+        ["customer_id"],
+        _CUSTOMER_VALUES,
+        False,
+    ),
+    "merge_arriving_orders": _with(_ORDERS) + f" SELECT *, {_RUN} AS updated_at FROM orders_s",
 }
+
+# The SQL views say the same as the operators of the model variant.
+ORACLES["view_monthly"] = ORACLES["kpi_monthly_model"]
+ORACLES["view_daily"] = ORACLES["kpi_daily_model"]
+ORACLES["view_rfm"] = ORACLES["kpi_rfm_model"]

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from orderloom.config import RunConfig
 from orderloom.functions.scalar import MONEY
 from orderloom.operators import (
     evaluation,
@@ -15,14 +17,21 @@ from orderloom.operators import (
     model,
     noise,
     quality,
+    registry,
     sales,
     scoring,
     series,
     silver,
     snapshots,
+    training,
 )
-from orderloom.sources import testtables as src
-from orderloom.sources.staging import stage
+from orderloom.plans import training as training_plan
+from orderloom.plans.views import create_gold_views
+from orderloom.schemas import TABLES
+from orderloom.sources import raw_csv, testtables as src
+from orderloom.sources.staging import fresh_path, stage
+from orderloom.sources.tables import LayerTables
+from orderloom.streaming import incremental
 
 RUN_TS = datetime(2024, 1, 1)
 OLD_TS = datetime(2001, 9, 1)
@@ -388,6 +397,173 @@ def selection_score(spark, sf):
     return _rounded(evaluation.selection_scores(stage(_candidate_metrics(spark, sf), "metrics")), "selection_score")
 
 
+# --- raw files: the tables written as CSV, then loaded by position -----------------------
+
+
+def _raw_folder(spark: SparkSession, name: str, df: DataFrame, compression: str) -> str:
+    folder = fresh_path(spark, "raw")
+    df.write.option("header", True).option("compression", compression).csv(f"{folder}/{name}_dataset.csv")
+    return folder
+
+
+def load_orders_csv(spark, sf):
+    folder = _raw_folder(spark, "orders", src.bronze_orders(spark, sf), "gzip")
+    return raw_csv.load_orders(spark, folder, run_ts=RUN_TS)
+
+
+def load_items_csv(spark, sf):
+    folder = _raw_folder(spark, "order_items", src.bronze_order_items(spark, sf), "gzip")
+    return raw_csv.load_order_items(spark, folder, run_ts=RUN_TS)
+
+
+def load_customers_csv(spark, sf):
+    folder = _raw_folder(spark, "customers", src.bronze_customers(spark, sf), "none")
+    return raw_csv.load_customers(spark, folder, run_ts=RUN_TS)
+
+
+def raw_items_as_text(spark, sf):
+    return raw_csv.as_text(src.bronze_order_items(spark, sf))
+
+
+# --- tables: written through the catalog, then read back --------------------------------
+
+
+def _tables(spark: SparkSession) -> LayerTables:
+    tables = LayerTables(spark, fresh_path(spark, "tables"), prefix=f"t{uuid.uuid4().hex[:12]}_")
+    tables.create_layers()
+    return tables
+
+
+def _model_tables(spark: SparkSession, sf: str) -> LayerTables:
+    tables = _tables(spark)
+    fact, lines = _facts(spark, sf)
+    tables.replace("model.fact_orders", fact)
+    tables.replace("model.fact_order_items", lines)
+    tables.replace("model.dim_date", model.dim_date(src.silver_orders(spark, sf)))
+    create_gold_views(tables)
+    return tables
+
+
+def view_monthly(spark, sf):
+    return _model_tables(spark, sf).read("gold.v_kpi_monthly_revenue")
+
+
+def view_daily(spark, sf):
+    return _model_tables(spark, sf).read("gold.v_kpi_daily_revenue")
+
+
+def view_rfm(spark, sf):
+    return _model_tables(spark, sf).read("gold.v_kpi_customer_rfm")
+
+
+def table_refresh(spark, sf):
+    """A table rebuilt from itself: every person's money is doubled in place."""
+    tables = _tables(spark)
+    tables.replace("gold.kpi_customer_rfm", kpi.customer_rfm_tx(_tx(spark, sf)))
+    before = tables.read("gold.kpi_customer_rfm")
+    tables.replace("gold.kpi_customer_rfm", before.withColumn("monetary", F.col("monetary") * 2))
+    return tables.read("gold.kpi_customer_rfm")
+
+
+def table_append(spark, sf):
+    """Days without delivered orders are appended to the days with some; nothing is appended last."""
+    tables = _tables(spark)
+    daily = kpi.daily_revenue_tx(_tx(spark, sf))
+    other = src.silver_orders(spark, sf).select(F.to_date("order_purchase_ts").alias("order_date")).distinct()
+    tables.append("gold.kpi_daily_revenue", daily)
+    known = tables.read("gold.kpi_daily_revenue")
+    quiet = stage(other.join(known, "order_date", "left_anti").withColumn("orders", F.lit(0)), "quiet-days")
+    tables.append("gold.kpi_daily_revenue", quiet)
+    tables.append("gold.kpi_daily_revenue", daily.filter("orders < 0"))
+    return tables.read("gold.kpi_daily_revenue")
+
+
+def table_evolve(spark, sf):
+    """A customer table without person and zip gains both, then is merged with full rows."""
+    tables = _tables(spark)
+    customers = src.silver_customers(spark, sf)
+    old = _stamped(customers.filter(F.col("customer_state") != "ASIA")).drop(
+        "customer_unique_id", "customer_zip_code_prefix"
+    )
+    tables.create_table("silver.customers", old.schema)
+    tables.append("silver.customers", old)
+    tables.evolve("silver.customers", TABLES["silver.customers"])
+    tables.upsert(
+        "silver.customers",
+        customers.filter(F.col("customer_state") != "EUROPE"),
+        merge.CUSTOMERS_KEY,
+        touch_matched=False,
+        run_ts=RUN_TS,
+    )
+    return tables.read("silver.customers")
+
+
+def merge_arriving_orders(spark, sf):
+    """Order files merged by a stream: first the open ones, then everything."""
+    tables = _tables(spark)
+    tables.create_table("silver.orders")
+    folder = fresh_path(spark, "arriving")
+    orders = src.bronze_orders(spark, sf)
+    for part, rows in (("a", orders.filter(F.col("order_status") == "o")), ("b", orders)):
+        rows.write.option("header", True).csv(f"{folder}/{part}_orders_dataset.csv")
+        incremental.merge_new_orders(
+            tables, folder, f"{folder}/progress", pattern="*orders_dataset.csv", run_ts=RUN_TS
+        ).awaitTermination()
+    return tables.read("silver.orders")
+
+
+# --- models: fits differ between learners, so these have no SQL ----------------------------
+
+# Short fits for a quick look; the library's defaults are 200 trees and all folds.
+QUICK_TREES = 20
+QUICK_MIN_TRAIN = 68
+
+
+def _training_set(spark: SparkSession, sf: str) -> tuple[DataFrame, RunConfig]:
+    cfg = RunConfig(min_train_snapshots=QUICK_MIN_TRAIN, run_ts=RUN_TS)
+    return training_plan.staged_dataset(sales.customer_orders(*_silver(spark, sf)), cfg), cfg
+
+
+def train_logreg(spark, sf):
+    ds, _ = _training_set(spark, sf)
+    return training.fit_calibrated_logistic(ds).score(ds).select(*training.KEYS, "target_1", "score")
+
+
+def train_gbt(spark, sf):
+    ds, _ = _training_set(spark, sf)
+    return training.fit_boosted_trees(ds, max_iter=QUICK_TREES).score(ds).select(*training.KEYS, "target_1", "score")
+
+
+def train_extended(spark, sf):
+    """Metric rows of the 17-feature model."""
+    return training_plan.run_extended(*_training_set(spark, sf))[0]
+
+
+def extended_calibration(spark, sf):
+    return training_plan.run_extended(*_training_set(spark, sf))[1]
+
+
+def model_registry(spark, sf):
+    ds, cfg = _training_set(spark, sf)
+    return training_plan.run_training(ds, cfg, options={"hgb_challenger": {"max_iter": QUICK_TREES}}).registry
+
+
+def repeat_scores(spark, sf):
+    """The latest snapshot scored by the calibrated logistic alone."""
+    ds, cfg = _training_set(spark, sf)
+    return training_plan.run_training(ds, cfg, candidates=("logreg_calibrated",)).scores
+
+
+def baseline_report(spark, sf):
+    """The baseline evaluation as rows of the metrics table."""
+    orders, _, customers = _silver(spark, sf)
+    metrics = evaluation.eval_metrics(_scored_baseline(spark, sf), lift_without_positives=0.0)
+    dates = scoring.cutoff_dates(scoring.person_orders(orders, customers))
+    return _rounded(
+        registry.baseline_metric_rows(metrics, dates, RUN_TS, RunConfig().baseline_notes()), "metric_value"
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -404,6 +580,10 @@ QUERIES: dict[str, Query] = {
         eval_cutoff, eval_dataset,
         snapshot_dataset, snapshot_split, latest_snapshot, winsor_limits, features_noise_reduced,
         eval_metrics_baseline, best_threshold, decile_diagnostics, calibration_bins, brier,
-        candidate_metrics, selection_score,
+        candidate_metrics, selection_score, baseline_report,
+        load_orders_csv, load_items_csv, load_customers_csv, raw_items_as_text,
+        view_monthly, view_daily, view_rfm,
+        table_refresh, table_append, table_evolve, merge_arriving_orders,
+        train_logreg, train_gbt, train_extended, extended_calibration, model_registry, repeat_scores,
     )
 }

@@ -11,7 +11,9 @@ from orderloom.functions.scalar import blank_to_null
 from orderloom.schemas import RAW_CUSTOMERS, RAW_ORDER_ITEMS, RAW_ORDERS
 
 # One header line, optional double quotes, trimmed, empty is NULL. FAILFAST makes
-# one bad row stop the load; it only sees whole rows with column pruning off.
+# one bad row stop the load. Rows of the wrong length are seen by any read, as
+# column pruning is off; a bad number is seen when its column is read, and the
+# load into bronze reads them all.
 DIALECT = {
     "header": "true",
     "quote": '"',

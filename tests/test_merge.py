@@ -2,7 +2,6 @@ from datetime import datetime
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
-from pyspark.errors import PySparkException
 
 from orderloom.operators import merge
 
@@ -46,7 +45,7 @@ def test_untouched_matches_keep_their_time(spark):
 
 def test_duplicate_source_key_is_an_error_even_for_a_count(spark):
     merged = merge.upsert(_target(spark, []), _source(spark, [("a", "1"), ("a", "2")]), ["k"], run_ts=NOW)
-    with pytest.raises(PySparkException, match="duplicate source key"):
+    with pytest.raises(Exception, match="duplicate source key"):
         merged.count()
 
 

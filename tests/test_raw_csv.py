@@ -30,11 +30,24 @@ def test_dialect(spark, tmp_path):
     assert rows["c1"]["ingested_at"] is not None
 
 
-@pytest.mark.parametrize("bad", ["o2,2,p,s\n", "o2,x,p,s,2017-01-01,1.00,0.10\n", "o2,2,p,s,2017-01-01,1.00,0.10,9\n"])
-def test_one_bad_row_stops_the_load_even_for_a_narrow_read(spark, tmp_path, bad):
+SHORT, LONG, BAD_NUMBER = "o2,2,p,s\n", "o2,2,p,s,2017-01-01,1.00,0.10,9\n", "o2,x,p,s,2017-01-01,1.00,0.10\n"
+
+
+def _items_with(spark, tmp_path, bad):
     folder = _write(tmp_path, "order_items_dataset.csv", ITEMS_HEADER + "o1,1,p,s,2017-01-01,1.00,0.10\n" + bad)
+    return raw_csv.load_order_items(spark, folder)
+
+
+@pytest.mark.parametrize("bad", [SHORT, LONG, BAD_NUMBER])
+def test_one_bad_row_stops_the_load(spark, tmp_path, bad):
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        _items_with(spark, tmp_path, bad).collect()
+
+
+@pytest.mark.parametrize("bad", [SHORT, LONG])
+def test_misshapen_rows_stop_a_narrow_read_too(spark, tmp_path, bad):
     with pytest.raises(Exception, match="MALFORMED_RECORD"):
-        raw_csv.load_order_items(spark, folder).select("order_id").collect()
+        _items_with(spark, tmp_path, bad).select("order_id").collect()
 
 
 def test_as_text_keeps_null(spark):

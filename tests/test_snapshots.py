@@ -4,7 +4,6 @@ from decimal import Decimal
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.errors import PySparkException
 
 from orderloom.operators import snapshots
 from orderloom.operators.snapshots import build_snapshot_dataset
@@ -95,7 +94,7 @@ def test_bounds(spark):
 
 def test_short_span_is_an_error(spark):
     tx = [("a", "1", date(2020, 1, 1), Decimal(1)), ("a", "2", date(2020, 5, 30), Decimal(1))]
-    with pytest.raises(PySparkException, match="Not enough date span"):
+    with pytest.raises(Exception, match="Not enough date span"):
         computed(spark, tx)
 
 
@@ -109,5 +108,5 @@ def test_splits(spark):
     ds = spark.createDataFrame([(date(2020, m, 1),) for m in range(1, 13)] * 2, "snapshot_date date")
     split = {r["snapshot_date"].month: r["split"] for r in snapshots.snapshot_splits(ds).collect()}
     assert [m for m, s in sorted(split.items()) if s == "holdout"] == [8, 9, 10, 11, 12]
-    with pytest.raises(PySparkException, match="Not enough snapshots left"):
+    with pytest.raises(Exception, match="Not enough snapshots left"):
         snapshots.snapshot_splits(ds, holdout_snapshots=7).collect()

@@ -46,7 +46,7 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def _silver(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return src.silver_orders(spark, sf), src.silver_order_items(spark, sf), src.silver_customers(spark, sf)
+    return src.silver_orders(spark, sf), src.silver_order_items(spark, sf), src.silver_accounts(spark, sf)
 
 
 def _tx(spark: SparkSession, sf: str) -> DataFrame:
@@ -138,18 +138,14 @@ def upsert_orders(spark, sf):
 
 
 def _flagged_items(spark: SparkSession, sf: str, without_flag: str) -> DataFrame:
-    lines = spark.read.parquet(f"{sf}/lineitem.parquet").filter(F.col("l_returnflag") != without_flag)
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    freight = (price * F.col("l_tax").cast("decimal(4,2)")).cast(MONEY)
+    lines = src.read_table(spark, sf, "lineitem").filter(F.col("l_returnflag") != without_flag)
     return lines.select(
         F.col("l_orderkey").cast("string").alias("order_id"),
         F.col("l_linenumber").cast("bigint").alias("order_item_id"),
         F.col("l_partkey").cast("string").alias("product_id"),
         F.col("l_suppkey").cast("string").alias("seller_id"),
         F.col("l_shipdate").alias("shipping_limit_ts"),
-        price.cast(MONEY).alias("price"),
-        freight.alias("freight_value"),
-        (price + freight).cast(MONEY).alias("revenue"),
+        *[c.alias(name) for name, c in src.line_money().items()],
         F.col("l_shipdate").alias("ingested_at"),
     )
 
@@ -196,7 +192,8 @@ def dq_gold_notnull(spark, sf):
 
 
 def dq_layer_counts(spark, sf):
-    orders, items, customers = _silver(spark, sf)
+    orders, items, _ = _silver(spark, sf)
+    customers = src.silver_customers(spark, sf)
     fact, lines = _facts(spark, sf)
     return quality.layer_row_counts(
         {
@@ -271,7 +268,7 @@ def daily_anomaly(spark, sf):
 
 def zscore_generic(spark, sf):
     """Order totals of the whole table against their own mean."""
-    orders = spark.read.parquet(f"{sf}/orders.parquet").select(
+    orders = src.read_table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("order_key"), F.col("o_totalprice").alias("total_price")
     )
     return _rounded(series.detect_anomalies(orders, "total_price", z_threshold=1.5), "z_score")

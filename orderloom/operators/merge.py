@@ -1,7 +1,10 @@
-"""Keyed upsert as one full outer join.
+"""Keyed upsert without a table format that knows MERGE.
 
-Rows whose key contains NULL match nothing; they skip the join on both sides,
-so any number of them never meets in one task.
+A matched row takes every value from the source, so the result is the target rows
+whose key the source lacks, plus the source. A small delivery is therefore broadcast
+by Spark as a set of keys and the target streams past it unshuffled; a large one
+becomes a sort-merge anti join. Rows whose key contains NULL match nothing; they
+skip the joins, so any number of them never meets in one task.
 """
 
 from __future__ import annotations
@@ -50,7 +53,7 @@ def upsert(
     on_duplicate: str = "error",
     order_col: str = "ingested_at",
 ) -> DataFrame:
-    """The target after merging ``source`` into it by ``keys``.
+    """The target after merging ``source`` into it by ``keys``; the target holds a key once.
 
     Matched rows take every source value, NULLs included; unmatched source rows
     are inserted; target-only rows stay. ``updated_at`` becomes ``run_ts`` on
@@ -59,31 +62,32 @@ def upsert(
     """
     if on_duplicate not in ("error", "latest"):
         raise ValueError(f"on_duplicate must be 'error' or 'latest', not {on_duplicate!r}")
-    values = [c for c in target.columns if c not in keys and c != "updated_at"]
+    columns = target.columns
+    values = [c for c in columns if c not in keys and c != "updated_at"]
     now = stamp(run_ts)
-    wanted = [*keys, *values]
-
-    src_keyless = source.filter(any_null(keys)).select(*wanted).withColumn("updated_at", now)
-    tgt_keyless = target.filter(any_null(keys)).select(*wanted, "updated_at")
 
-    src = source.filter(~any_null(keys))
+    keyed = source.filter(~any_null(keys))
     if on_duplicate == "latest":
-        src = latest_per_key(src.select(*wanted, *([order_col] if order_col in src.columns else [])), keys,
-                             order_col if order_col in src.columns else None)
+        newest = order_col if order_col in source.columns else None
+        delivered = latest_per_key(keyed.select(*keys, *values, *([newest] if newest else [])), keys, newest)
     else:
-        src = _single_per_key(src.select(*wanted), keys)
-    src = src.select(*keys, F.struct(*values).alias("_src"))
-    tgt = target.filter(~any_null(keys)).select(*keys, F.struct(*values, "updated_at").alias("_tgt"))
-
-    in_src, in_tgt = F.col("_src").isNotNull(), F.col("_tgt").isNotNull()
-    touched = in_src if touch_matched else in_src & ~in_tgt
-    merged = tgt.join(src, keys, "full_outer").select(
-        *keys,
-        *[F.when(in_src, F.col("_src")[c]).otherwise(F.col("_tgt")[c]).alias(c) for c in values],
-        F.when(touched, now).otherwise(F.col("_tgt")["updated_at"]).alias("updated_at"),
-    )
-    columns = target.columns
-    return merged.select(*columns).unionByName(tgt_keyless).unionByName(src_keyless).select(*columns)
+        delivered = _single_per_key(keyed.select(*keys, *values), keys)
+    delivered_keys = keyed.select(*keys).distinct()
+
+    if touch_matched:
+        stamped = delivered.withColumn("updated_at", now)
+    else:
+        known = (
+            target.select(*keys, F.col("updated_at").alias("_was"))
+            .join(delivered_keys, keys, "left_semi")
+            .withColumn("_known", F.lit(True))
+        )
+        stamped = delivered.join(known, keys, "left").withColumn(
+            "updated_at", F.when(F.col("_known"), F.col("_was")).otherwise(now)
+        )
+    keyless = source.filter(any_null(keys)).withColumn("updated_at", now)
+    untouched = target.join(delivered_keys, keys, "left_anti")  # NULL keys match nothing here either
+    return untouched.select(*columns).unionByName(stamped.select(*columns)).unionByName(keyless.select(*columns))
 
 
 def upsert_orders(target: DataFrame, source: DataFrame, **options) -> DataFrame:

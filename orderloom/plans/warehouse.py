@@ -10,7 +10,7 @@ from orderloom.config import RunConfig
 from orderloom.operators import kpi, merge, model, quality, sales, scoring, series, silver
 from orderloom.plans.views import create_gold_views
 from orderloom.sources import raw_csv
-from orderloom.sources.staging import stage
+from orderloom.sources.staging import discard, stage
 from orderloom.sources.tables import LayerTables
 
 
@@ -77,6 +77,7 @@ def build_scores(tables: LayerTables, tx: DataFrame, cfg: RunConfig) -> None:
     scored = stage(scoring.score_rfm(kpi.customer_rfm_tx(tx)), "rfm-scores")
     tables.replace("ml.customer_churn_score", scoring.current_churn_rows(scored, cfg.scoring_version, cfg.stamp()))
     tables.replace("ml.customer_churn_score_legacy", scoring.legacy_churn_rows(scored, cfg.stamp()))
+    discard(scored)
     tables.replace("ml.daily_revenue_anomaly", series.score_daily_anomaly(kpi.daily_revenue_tx(tx), cfg.stamp()))
 
 
@@ -133,6 +134,7 @@ def run_warehouse(
     tx = staged_transactions(tables)
     build_gold(tables, tx)
     build_scores(tables, tx, cfg)
+    discard(tx)
     report = check_quality(tables)
     if fail_on_dq:
         names = [r["check_name"] for r in report.failed().collect()]

@@ -41,3 +41,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(staged: DataFrame) -> None:
+    """Delete the files of a frame that ``stage`` returned and nothing reads any more."""
+    for folder in {f.rsplit("/", 1)[0] for f in staged.inputFiles()}:
+        delete_folder(staged.sparkSession, folder)
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

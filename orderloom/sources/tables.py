@@ -101,5 +101,19 @@ class LayerTables:
     def upsert(self, name: str, source: DataFrame, keys: list[str], **options) -> None:
         self.replace(name, upsert(self.read(name), source, keys, **options))
 
+    def drop_old_versions(self, name: str) -> None:
+        """Delete every version folder but the one the table points at. Only once no
+        running query still reads an older one."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name.replace('.', '/')}")
+        files = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        current = self._location(name).rsplit("/", 1)[1]
+        for status in files.listStatus(path):
+            if status.getPath().getName().startswith("v-") and status.getPath().getName() != current:
+                files.delete(status.getPath(), True)
+
+    def _location(self, name: str) -> str:
+        details = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.qualified(name)}")
+        return details.filter("col_name = 'Location'").first()["data_type"].rstrip("/")
+
     def replace_view(self, name: str, query: str) -> None:
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.qualified(name)} AS {query}")

@@ -63,6 +63,18 @@ def test_unknown_duplicate_rule(spark):
         merge.upsert(_target(spark, []), _source(spark, []), ["k"], on_duplicate="first")
 
 
+def test_small_delivery_does_not_shuffle_the_target(spark, tmp_path):
+    spark.range(100000).selectExpr("cast(id as string) k", "'v' v", "timestamp_ntz'2020-01-01' updated_at").write.parquet(
+        str(tmp_path / "t")
+    )
+    target = spark.read.parquet(str(tmp_path / "t"))
+    merged = merge.upsert(target, _source(spark, [("7", "x"), ("new", "y")]), ["k"], run_ts=NOW)
+    merged.collect()
+    plan = merged._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+    assert merged.count() == 100001 and merged.filter("v <> 'v'").count() == 2
+
+
 keys = st.sampled_from("abcdef")
 values = st.one_of(st.none(), st.sampled_from("xyz"))
 tables = st.dictionaries(keys, values, max_size=6)

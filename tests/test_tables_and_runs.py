@@ -8,7 +8,7 @@ from orderloom.operators import merge
 from orderloom.plans import models, warehouse
 from orderloom.schemas import TABLES
 from orderloom.sources import testtables
-from orderloom.sources.staging import shared_dir, stage
+from orderloom.sources.staging import discard, shared_dir, stage
 from orderloom.sources.tables import LayerTables
 from orderloom.streaming import incremental
 
@@ -40,6 +40,24 @@ def test_refresh_from_itself_and_append(spark, tables):
     assert tables.read("gold.kpi_daily_revenue").schema == TABLES["gold.kpi_daily_revenue"]
 
 
+def test_old_versions_can_be_dropped(spark, tables, tmp_path):
+    for n in (1, 2, 3):
+        tables.replace("gold.kpi_daily_revenue", spark.createDataFrame([(date(2020, 1, 1), n)], "order_date date, orders bigint"))
+    versions = tmp_path / "lake" / "gold" / "kpi_daily_revenue"
+    assert len(list(versions.glob("v-*"))) >= 3
+    tables.drop_old_versions("gold.kpi_daily_revenue")
+    assert len(list(versions.glob("v-*"))) == 1
+    assert [r["orders"] for r in tables.read("gold.kpi_daily_revenue").collect()] == [3]
+
+
+def test_discard_deletes_only_the_staged_frame(spark):
+    a, b = stage(spark.range(3), "a"), stage(spark.range(4), "b")
+    discard(a)
+    assert b.count() == 4
+    with pytest.raises(Exception, match="FAILED_READ_FILE|PATH_NOT_FOUND|does not exist"):
+        a.collect()
+
+
 def test_nan_and_zone_are_dropped_on_the_way_in(spark, tables):
     row = spark.createDataFrame([("m", float("nan"))], "model_name string, metric_value double")
     tables.append("ml.model_metrics", row.withColumn("run_ts", F.lit(NOW)))

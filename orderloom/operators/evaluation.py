@@ -12,6 +12,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from orderloom.functions.ordered import exact_quantiles, quantile_bin, running_sums
+from orderloom.functions.scalar import sorted_report
 
 THRESHOLDS = [float(t) for t in np.linspace(0.05, 0.95, 19)]
 
@@ -149,7 +150,7 @@ def _binned(scored: DataFrame, n_bins: int, name: str) -> DataFrame:
 
 def decile_diagnostics(scored: DataFrame, n_bins: int = 10) -> DataFrame:
     """Per quantile bin (1 = lowest scores): score range, mean, positive rate and size."""
-    return (
+    report = (
         _binned(scored, n_bins, "decile")
         .groupBy("decile")
         .agg(
@@ -159,13 +160,13 @@ def decile_diagnostics(scored: DataFrame, n_bins: int = 10) -> DataFrame:
             F.avg("y").alias("positive_rate"),
             F.count(F.lit(1)).alias("sample_size"),
         )
-        .orderBy(F.desc("decile"))
     )
+    return sorted_report(report, F.desc("decile"))
 
 
 def calibration_by_bin(scored: DataFrame, n_bins: int = 10) -> DataFrame:
     """Per quantile bin: mean prediction, observed rate, their gap and the size."""
-    return (
+    report = (
         _binned(scored, n_bins, "bin")
         .groupBy("bin")
         .agg(
@@ -174,8 +175,8 @@ def calibration_by_bin(scored: DataFrame, n_bins: int = 10) -> DataFrame:
             F.count(F.lit(1)).alias("sample_size"),
         )
         .withColumn("abs_gap", F.abs(F.col("avg_pred") - F.col("actual_rate")))
-        .orderBy(F.desc("bin"))
     )
+    return sorted_report(report, F.desc("bin"))
 
 
 def brier_score(scored: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from orderloom.functions.scalar import MONEY, month_key
+from orderloom.functions.scalar import MONEY, month_key, sorted_report
 from orderloom.operators.sales import DELIVERED, order_revenue
 
 
@@ -19,23 +19,23 @@ def _money_sum(name: str):
 
 
 def monthly_revenue_tx(tx: DataFrame) -> DataFrame:
-    return (
+    report = (
         tx.groupBy(month_key(F.col("order_date")).alias("year_month"))
         .agg(
             _money_sum("revenue").alias("revenue"),
             F.count_distinct("order_id").alias("orders"),
             F.count_distinct("customer_unique_id").alias("unique_customers"),
         )
-        .orderBy("year_month")
     )
+    return sorted_report(report, "year_month")
 
 
 def daily_revenue_tx(tx: DataFrame) -> DataFrame:
-    return (
+    report = (
         tx.groupBy("order_date")
         .agg(_money_sum("revenue").alias("revenue"), F.count_distinct("order_id").alias("orders"))
-        .orderBy("order_date")
     )
+    return sorted_report(report, "order_date")
 
 
 def _with_recency(profiles: DataFrame, anchored: DataFrame) -> DataFrame:
@@ -71,7 +71,7 @@ def _delivered_facts(fact_orders: DataFrame) -> DataFrame:
 
 def monthly_revenue_model(fact_orders: DataFrame, fact_items: DataFrame, dim_date: DataFrame) -> DataFrame:
     """``dim_date`` holds one row per calendar day, which bounds the broadcast."""
-    return (
+    report = (
         _delivered_facts(fact_orders)
         .join(order_revenue(fact_items), "order_id")
         .join(F.broadcast(dim_date.select("date_key", "year_month")), F.col("date_key") == F.col("order_date"))
@@ -81,18 +81,18 @@ def monthly_revenue_model(fact_orders: DataFrame, fact_items: DataFrame, dim_dat
             F.count_distinct("order_id").alias("orders"),
             F.count_distinct("customer_key").alias("unique_customers"),
         )
-        .orderBy("year_month")
     )
+    return sorted_report(report, "year_month")
 
 
 def daily_revenue_model(fact_orders: DataFrame, fact_items: DataFrame) -> DataFrame:
-    return (
+    report = (
         _delivered_facts(fact_orders)
         .join(order_revenue(fact_items), "order_id")
         .groupBy("order_date")
         .agg(_money_sum("revenue").alias("revenue"), F.count_distinct("order_id").alias("orders"))
-        .orderBy("order_date")
     )
+    return sorted_report(report, "order_date")
 
 
 def customer_rfm_model(fact_orders: DataFrame, fact_items: DataFrame) -> DataFrame:

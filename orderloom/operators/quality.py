@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from orderloom.functions.scalar import sorted_report
+
 
 def _status(ok: Column) -> Column:
     return F.when(ok, "PASS").otherwise("FAIL")
@@ -44,12 +46,13 @@ def not_null_checks(columns: dict[str, tuple[DataFrame, str]]) -> DataFrame:
 
 
 def layer_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    return _stack(
+    counts = _stack(
         [
             df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name.upper()).alias("obj"), "row_count")
             for name, df in tables.items()
         ]
-    ).orderBy("obj")
+    )
+    return sorted_report(counts, "obj")
 
 
 def duplicate_key_check(df: DataFrame, keys: list[str], name: str) -> DataFrame:

@@ -17,10 +17,15 @@ BASELINE_RECENCY_WEIGHT, BASELINE_FREQUENCY_WEIGHT = 0.75, 0.25
 
 
 def normalised(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Add ``<c>_norm``: NULL as 0, then min-max scaled over the whole frame."""
+    """Add ``<c>_norm``: NULL as 0, then min-max scaled over the whole frame.
+
+    The extra maximum over whole rows gives this reader of ``df`` the same columns as
+    the main one, so that an aggregated ``df`` is shuffled once for both.
+    """
     filled = {c: zero_if_null(F.col(c)) for c in columns}
     bounds = (
         df.agg(
+            F.max(F.struct(*df.columns)).alias("_row"),
             *[F.min(e).alias(f"{c}_lo") for c, e in filled.items()],
             *[F.max(e).alias(f"{c}_hi") for c, e in filled.items()],
         )

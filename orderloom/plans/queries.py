@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderloom.config import RunConfig
 from orderloom.functions.scalar import MONEY
@@ -361,24 +361,20 @@ def brier(spark, sf):
     return _rounded(evaluation.brier_score(_scored_baseline(spark, sf)), "brier_score")
 
 
-def _candidate(ds: DataFrame, name: str, score: Column) -> DataFrame:
-    return ds.select(
-        F.lit(name).alias("model_name"), "split_name", "customer_id", "snapshot_date", F.col("target_1").alias("y"), score.alias("score")
-    )
-
-
 def _candidate_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """Two rule-based candidates scored on every snapshot: the training snapshots serve
     as validation folds, the newest ones together as holdout."""
     ds = stage(_snapshots(spark, sf), "snapshots")
-    split = snapshots.with_split(ds, snapshots.snapshot_splits(ds)).withColumn(
-        "split_name",
-        F.when(F.col("split") == "holdout", "holdout").otherwise(
-            F.concat(F.lit("cv_fold_"), F.date_format("snapshot_date", "yyyy_MM"))
-        ),
+    scores = {
+        "recent_buyers": 1 - F.col("recency_days") / 120.0,
+        "frequent_buyers": F.col("orders_lifetime") / (F.col("tenure_days") + 30.0),
+    }
+    both = F.array(*[F.struct(F.lit(n).alias("model_name"), s.alias("score")) for n, s in scores.items()])
+    split_name = F.when(F.col("split") == "holdout", "holdout").otherwise(
+        F.concat(F.lit("cv_fold_"), F.date_format("snapshot_date", "yyyy_MM"))
     )
-    candidates = _candidate(split, "recent_buyers", 1 - F.col("recency_days") / 120.0).unionByName(
-        _candidate(split, "frequent_buyers", F.col("orders_lifetime") / (F.col("tenure_days") + 30.0))
+    candidates = snapshots.with_split(ds, snapshots.snapshot_splits(ds)).select(
+        "customer_id", "snapshot_date", F.col("target_1").alias("y"), split_name.alias("split_name"), F.inline(both)
     )
     metrics = evaluation.eval_metrics(
         stage(candidates, "candidates"), keys=["customer_id", "snapshot_date"], by=["model_name", "split_name"]

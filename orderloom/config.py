@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from datetime import datetime
+from dataclasses import dataclass, replace
+from datetime import UTC, datetime
 
 
 @dataclass(frozen=True)
@@ -26,9 +26,9 @@ class RunConfig:
     min_train_snapshots: int = 5
     run_ts: datetime | None = None
 
-    def stamp(self) -> datetime:
-        """The timestamp written to every row of this run."""
-        return self.run_ts or datetime.utcnow()
+    def started(self) -> RunConfig:
+        """This configuration with its timestamp fixed, so that all rows of a run agree."""
+        return replace(self, run_ts=self.run_ts or datetime.now(UTC).replace(tzinfo=None))
 
     def training_notes(self, holdout_n: int) -> str:
         return (

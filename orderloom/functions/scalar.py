@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -74,3 +75,13 @@ def sorted_report(df: DataFrame, *order: Column | str) -> DataFrame:
     """Order a report of bounded size (days, months, bins): one small partition, sorted,
     which spares the sampling pass of a range sort."""
     return df.repartition(1).sortWithinPartitions(*order)
+
+
+def stamp(run_ts: datetime | None) -> Column:
+    """The run's zone-free timestamp; the wall clock when none is given. Passed as text,
+    so that no time zone setting moves it."""
+    if run_ts is None:
+        return F.current_timestamp().cast("timestamp_ntz")
+    if run_ts.tzinfo:
+        run_ts = run_ts.astimezone(UTC).replace(tzinfo=None)
+    return F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")

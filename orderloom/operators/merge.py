@@ -13,8 +13,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from orderloom.functions.scalar import any_null
-from orderloom.operators.model import stamp
+from orderloom.functions.scalar import any_null, stamp
 
 ORDERS_KEY = ["order_id"]
 ORDER_ITEMS_KEY = ["order_id", "order_item_id"]

@@ -4,15 +4,9 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from orderloom.functions.scalar import month_key
-
-
-def stamp(run_ts: datetime | None) -> Column:
-    """The run's timestamp; the wall clock when none is injected."""
-    now = F.lit(run_ts) if run_ts else F.current_timestamp()
-    return now.cast("timestamp_ntz")
+from orderloom.functions.scalar import month_key, stamp
 
 
 def dim_customer(customers: DataFrame, run_ts: datetime | None = None) -> DataFrame:

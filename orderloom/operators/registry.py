@@ -7,8 +7,8 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from orderloom.functions.scalar import stamp
 from orderloom.operators.evaluation import long_metrics
-from orderloom.operators.model import stamp
 from orderloom.schemas import TABLES
 
 

@@ -6,8 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from orderloom.functions.scalar import MONEY, clip, min_max_scale, zero_if_null
-from orderloom.operators.model import stamp
+from orderloom.functions.scalar import MONEY, clip, min_max_scale, stamp, zero_if_null
 from orderloom.operators.sales import delivered_orders
 
 # Weights and label limits of the rule-based score.

@@ -6,8 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
-from orderloom.functions.scalar import nan_to_null, zero_if_null
-from orderloom.operators.model import stamp
+from orderloom.functions.scalar import nan_to_null, stamp, zero_if_null
 
 
 def _require(df: DataFrame, column: str) -> None:

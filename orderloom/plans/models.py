@@ -14,6 +14,7 @@ def train_and_register(
 ) -> TrainingRun:
     """Compare the candidates, store metrics, diagnostics, registry and the winner's
     scores, then (by default) add the extended model's metrics and calibration."""
+    cfg = cfg.started()
     orders = sales.customer_orders(
         tables.read("silver.orders"), tables.read("silver.order_items"), tables.read("silver.customers")
     )
@@ -31,6 +32,7 @@ def train_and_register(
 
 
 def evaluate_baseline(tables: LayerTables, cfg: RunConfig) -> None:
+    cfg = cfg.started()
     orders = stage(
         scoring.person_orders(tables.read("silver.orders"), tables.read("silver.customers")), "person-orders"
     )
@@ -38,5 +40,5 @@ def evaluate_baseline(tables: LayerTables, cfg: RunConfig) -> None:
     metrics = evaluation.eval_metrics(stage(rows, "baseline"), cfg.top_k_fraction, lift_without_positives=0.0)
     tables.append(
         "ml.model_metrics",
-        registry.baseline_metric_rows(metrics, scoring.cutoff_dates(orders), cfg.stamp(), cfg.baseline_notes()),
+        registry.baseline_metric_rows(metrics, scoring.cutoff_dates(orders), cfg.run_ts, cfg.baseline_notes()),
     )

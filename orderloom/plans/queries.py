@@ -9,7 +9,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderloom.config import RunConfig
-from orderloom.functions.scalar import MONEY
+from orderloom.functions.scalar import MONEY, stamp
 from orderloom.operators import (
     evaluation,
     kpi,
@@ -125,7 +125,7 @@ def fact_order_items(spark, sf):
 
 
 def _stamped(df: DataFrame) -> DataFrame:
-    return df.withColumn("updated_at", F.lit(OLD_TS).cast("timestamp_ntz"))
+    return df.withColumn("updated_at", stamp(OLD_TS))
 
 
 def upsert_orders(spark, sf):

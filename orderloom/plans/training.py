@@ -8,8 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from orderloom.config import RunConfig
+from orderloom.functions.scalar import stamp
 from orderloom.operators import evaluation, noise, registry, snapshots, training
-from orderloom.operators.model import stamp
 from orderloom.sources.staging import stage
 
 CANDIDATES = ("logreg_calibrated", "hgb_challenger")
@@ -57,7 +57,7 @@ def _split(ds: DataFrame, cfg: RunConfig) -> tuple[DataFrame, DataFrame, list, l
 def run_training(ds: DataFrame, cfg: RunConfig, candidates=CANDIDATES, options: dict | None = None) -> TrainingRun:
     """``options`` maps a model name to extra fit arguments."""
     options = options or {}
-    run_ts = cfg.stamp()
+    cfg = cfg.started()
     train, holdout, _, holdout_dates = _split(ds, cfg)
     notes = cfg.training_notes(len(holdout_dates))
     spark = ds.sparkSession
@@ -91,7 +91,7 @@ def run_training(ds: DataFrame, cfg: RunConfig, candidates=CANDIDATES, options:
     deciles = [
         registry.decile_rows(
             evaluation.decile_diagnostics(on_holdout.filter(F.col("model_name") == name)),
-            name, "holdout", holdout_dates[0], holdout_dates[-1], cfg.model_version, run_ts, notes,
+            name, "holdout", holdout_dates[0], holdout_dates[-1], cfg.model_version, cfg.run_ts, notes,
         )
         for name in candidates
     ]
@@ -102,13 +102,13 @@ def run_training(ds: DataFrame, cfg: RunConfig, candidates=CANDIDATES, options:
         F.col("score").alias("churn_score"),
         "churn_label",
         F.lit(cfg.model_version).alias("model_version"),
-        stamp(run_ts).alias("scored_at"),
+        stamp(cfg.run_ts).alias("scored_at"),
     )
     return TrainingRun(
-        metrics=registry.metric_rows(long, split_dates, cfg.model_version, run_ts, notes),
+        metrics=registry.metric_rows(long, split_dates, cfg.model_version, cfg.run_ts, notes),
         deciles=reduce(DataFrame.unionByName, deciles),
         registry=registry.registry_rows(
-            wide.filter(F.col("split_name") == "holdout"), selection, best, cfg.model_version, run_ts, notes
+            wide.filter(F.col("split_name") == "holdout"), selection, best, cfg.model_version, cfg.run_ts, notes
         ),
         scores=labelled,
         best=best,
@@ -124,7 +124,7 @@ def run_extended(
     ``fit_limits_on="all"`` takes the clipping limits from every row, holdout
     included; the default keeps them to the training rows.
     """
-    run_ts = cfg.stamp()
+    cfg = cfg.started()
     train, _, _, holdout_dates = _split(ds, cfg)
     extended = stage(
         noise.add_noise_reduction_features(ds, fit_on=train if fit_limits_on == "train" else None), "extended"
@@ -145,8 +145,8 @@ def run_extended(
         [(EXTENDED_MODEL, "holdout_ext", holdout_dates[0], holdout_dates[-1])],
         "model_name string, split_name string, snapshot_start date, snapshot_end date",
     )
-    metrics = registry.metric_rows(long, split_dates, cfg.model_version, run_ts, EXTENDED_NOTES)
+    metrics = registry.metric_rows(long, split_dates, cfg.model_version, cfg.run_ts, EXTENDED_NOTES)
     calibration = registry.calibration_rows(
-        evaluation.calibration_by_bin(scored), EXTENDED_MODEL, "holdout_ext", cfg.model_version, run_ts, EXTENDED_NOTES
+        evaluation.calibration_by_bin(scored), EXTENDED_MODEL, "holdout_ext", cfg.model_version, cfg.run_ts, EXTENDED_NOTES
     )
     return metrics, calibration

@@ -32,13 +32,13 @@ class QualityReport:
 def load_bronze(tables: LayerTables, cfg: RunConfig, append: bool = True) -> None:
     """Raw files into bronze: added to what is there, or in its place."""
     spark, write = tables.spark, tables.append if append else tables.replace
-    write("bronze.orders_raw", raw_csv.load_orders(spark, cfg.raw_path, run_ts=cfg.stamp()))
-    write("bronze.order_items_raw", raw_csv.load_order_items(spark, cfg.raw_path, run_ts=cfg.stamp()))
-    write("bronze.customers_raw", raw_csv.load_customers(spark, cfg.raw_path, run_ts=cfg.stamp()))
+    write("bronze.orders_raw", raw_csv.load_orders(spark, cfg.raw_path, run_ts=cfg.run_ts))
+    write("bronze.order_items_raw", raw_csv.load_order_items(spark, cfg.raw_path, run_ts=cfg.run_ts))
+    write("bronze.customers_raw", raw_csv.load_customers(spark, cfg.raw_path, run_ts=cfg.run_ts))
 
 
 def merge_silver(tables: LayerTables, cfg: RunConfig, on_duplicate: str = "error") -> None:
-    options = {"run_ts": cfg.stamp(), "on_duplicate": on_duplicate}
+    options = {"run_ts": cfg.run_ts, "on_duplicate": on_duplicate}
     steps = (
         ("silver.orders", "bronze.orders_raw", silver.silver_orders, merge.ORDERS_KEY, True),
         ("silver.order_items", "bronze.order_items_raw", silver.silver_order_items, merge.ORDER_ITEMS_KEY, True),
@@ -53,10 +53,10 @@ def merge_silver(tables: LayerTables, cfg: RunConfig, on_duplicate: str = "error
 
 def build_model(tables: LayerTables, cfg: RunConfig) -> None:
     orders, customers = tables.read("silver.orders"), tables.read("silver.customers")
-    tables.replace("model.dim_customer", model.dim_customer(customers, cfg.stamp()))
+    tables.replace("model.dim_customer", model.dim_customer(customers, cfg.run_ts))
     tables.replace("model.dim_date", model.dim_date(orders))
-    tables.replace("model.fact_orders", model.fact_orders(orders, customers, cfg.stamp()))
-    tables.replace("model.fact_order_items", model.fact_order_items(tables.read("silver.order_items"), cfg.stamp()))
+    tables.replace("model.fact_orders", model.fact_orders(orders, customers, cfg.run_ts))
+    tables.replace("model.fact_order_items", model.fact_order_items(tables.read("silver.order_items"), cfg.run_ts))
 
 
 def staged_transactions(tables: LayerTables) -> DataFrame:
@@ -75,10 +75,10 @@ def build_gold(tables: LayerTables, tx: DataFrame) -> None:
 
 def build_scores(tables: LayerTables, tx: DataFrame, cfg: RunConfig) -> None:
     scored = stage(scoring.score_rfm(kpi.customer_rfm_tx(tx)), "rfm-scores")
-    tables.replace("ml.customer_churn_score", scoring.current_churn_rows(scored, cfg.scoring_version, cfg.stamp()))
-    tables.replace("ml.customer_churn_score_legacy", scoring.legacy_churn_rows(scored, cfg.stamp()))
+    tables.replace("ml.customer_churn_score", scoring.current_churn_rows(scored, cfg.scoring_version, cfg.run_ts))
+    tables.replace("ml.customer_churn_score_legacy", scoring.legacy_churn_rows(scored, cfg.run_ts))
     discard(scored)
-    tables.replace("ml.daily_revenue_anomaly", series.score_daily_anomaly(kpi.daily_revenue_tx(tx), cfg.stamp()))
+    tables.replace("ml.daily_revenue_anomaly", series.score_daily_anomaly(kpi.daily_revenue_tx(tx), cfg.run_ts))
 
 
 def check_quality(tables: LayerTables) -> QualityReport:
@@ -124,6 +124,7 @@ def run_warehouse(
 
     A failed check stops the run only with ``fail_on_dq``.
     """
+    cfg = cfg.started()
     tables = LayerTables(spark, root, prefix)
     tables.create_all()
     if load:

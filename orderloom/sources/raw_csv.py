@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructType
 
-from orderloom.functions.scalar import blank_to_null
+from orderloom.functions.scalar import blank_to_null, stamp
 from orderloom.schemas import RAW_CUSTOMERS, RAW_ORDER_ITEMS, RAW_ORDERS
 
 # One header line, optional double quotes, trimmed, empty is NULL. FAILFAST makes
@@ -48,8 +48,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def stamp_ingested(df: DataFrame, run_ts: datetime | None = None) -> DataFrame:
-    now = F.lit(run_ts) if run_ts else F.current_timestamp()
-    return df.withColumn("ingested_at", now.cast("timestamp_ntz"))
+    return df.withColumn("ingested_at", stamp(run_ts))
 
 
 def load_orders(spark: SparkSession, raw_path: str, pattern: str = ORDERS_PATTERN, run_ts=None) -> DataFrame:

@@ -1,8 +1,9 @@
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
+from orderloom.functions.scalar import stamp
 from orderloom.operators import merge
 
 OLD, NOW, LATER = datetime(2020, 1, 1), datetime(2024, 1, 1), datetime(2025, 1, 1)
@@ -58,6 +59,16 @@ def test_latest_wins(spark):
     assert _rows(merged) == [("a", "new", NOW), ("b", "y", NOW)]
 
 
+def test_stamp_ignores_the_session_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        zoned = datetime(2024, 1, 1, 2, tzinfo=timezone(timedelta(hours=2)))
+        assert spark.range(1).select(stamp(NOW), stamp(zoned)).first() == (NOW, NOW)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_unknown_duplicate_rule(spark):
     with pytest.raises(ValueError):
         merge.upsert(_target(spark, []), _source(spark, []), ["k"], on_duplicate="first")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import exact_dedup, quality
+from orderloom.llm import exact_dedup, packing, quality, sentencepieces
 from orderloom.llm.tables import fold, read_table
 
 
@@ -24,7 +24,29 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read_table(spark, sf_dir, "documents"), keep="max")
 
 
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
+
+
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = sentencepieces.encode_documents(read_table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
+    return encoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_exact_dedup": op2_exact_dedup,
+    "op8_packing": op8_packing,
+    "op10_sentencepiece": op10_sentencepiece,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import exact_dedup, packing, quality, sentencepieces
+from orderloom.llm import embeddings, exact_dedup, packing, quality, secrets, sentencepieces
 from orderloom.llm.tables import fold, read_table
 
 
@@ -24,6 +24,25 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read_table(spark, sf_dir, "documents"), keep="max")
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = secrets.find_secrets(read_table(spark, sf_dir, "documents"))
+
+    def of(kind: str):
+        return F.filter("spans", lambda s: s["kind"] == secrets.KINDS.index(kind))
+
+    base = F.filter("spans", lambda s: s["kind"] < secrets.KINDS.index("random"))
+    return spans.select(
+        "doc_id",
+        *(F.size(of(k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")),
+        F.sha2(secrets.written(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.written(F.col("spans")).alias("spans"),
+    )
+
+
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def _vocabulary(name: str) -> str:
     import public_tokenizers
 
@@ -47,6 +66,8 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_exact_dedup": op2_exact_dedup,
+    "op4_secret_scan": op4_secret_scan,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op8_packing": op8_packing,
     "op10_sentencepiece": op10_sentencepiece,
 }

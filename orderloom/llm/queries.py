@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import embeddings, exact_dedup, packing, quality, secrets, sentencepieces
+from orderloom.llm import embeddings, exact_dedup, line_dedup, packing, quality, secrets, sentencepieces
 from orderloom.llm.tables import fold, read_table
 
 
@@ -24,6 +24,11 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read_table(spark, sf_dir, "documents"), keep="max")
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.repeated_lines(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", F.size("removed").alias("n_removed"), F.concat_ws(",", F.col("removed").cast("array<string>")).alias("removed_lines"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = secrets.find_secrets(read_table(spark, sf_dir, "documents"))
 
@@ -66,6 +71,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_line_dedup": op3_line_dedup,
     "op4_secret_scan": op4_secret_scan,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op8_packing": op8_packing,

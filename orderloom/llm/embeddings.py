@@ -22,6 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.llm.blocks import star_forest
 from orderloom.llm.components import connected_components
 from orderloom.sources.staging import stage
 
@@ -131,23 +132,6 @@ def _dealer(order: Order):
     return deal
 
 
-def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A star forest with the components of the given links."""
-    nodes, flat = np.unique(np.concatenate([a, b]), return_inverse=True)
-    x, y = flat[: len(a)], flat[len(a) :]
-    label = np.arange(len(nodes))
-    while True:
-        least = label.copy()
-        np.minimum.at(least, x, label[y])
-        np.minimum.at(least, y, label[x])
-        least = least[least]
-        if (least == label).all():
-            break
-        label = least
-    moved = np.flatnonzero(label != np.arange(len(nodes)))
-    return nodes[moved], nodes[label[moved]]
-
-
 def tile_links(x: np.ndarray, y: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs of unit rows (in principal order) whose cosine may reach the threshold."""
     d = x.shape[1]
@@ -186,7 +170,7 @@ def _comparer(axes: np.ndarray, threshold: float):
                 if len(i):
                     np.add.at(counts_a, i, nb[j])
                     np.add.at(counts_b, j, na[i])
-                    x, y = _forest(ida[i], idb[j])
+                    x, y = star_forest(ida[i], idb[j])
                     out.append(pd.DataFrame({"a": x, "b": y, "links": 0}))
         for ids, _, _, _, counts in sides:
             some = counts > 0

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderloom.llm.blocks import bloom, groups, meeting, parts_of, passes
 from orderloom.llm.components import connected_components
 from orderloom.llm.tables import whole_text
 from orderloom.sources.staging import stage
@@ -30,7 +31,6 @@ THRESHOLD = 2
 MIN_CHARS = 20
 CHARS_PER_EDIT = 20
 BLOCK_LINES = 256
-FILTER_BITS = 1 << 26
 SPARK_SEED = 42
 
 
@@ -152,59 +152,19 @@ def _entry_batch(keys: list, ids: list, roles: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(ids, pa.int64()), pa.array(roles, pa.int8())], names=["key", "line", "role"])
 
 
-def _meeting(block_lines: int):
-    """Of entries sorted by key: those whose key holds an index line and another line that probes it, dealt into pairs of blocks."""
-
-    def dealt(key: int, lines: np.ndarray, roles: np.ndarray):
-        pairs = np.unique(np.stack([lines, roles], 1), axis=0)
-        lines, roles = pairs[:, 0], pairs[:, 1]
-        index = lines[roles == 0]
-        if not len(index) or lines.min() == lines.max() or not (roles == 1).any():
-            return
-        members = np.unique(lines)
-        blocks = -(-len(members) // block_lines)
-        block = np.arange(len(members)) % blocks
-        for other in range(blocks):
-            yield np.full(len(members), key), np.minimum(block, other), np.maximum(block, other), members
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
-        for batch in batches:
-            key, line, role = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            if held:
-                key, line, role = (np.concatenate([h[i] for h in held] + [x]) for i, x in enumerate((key, line, role)))
-            cuts = np.flatnonzero(np.diff(key)) + 1
-            last = int(cuts[-1]) if len(cuts) else 0
-            yield from _flush(key[:last], line[:last], role[:last], dealt)
-            held = [(key[last:], line[last:], role[last:])]
-        if held:
-            yield from _flush(*held[0], dealt)
-
-    return keep
-
-
-def _flush(key: np.ndarray, line: np.ndarray, role: np.ndarray, dealt) -> Iterator[pa.RecordBatch]:
-    if not len(key):
-        return
-    starts = np.append(0, np.flatnonzero(np.diff(key)) + 1)
-    ends = np.append(starts[1:], len(key))
-    # A line alone with its key meets only itself.
-    several = np.flatnonzero(np.minimum.reduceat(line, starts) != np.maximum.reduceat(line, starts))
-    out = [part for g in several for part in dealt(int(key[starts[g]]), line[starts[g] : ends[g]], role[starts[g] : ends[g]])]
-    if out:
-        columns = [np.concatenate(c) for c in zip(*out)]
-        yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=["key", "a", "b", "line"])
+def _can_meet(lines: np.ndarray, roles: np.ndarray) -> bool:
+    return bool((roles == 0).any() and (roles == 1).any())
 
 
 def _texts(bits: bytes, min_chars: int):
     """(line, text) of lines that the filter lets through, each once a batch."""
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = len(bits) * 8
         for batch in batches:
-            lines = {line for text in batch.column(0).to_pylist() for line in map(str.strip, text.split("\n")) if len(line) >= min_chars}
-            found = [(i, line) for line in lines for i in (line_id(line),) for at in (i % size,) if bits[at >> 3] >> (at & 7) & 1]
-            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in found], pa.int64()), pa.array([t for _, t in found], pa.string())], names=["line", "text"])
+            lines = [line for line in {x for text in batch.column(0).to_pylist() for x in map(str.strip, text.split("\n"))} if len(line) >= min_chars]
+            ids = np.array([line_id(line) for line in lines], np.int64)
+            chosen = np.flatnonzero(passes(bits, ids))
+            yield pa.RecordBatch.from_arrays([pa.array(ids[chosen]), pa.array([lines[i] for i in chosen], pa.string())], names=["line", "text"])
 
     return pick
 
@@ -231,43 +191,20 @@ def _verify(threshold: int):
         return out
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held = None, []
-        for batch in batches:
-            out = []
-            for key, a, b, line, text in zip(*(c.to_pylist() for c in batch.columns)):
-                if (key, a, b) != at:
-                    out += links(held)
-                    at, held = (key, a, b), []
-                held.append((line, text))
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["x", "y"])
-        out = links(held)
-        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["x", "y"])
+        found = (tuple(np.array(c, np.int64) for c in zip(*out)) for _, rows in groups(batches, 3) if (out := links(rows)))
+        for part in parts_of(found, 1 << 14):
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in part], names=["x", "y"])
 
     return check
 
 
-def _bloom(met: DataFrame, most_bits: int) -> bytes:
-    """One bit per line id; the bitmap has at most ``most_bits`` bits. Beyond that it only lets more lines through."""
-    ids = met.select("line").distinct()
-    size = 1 << 10
-    wanted = 16 * ids.count()
-    while size < min(wanted, most_bits):
-        size *= 2
-    at = F.pmod("line", F.lit(size))
-    words = ids.select(F.shiftright(at, 3).alias("byte"), F.call_function("shiftleft", F.lit(1), (at % 8).cast("int")).alias("bit")).groupBy("byte").agg(F.bit_or("bit").alias("bits"))
-    out = bytearray(size // 8)
-    for byte, value in words.toLocalIterator():
-        out[byte] = value
-    return bytes(out)
-
-
 def line_links(docs: DataFrame, text_col: str = "text", threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
     """(line, class) of line ids that have a near-duplicate with another id."""
     texts = docs.select(whole_text(text_col).alias("__text"))
     entries = texts.mapInArrow(_entries(threshold, min_chars), "key long, line long, role byte")
     sorted_entries = entries.repartition("key").sortWithinPartitions("key")
-    met = stage(sorted_entries.mapInArrow(_meeting(BLOCK_LINES), "key long, a long, b long, line long"), "lines-met")
-    fetched = texts.mapInArrow(_texts(_bloom(met, FILTER_BITS), min_chars), "line long, text string")
+    met = stage(sorted_entries.mapInArrow(meeting(BLOCK_LINES, ["key", "a", "b", "line"], _can_meet), "key long, a long, b long, line long"), "lines-met")
+    fetched = texts.mapInArrow(_texts(bloom(met, "line"), min_chars), "line long, text string")
     known = stage(fetched.distinct(), "line-texts")
     pairs = met.join(known, "line").select("key", "a", "b", "line", "text")
     links = pairs.repartition("key", "a", "b").sortWithinPartitions("key", "a", "b", "line").mapInArrow(_verify(threshold), "x long, y long")

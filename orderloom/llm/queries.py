@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import embeddings, exact_dedup, line_dedup, packing, quality, secrets, sentencepieces
+from orderloom.llm import embeddings, exact_dedup, jaccard_join, line_dedup, packing, quality, secrets, sentencepieces
 from orderloom.llm.tables import fold, read_table
 
 
@@ -58,6 +58,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = sentencepieces.encode_documents(read_table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
     return encoded.select(
@@ -75,5 +79,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secret_scan": op4_secret_scan,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op8_packing": op8_packing,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_sentencepiece": op10_sentencepiece,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import embeddings, exact_dedup, jaccard_join, line_dedup, packing, quality, secrets, sentencepieces
+from orderloom.llm import embeddings, exact_dedup, jaccard_join, line_dedup, packing, quality, secrets, sentencepieces, toxicity
 from orderloom.llm.tables import fold, read_table
 
 
@@ -44,6 +44,15 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 4) == 2
+    machine = toxicity.fit_toxicity(docs, read_table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.toxicity_scores(docs, machine).select(
+        "doc_id", held_out.alias("held_out"), F.col("toxic_score").alias("score"), F.col("toxic_predicted").alias("predicted")
+    )
+
+
 def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(read_table(spark, sf_dir, "embeddings"))
 
@@ -77,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_line_dedup": op3_line_dedup,
     "op4_secret_scan": op4_secret_scan,
+    "op5_toxicity": op5_toxicity,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op8_packing": op8_packing,
     "op9_jaccard_join": op9_jaccard_join,

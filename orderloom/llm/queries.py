@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import embeddings, exact_dedup, jaccard_join, line_dedup, packing, quality, secrets, sentencepieces, toxicity
+from orderloom.llm import embeddings, exact_dedup, jaccard_join, licenses, line_dedup, packing, quality, secrets, sentencepieces, toxicity
 from orderloom.llm.tables import fold, read_table
 
 
@@ -57,6 +57,16 @@ def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(read_table(spark, sf_dir, "embeddings"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.find_licences(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.size("licences").cast("long").alias("n_licences"),
+        F.concat_ws(",", F.transform("licences", lambda x: F.concat_ws(":", x["family"], x["line"].cast("string")))).alias("licences"),
+        F.round(F.array_max(F.transform("licences", lambda x: x["probability"])), 6).alias("best_probability"),
+    )
+
+
 def _vocabulary(name: str) -> str:
     import public_tokenizers
 
@@ -88,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secret_scan": op4_secret_scan,
     "op5_toxicity": op5_toxicity,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
+    "op7_license_scan": op7_license_scan,
     "op8_packing": op8_packing,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_sentencepiece": op10_sentencepiece,

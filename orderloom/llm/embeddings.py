@@ -49,7 +49,8 @@ def _moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for size, part in batch.groupby(batch["vector"].map(len)):
             x = _unit(part["vector"])
             sums[size] = sums.get(size, 0) + x.T @ x
-    yield pd.DataFrame({"size": list(sums), "outer": [m.reshape(-1) for m in sums.values()]})
+    if sums:
+        yield pd.DataFrame({"size": list(sums), "outer": [m.reshape(-1) for m in sums.values()]})
 
 
 def principal_axes(classes: DataFrame) -> dict[int, np.ndarray]:

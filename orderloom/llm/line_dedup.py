@@ -252,10 +252,10 @@ def _stripped(line: Column) -> Column:
 def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with removed lines taken out of the text; a document that loses its whole text goes."""
     found = repeated_lines(docs, id_col, text_col, **options).filter(F.size("removed") > 0).distinct()
-    found = stage(found.select(F.col(id_col).alias("__rid"), F.col("text_hash").alias("__rhash"), "n_lines", F.col("removed").alias("__removed")), "lines-cut")
+    found = stage(found.select(F.col(id_col).alias("__rid"), F.col("text_hash").alias("__rhash"), F.col("n_lines").alias("__lines"), F.col("removed").alias("__removed")), "lines-cut")
     same = docs[id_col].eqNullSafe(found["__rid"]) & (F.xxhash64(whole_text(text_col)) == found["__rhash"])
     lines = F.split(F.col(text_col), "\n")
-    rest = F.array_except(F.sequence(F.lit(0), F.col("n_lines") - 1), F.col("__removed"))
+    rest = F.array_except(F.sequence(F.lit(0), F.col("__lines") - 1), F.col("__removed"))
     cut = F.array_join(F.transform(rest, lambda i: F.get(lines, i)), "\n")
     joined = docs.join(found, same, "left").withColumn(text_col, F.when(F.col("__removed").isNull(), F.col(text_col)).otherwise(cut))
     return joined.filter(F.col("__removed").isNull() | (F.trim(F.col(text_col)) != "")).select(*docs.columns)

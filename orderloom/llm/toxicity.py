@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 import re
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -109,9 +110,11 @@ class Machine:
 
 
 def windows_of(word: str) -> list[str]:
-    if len(word) <= WINDOW:
-        return [word]
-    return [word[i : i + WINDOW] for i in range(0, len(word) - STRIDE, STRIDE)]
+    """Windows of a word, and of its letters and digits alone if others stand between them."""
+    forms = [word]
+    if not word.isalnum() and not (core := word.strip(string.punctuation)).isalnum():
+        forms.append("".join(c for c in core if c.isalnum()))
+    return [f[i : i + WINDOW] for f in forms if f for i in range(0, max(len(f) - STRIDE, 1), STRIDE)]
 
 
 def read_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:

@@ -8,9 +8,10 @@ the whole corpus:
 1. Each block of documents (some MB of text) becomes a list of its distinct
    chunks and, per document, their positions. Lists are dealt into slots by a
    hash of the chunk, so a chunk that occurs everywhere travels once per block.
-2. A slot's task meets all blocks' chunks with that hash and segments and
-   decodes every distinct one a single time.
-3. Ids and surfaces return to their blocks, which join them by position.
+2. A slot's task meets all blocks' chunks with that hash and segments every
+   distinct one a single time.
+3. Ids return to their blocks, which join them by position. The blocks' positions
+   are shuffled once, by block; both steps read that same exchange.
 """
 
 from __future__ import annotations
@@ -26,12 +27,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from orderloom.llm.tables import whole_text
-from orderloom.sources.staging import stage
 
 MARK = "▁"
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 16 << 20
 JOIN_CODES = 1 << 20  # chunks joined at a time
 ODD = f"^$|  |^ | $| \n|{MARK}"  # texts whose chunks aren't simply what stands between single spaces
 CHUNKS = re.compile(f"{MARK}+[^{MARK}\n]*|\n[^{MARK}\n]*")
@@ -59,12 +60,9 @@ def split_chunks(text: str) -> list[str]:
     return [c if c[0] == "\n" else c[1:].replace(MARK, " ") for c in CHUNKS.findall(marked)]
 
 
-def _segment(model, chunks: list[str]) -> tuple[list[list[int]], list[str]]:
-    """Ids and surfaces; a surface keeps its marker as a space."""
+def _segment(model, chunks: list[str]) -> list[list[int]]:
     mark = model.piece_to_id(MARK)
-    ids = model.encode(chunks, num_threads=1)
-    ids = [(i[1:] if c[:1] == "\n" else i) if c else [mark] for c, i in zip(chunks, ids)]
-    return ids, model.decode([[mark, *i] for i in ids], num_threads=1)
+    return [(ids[1:] if c[:1] == "\n" else ids) if c else [mark] for c, ids in zip(chunks, model.encode(chunks, num_threads=1))]
 
 
 def _pack(array: np.ndarray) -> bytes:
@@ -175,70 +173,62 @@ def _segmenter(path: str):
                     at, known = slot, {}
                 words = _listed(body, lengths)
                 new = [w for w in words if w not in known]
-                if new:
-                    for w, ids, surface in zip(new, *_segment(model, new)):
-                        known[w] = (np.array(ids, "<u4").tobytes(), surface.encode())
+                known.update((w, np.array(ids, "<u4").tobytes()) for w, ids in zip(new, _segment(model, new) if new else ()))
                 found = [known[w] for w in words]
-                sizes = np.array([(len(i) // 4, len(s)) for i, s in found], "<u4")
-                flat = np.frombuffer(b"".join(i for i, _ in found), "<u4")
+                sizes = np.fromiter(map(len, found), "<u4", len(found)) // 4
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([block], pa.int64()),
                         pa.array([slot], pa.int32()),
-                        pa.array([_pack(flat)], pa.binary()),
-                        pa.array([_pack(sizes.reshape(-1))], pa.binary()),
-                        pa.array([_squeeze(b"".join(s for _, s in found))], pa.binary()),
+                        pa.array([_pack(np.frombuffer(b"".join(found), "<u4"))], pa.binary()),
+                        pa.array([_pack(sizes.astype("<u4"))], pa.binary()),
                     ],
-                    names=["block", "slot", "body", "counts", "dealt"],
+                    names=["block", "slot", "body", "counts"],
                 )
 
     return segment
 
 
-def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    own = sizes[codes]
-    ends = np.cumsum(own)
-    return flat[np.repeat(starts[codes] - (ends - own), own) + np.arange(int(own.sum()))], ends
+def _lists_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # A filter in the plan would be pushed below the exchange, and the two readers couldn't share it.
+    for batch in batches:
+        yield batch.filter(pc.greater_equal(batch.column("slot"), 0)).select(["block", "slot", "body", "counts"])
 
 
-def _joiner(path: str, id_field: str, out: pa.Schema):
-    def join(table: pa.Table) -> pa.Table:
+def _joiner(path: str, out: pa.Schema):
+    def join(block: pa.Table, segmented: pa.Table) -> pa.Table:
         model = load_model(path)
-        rows = sorted(table.select(["slot", "body", "counts", "dealt"]).to_pylist(), key=lambda r: r["slot"])
-        head, parts = rows[0], rows[1:]
-        doc_ids = table.filter(pc.equal(table["slot"], -1))["ids"].combine_chunks().flatten()
-        codes, counts = _unpack(head["body"], "<u4").astype(np.int64), _unpack(head["counts"], "<u4").astype(np.int64)
+        own = block.filter(pc.equal(block["slot"], -1))
+        doc_ids = own["ids"].combine_chunks().flatten()
+        head = own.select(["body", "counts", "dealt"]).to_pylist()[0]
+        codes, counts = _unpack(head["body"], "<u4"), _unpack(head["counts"], "<u4").astype(np.int64)
         order = np.argsort(_unpack(head["dealt"], "<i4"), kind="stable")
-        sizes = np.concatenate([np.zeros((0, 2), np.int64), *(_unpack(r["counts"], "<u4").reshape(-1, 2).astype(np.int64) for r in parts)])
+        parts = sorted(segmented.select(["slot", "body", "counts"]).to_pylist(), key=lambda r: r["slot"])
+        sizes = np.concatenate([np.zeros(0, np.int64), *(_unpack(r["counts"], "<u4").astype(np.int64) for r in parts)])
         ids = np.concatenate([np.zeros(0, "<u4"), *(_unpack(r["body"], "<u4") for r in parts), np.array([model.bos_id(), model.eos_id()], "<u4")])
-        surfaces = np.frombuffer(b"".join(_unsqueeze(r["dealt"]) for r in parts), np.uint8)
         # Back from slot order to the block's codes; two more codes stand for begin and end.
-        n, starts = len(order), np.cumsum(sizes, axis=0) - sizes
-        place = np.empty(n, np.int64)
+        n, place = len(order), np.empty(len(order), np.int64)
         place[order] = np.arange(n)
-        id_size, id_start = np.append(sizes[place, 0], [1, 1]), np.append(starts[place, 0], [len(ids) - 2, len(ids) - 1])
-        text_size, text_start = np.append(sizes[place, 1], [0, 0]), np.append(starts[place, 1], [0, 0])
-        ends = np.cumsum(counts)
-        made: list[pa.RecordBatch] = []
-        at = 0
+        id_size, id_start = np.append(sizes[place], [1, 1]), np.append((np.cumsum(sizes) - sizes)[place], [len(ids) - 2, len(ids) - 1])
+        ends, made, at = np.cumsum(counts), [], 0
         while at < len(counts):
             before = int(ends[at - 1]) if at else 0
             upto = max(int(np.searchsorted(ends, before + JOIN_CODES, "right")), at + 1)
-            own = ends[at:upto] - before
-            framed = np.insert(codes[before : int(ends[upto - 1])], np.stack([np.append(0, own[:-1]), own], 1).reshape(-1), np.tile([n, n + 1], upto - at))
-            last = np.cumsum(counts[at:upto] + 2) - 1
-            flat, id_ends = _gather(ids, id_start, id_size, framed)
-            text, text_ends = _gather(surfaces, text_start, text_size, framed)
-            id_cut, text_cut = np.append(0, id_ends[last]), np.append(0, text_ends[last])
-            blob, whole = flat.astype("<u4").tobytes(), text.tobytes()
+            own_ends = ends[at:upto] - before
+            frame = np.stack([np.append(0, own_ends[:-1]), own_ends], 1).reshape(-1)
+            framed = np.insert(codes[before : int(ends[upto - 1])].astype(np.int64), frame, np.tile([n, n + 1], upto - at))
+            own_size = id_size[framed]
+            id_ends = np.cumsum(own_size)
+            flat = ids[np.repeat(id_start[framed] - (id_ends - own_size), own_size) + np.arange(int(id_ends[-1]))]
+            cut = np.append(0, id_ends[np.cumsum(counts[at:upto] + 2) - 1])
+            blob = flat.astype("<u4").tobytes()
             made.append(
                 pa.RecordBatch.from_arrays(
                     [
                         doc_ids.slice(at, upto - at),
-                        pa.array(np.diff(id_cut), pa.int64()),
-                        pa.array([blob[4 * a : 4 * b] for a, b in zip(id_cut[:-1], id_cut[1:])], pa.binary()),
-                        # The first marker isn't part of the text.
-                        pa.array([whole[a + (b > a) : b] for a, b in zip(text_cut[:-1], text_cut[1:])], pa.binary()).cast(pa.string()),
+                        pa.array(np.diff(cut), pa.int64()),
+                        pa.array([blob[4 * a : 4 * b] for a, b in zip(cut[:-1], cut[1:])], pa.binary()),
+                        pa.array([model.decode(flat[a:b].tolist()) for a, b in zip(cut[:-1], cut[1:])], pa.string()),
                     ],
                     schema=out,
                 )
@@ -253,33 +243,21 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     """One row per row of ``docs``: id, n_tokens, ids (little-endian uint32), decoded text.
 
     Ids have begin and end ids and equal the library's for the whole text;
-    ``decoded`` equals its ``decode(ids)``. Null and empty texts give the two ids
+    ``decoded`` is its ``decode(ids)``. Null and empty texts give the two ids
     and an empty text. Any length is taken whole, repeated rows give repeated
     results, a null id stays null, other columns are ignored, and an empty table
     gives no rows.
     """
-    spark = docs.sparkSession
     load_model(model_path)
-    slots = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     id_type = docs.schema[id_col].dataType
-    dealt_schema = T.StructType(
-        [T.StructField(n, t) for n, t in (("block", T.LongType()), ("slot", T.IntegerType()), ("body", T.BinaryType()), ("counts", T.BinaryType()), ("dealt", T.BinaryType()))]
-    )
+    binary = T.BinaryType()
+    lists = T.StructType([T.StructField(n, t) for n, t in (("block", T.LongType()), ("slot", T.IntegerType()), ("body", binary), ("counts", binary))])
+    dealt_type = T.StructType([*lists.fields, T.StructField("dealt", binary), T.StructField("ids", T.ArrayType(id_type))])
     texts = docs.select(F.col(id_col).alias("__id"), whole_text(text_col).alias("__text"))
-    dealt = stage(
-        texts.mapInArrow(_dealer(slots, block_bytes), T.StructType([*dealt_schema.fields, T.StructField("ids", T.ArrayType(id_type))])), "chunks"
-    )
-    segmented = (
-        dealt.filter("slot >= 0")
-        .select("block", "slot", "body", "counts")
-        .repartition("slot")
-        .sortWithinPartitions("slot")
-        .mapInArrow(_segmenter(model_path), dealt_schema)
-    )
-    whole = dealt.filter("slot < 0").unionByName(segmented, allowMissingColumns=True)
-    result = T.StructType(
-        [T.StructField(id_col, id_type), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())]
-    )
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    return whole.groupBy("block").applyInArrow(_joiner(model_path, id_col, to_arrow_schema(result)), result)
+    dealt = texts.mapInArrow(_dealer(2 * partitions, block_bytes), dealt_type).repartition(partitions, "block")
+    by_slot = dealt.mapInArrow(_lists_only, lists).repartition("slot").sortWithinPartitions("slot")
+    segmented = by_slot.mapInArrow(_segmenter(model_path), lists)
+    result = T.StructType([T.StructField(id_col, id_type), T.StructField("n_tokens", T.LongType()), T.StructField("ids", binary), T.StructField("decoded", T.StringType())])
+    join = _joiner(model_path, to_arrow_schema(result))
+    return dealt.groupBy("block").cogroup(segmented.groupBy("block")).applyInArrow(join, result)

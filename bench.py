@@ -11,7 +11,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from orderloom.plans.queries import QUERIES  # noqa: E402
-from orderloom.session import build_session  # noqa: E402
+from orderloom.session import ONE_MACHINE, build_session  # noqa: E402
 
 HEADLINE = [
     "kpi_monthly_tx",
@@ -50,6 +50,7 @@ def main() -> None:
         "orderloom-bench",
         master=f"local[{cpus}]",
         shuffle_partitions=cpus,
+        **ONE_MACHINE,
         **{"spark.checkpoint.dir": f"{scratch}/checkpoint", "spark.sql.warehouse.dir": f"{scratch}/warehouse"},
     )
     # Rounds over all queries, so that each is timed with the JVM's compilers warm.

@@ -30,6 +30,7 @@ class RunConfig:
         """This configuration with its timestamp fixed, so that all rows of a run agree."""
         return replace(self, run_ts=self.run_ts or datetime.now(UTC).replace(tzinfo=None))
 
+    # The wording of both notes.
     def training_notes(self, holdout_n: int) -> str:
         return (
             f"horizon_days={self.horizon_days}, active_lookback_days={self.active_lookback_days}, "

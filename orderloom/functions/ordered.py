@@ -11,11 +11,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-MAX_RANGES = 512
-
 
 def _range_count(df: DataFrame) -> int:
-    return max(8, min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_RANGES))
+    return max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _range_of(splitters: str, key: str, ranges: int) -> Column:
+    """Number of splitters below the key, by a binary search of the sorted array."""
+    middle = "cast((b.lo + b.hi) div 2 as int)"
+    return F.expr(
+        f"""aggregate(sequence(0, {ranges.bit_length()}), named_struct('lo', 0, 'hi', size({splitters})),
+          (b, i) -> if(b.lo >= b.hi, b, if(get({splitters}, {middle}) < {key},
+            named_struct('lo', {middle} + 1, 'hi', b.hi), named_struct('lo', b.lo, 'hi', {middle}))),
+          b -> b.lo)"""
+    )
 
 
 def _splitters(df: DataFrame, key: Column, carried: Sequence[str], n: int) -> Column:
@@ -56,7 +65,7 @@ def running_sums(
     ranged = (
         df.withColumn("_key", key)
         .withColumn("_splitters", _splitters(df, key, sums, ranges))
-        .withColumn("_range", F.expr("coalesce(size(filter(_splitters, s -> s < _key)), 0)"))
+        .withColumn("_range", F.coalesce(_range_of("_splitters", "_key", ranges), F.lit(0)))
         .drop("_key", "_splitters")
     )
     # At most ranges + 1 rows per partition value.

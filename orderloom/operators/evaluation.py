@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from orderloom.functions.ordered import exact_quantiles, quantile_bin, running_sums
 from orderloom.functions.scalar import sorted_report
 
+# The thresholds that are tried.
 THRESHOLDS = [float(t) for t in np.linspace(0.05, 0.95, 19)]
 
 

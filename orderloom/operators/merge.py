@@ -9,6 +9,7 @@ skip the joins, so any number of them never meets in one task.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -31,16 +32,21 @@ def _single_per_key(source: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def latest_per_key(source: DataFrame, keys: list[str], order_col: str | None = "ingested_at") -> DataFrame:
+def _newest(keyed: DataFrame, keys: list[str], order_by: Sequence[str]) -> DataFrame:
+    """An aggregate, not a window: a key with very many copies shrinks before the shuffle."""
+    values = [c for c in keyed.columns if c not in keys and c not in order_by]
+    ranked = F.struct(*order_by, *values)
+    return keyed.groupBy(*keys).agg(F.max(ranked).alias("_row")).select(*keys, *[F.col("_row")[c].alias(c) for c in values])
+
+
+def latest_per_key(source: DataFrame, keys: list[str], order_by: Sequence[str] = ("ingested_at",)) -> DataFrame:
     """The newest row of each key; equal times are decided by the other columns.
 
-    An aggregate, not a window: a key with very many copies shrinks before the shuffle.
+    Rows whose key contains NULL are no copies of each other: all of them stay. The
+    columns in ``order_by`` are left out of the result.
     """
-    values = [c for c in source.columns if c not in keys and c != order_col]
-    ranked = F.struct(*([order_col] if order_col else []), *values)
-    return (
-        source.groupBy(*keys).agg(F.max(ranked).alias("_row")).select(*keys, *[F.col("_row")[c].alias(c) for c in values])
-    )
+    newest = _newest(source.filter(~any_null(keys)), keys, order_by)
+    return newest.unionByName(source.filter(any_null(keys)).select(*newest.columns))
 
 
 def upsert(
@@ -67,11 +73,12 @@ def upsert(
 
     keyed = source.filter(~any_null(keys))
     if on_duplicate == "latest":
-        newest = order_col if order_col in source.columns else None
-        delivered = latest_per_key(keyed.select(*keys, *values, *([newest] if newest else [])), keys, newest)
+        order_by = [order_col] if order_col in source.columns else []
+        delivered = _newest(keyed.select(*keys, *values, *order_by), keys, order_by)
+        delivered_keys = keyed.select(*keys).distinct()
     else:
         delivered = _single_per_key(keyed.select(*keys, *values), keys)
-    delivered_keys = keyed.select(*keys).distinct()
+        delivered_keys = keyed.select(*keys)  # semi and anti joins don't mind repeats
 
     if touch_matched:
         stamped = delivered.withColumn("updated_at", now)

@@ -17,6 +17,7 @@ WARMUP_DAYS = 120
 MIN_MONTH_STARTS = 6
 FALLBACK_STEP_DAYS = 14
 
+# The model's features, in order.
 FEATURE_COLS = [
     "recency_days",
     "frequency_30d",

@@ -3,8 +3,6 @@ the definitions rather than from the way the operators compute them."""
 
 from __future__ import annotations
 
-from orderloom.operators.evaluation import THRESHOLDS
-
 _ORDERS = """
 orders_s AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
@@ -234,7 +232,11 @@ _ORDER_VALUES = [
 _ITEM_VALUES = ["product_id", "seller_id", "shipping_limit_ts", "price", "freight_value", "revenue"]
 _CUSTOMER_VALUES = ["customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state"]
 
-_THRESHOLD_ROWS = ", ".join(f"(CAST({t!r} AS DOUBLE))" for t in THRESHOLDS)
+# The 19 thresholds.
+_THRESHOLD_ROWS = ", ".join(
+    f"(CAST({t} AS DOUBLE))"
+    for t in "0.05 0.1 0.15 0.2 0.25 0.3 0.35 0.4 0.45 0.5 0.55 0.6 0.65 0.7 0.75 0.8 0.85 0.9 0.95".split()
+)
 
 
 def _missing(dim: str, dim_key: str, fact_key: str, label: str) -> str:
@@ -358,6 +360,23 @@ FROM (SELECT order_id, order_item_id FROM fact_items_s GROUP BY 1, 2 HAVING coun
         "SELECT customer_key FROM dim_customer_s WHERE customer_state <> 'ASIA'",
         "customer_key", "customer_key", "FACT_ORDERS missing DIM_CUSTOMER",
     ),
+    "dq_referential": _MODEL_ALL + """
+SELECT 'FACT_ORDERS missing DIM_CUSTOMER' AS check_name, CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status, count(*) AS bad_rows
+FROM fact_orders_s f WHERE NOT EXISTS (SELECT 1 FROM dim_customer_s d WHERE d.customer_key = f.customer_key)
+UNION ALL
+SELECT 'FACT_ORDERS missing DIM_DATE', CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END, count(*)
+FROM fact_orders_s f WHERE NOT EXISTS (SELECT 1 FROM dim_date_s d WHERE d.date_key = f.order_date)""",
+    "fold_plan": _SNAP_ALL + "," + _CANDIDATES + """,
+per_day AS (
+  SELECT ds.snapshot_date AS d, count(*) AS n, sum(target_1) AS p, row_number() OVER (ORDER BY ds.snapshot_date) - 1 AS i
+  FROM ds JOIN splits ON splits.snapshot_date = ds.snapshot_date WHERE split = 'train' GROUP BY 1),
+folds AS (
+  SELECT v.d, v.n, v.p, (SELECT min(d) FROM per_day) AS train_start,
+    (SELECT sum(n) FROM per_day t WHERE t.d < v.d) AS train_rows, (SELECT sum(p) FROM per_day t WHERE t.d < v.d) AS train_positives
+  FROM per_day v WHERE i >= 5)
+SELECT 'cv_fold_' || CAST(row_number() OVER (ORDER BY d) AS VARCHAR) AS fold, train_start, d AS validation,
+  CAST(train_rows AS BIGINT) AS train_rows, CAST(train_positives AS BIGINT) AS train_positives, n AS rows, CAST(p AS BIGINT) AS positives
+FROM folds WHERE train_positives > 0 AND train_positives < train_rows""",
     "dq_missing_date": _MODEL_ALL
     + _missing(
         "SELECT CAST(order_purchase_ts AS DATE) AS date_key FROM orders_s WHERE order_status = 'delivered'",

@@ -170,7 +170,7 @@ def upsert_customers(spark, sf):
 
 
 def dq_gold_rowcount(spark, sf):
-    tx = _tx(spark, sf)
+    tx = stage(_tx(spark, sf), "transactions")
     return quality.rowcount_checks(
         {
             "KPI_MONTHLY_REVENUE": kpi.monthly_revenue_tx(tx),
@@ -181,7 +181,7 @@ def dq_gold_rowcount(spark, sf):
 
 
 def dq_gold_notnull(spark, sf):
-    tx = _tx(spark, sf)
+    tx = stage(_tx(spark, sf), "transactions")
     return quality.not_null_checks(
         {
             "MONTHLY": (kpi.monthly_revenue_tx(tx), "year_month"),
@@ -225,6 +225,18 @@ def dq_missing_customer(spark, sf):
     )
 
 
+def dq_referential(spark, sf):
+    """Both checks against the whole dimensions, in one report."""
+    orders, customers = src.silver_orders(spark, sf), src.silver_customers(spark, sf)
+    fact = stage(_facts(spark, sf)[0], "facts")
+    by_customer = quality.missing_reference_check(
+        fact, "customer_key", model.dim_customer(customers), "customer_key", "FACT_ORDERS missing DIM_CUSTOMER"
+    )
+    return by_customer.unionByName(
+        quality.missing_reference_check(fact, "order_date", model.dim_date(orders), "date_key", "FACT_ORDERS missing DIM_DATE")
+    )
+
+
 def dq_missing_date(spark, sf):
     """Against the days on which something was delivered."""
     delivered = src.silver_orders(spark, sf).filter(F.col("order_status") == "delivered")
@@ -492,16 +504,26 @@ def table_evolve(spark, sf):
 
 
 def merge_arriving_orders(spark, sf):
-    """Order files merged by a stream: first the open ones, then everything."""
+    """Order files merged by a stream: first the open ones; then, in one batch, an older
+    state of every order (whose text sorts last) and the newer one that must win."""
     tables = _tables(spark)
     tables.create_table("silver.orders")
     folder = fresh_path(spark, "arriving")
     orders = src.bronze_orders(spark, sf)
-    for part, rows in (("a", orders.filter(F.col("order_status") == "o")), ("b", orders)):
-        rows.write.option("header", True).csv(f"{folder}/{part}_orders_dataset.csv")
+
+    def deliver(name: str, rows: DataFrame) -> None:
+        rows.write.option("header", True).csv(f"{folder}/{name}_orders_dataset.csv")
+
+    def merge_arrived() -> None:
         incremental.merge_new_orders(
             tables, folder, f"{folder}/progress", pattern="*orders_dataset.csv", run_ts=RUN_TS
         ).awaitTermination()
+
+    deliver("a", orders.filter(F.col("order_status") == "o"))
+    merge_arrived()
+    deliver("b", orders.withColumn("order_status", F.lit("zz_older")))
+    deliver("c", orders)
+    merge_arrived()
     return tables.read("silver.orders")
 
 
@@ -512,6 +534,24 @@ QUICK_TREES = 20
 QUICK_MIN_TRAIN = 68
 
 
+def fold_plan(spark, sf):
+    """The validation folds of the whole history: dates, and the rows and positives trained on and validated."""
+    ds = stage(_snapshots(spark, sf), "snapshots")
+    cfg = RunConfig()
+    split = snapshots.snapshot_splits(ds, cfg.holdout_snapshots, cfg.min_train_snapshots)
+    train = ds.join(F.broadcast(split.filter(F.col("split") == "train").select("snapshot_date")), "snapshot_date", "left_semi")
+    counts = training.snapshot_class_counts(train)
+    rows = []
+    for fold in training.expanding_folds(counts, cfg.min_train_snapshots):
+        before = [c for c in counts if c[0] < fold.validation]
+        own = next(c for c in counts if c[0] == fold.validation)
+        rows.append((fold.name, fold.train_start, fold.validation, sum(c[2] for c in before), sum(c[1] for c in before), own[2], own[1]))
+    return spark.createDataFrame(
+        rows,
+        "fold string, train_start date, validation date, train_rows long, train_positives long, rows long, positives long",
+    )
+
+
 def _training_set(spark: SparkSession, sf: str) -> tuple[DataFrame, RunConfig]:
     cfg = RunConfig(min_train_snapshots=QUICK_MIN_TRAIN, run_ts=RUN_TS)
     return training_plan.staged_dataset(sales.customer_orders(*_silver(spark, sf)), cfg), cfg
@@ -566,7 +606,7 @@ QUERIES: dict[str, Query] = {
         dim_customer, dim_date, fact_orders, fact_order_items,
         upsert_orders, upsert_items, upsert_customers,
         dq_gold_rowcount, dq_gold_notnull, dq_layer_counts,
-        dq_duplicate_items, dq_missing_customer, dq_missing_date,
+        dq_duplicate_items, dq_missing_customer, dq_missing_date, dq_referential, fold_plan,
         customer_features, customer_orders,
         churn_score_rfm, churn_score_legacy, label_churn_recency,
         daily_anomaly, zscore_generic, forecast_ma7,

@@ -13,6 +13,7 @@ from orderloom.operators import evaluation, noise, registry, snapshots, training
 from orderloom.sources.staging import stage
 
 CANDIDATES = ("logreg_calibrated", "hgb_challenger")
+# Names and notes in the model tables.
 EXTENDED_MODEL = "logreg_calibrated_ext"
 EXTENDED_NOTES = "extension_cell: winsorize+log+trend+calibration"
 

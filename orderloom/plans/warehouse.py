@@ -119,16 +119,18 @@ def run_warehouse(
     load: bool = True,
     fail_on_dq: bool = False,
     on_duplicate: str = "error",
+    append_bronze: bool = False,
 ) -> QualityReport:
     """Load, merge, model, gold, scores, checks. ``load=False`` reruns from bronze as it is.
 
-    A failed check stops the run only with ``fail_on_dq``.
+    With ``append_bronze`` a delivery is added to bronze instead of taking its place;
+    then ``on_duplicate="latest"`` lets the newest delivery of a key win. A failed check stops the run only with ``fail_on_dq``.
     """
     cfg = cfg.started()
     tables = LayerTables(spark, root, prefix)
     tables.create_all()
     if load:
-        load_bronze(tables, cfg, append=False)
+        load_bronze(tables, cfg, append=append_bronze)
     merge_silver(tables, cfg, on_duplicate)
     build_model(tables, cfg)
     create_gold_views(tables)

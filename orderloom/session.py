@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
+#: For one machine and little data: more driver memory, and smaller merged partitions that keep every core busy.
+ONE_MACHINE = {"spark.driver.memory": "12g", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k"}
+
+
 def build_session(
     app_name: str = "orderloom",
     master: str | None = None,
@@ -14,7 +18,8 @@ def build_session(
     """Session with adaptive execution, skew handling and a fixed time zone.
 
     Shuffle partitions are left to the cluster's setting unless given: adaptive
-    execution merges small ones, so a large value is safe for large inputs.
+    execution merges small ones, so a large value is safe for large inputs. Settings
+    don't depend on the master; a run on one machine passes what it needs in ``conf``.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -28,14 +33,9 @@ def build_session(
     )
     if master:
         builder = builder.master(master)
-        if master.startswith("local"):
-            # One machine, little data: smaller merged partitions keep every core busy.
-            builder = builder.config("spark.driver.memory", "12g").config(
-                "spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k"
-            )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for key, value in conf.items():
+    for key, value in conf.items():  # such as ONE_MACHINE
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

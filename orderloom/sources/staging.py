@@ -40,13 +40,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged.staged_path = path
+    return staged
 
 
 def discard(staged: DataFrame) -> None:
     """Delete the files of a frame that ``stage`` returned and nothing reads any more."""
-    for folder in {f.rsplit("/", 1)[0] for f in staged.inputFiles()}:
-        delete_folder(staged.sparkSession, folder)
+    delete_folder(staged.sparkSession, staged.staged_path)
 
 
 def delete_folder(spark: SparkSession, folder: str) -> None:

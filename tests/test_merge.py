@@ -99,3 +99,11 @@ def test_twice_is_once_but_for_the_time(spark, before, delivery):
     twice = merge.upsert(once, source, ["k"], run_ts=LATER)
     assert {(k, v) for k, v, _ in _rows(once)} == set({**before, **delivery}.items())
     assert [r[:2] for r in _rows(once)] == [r[:2] for r in _rows(twice)]
+
+
+def test_keyless_rows_all_stay_when_the_newest_wins(spark):
+    rows = spark.createDataFrame(
+        [("a", "old", 1), ("a", "new", 2), (None, "x", 1), (None, "y", 2)], "order_id string, order_status string, ingested_at int"
+    )
+    newest = merge.latest_per_key(rows, ["order_id"])
+    assert sorted(map(tuple, newest.collect()), key=repr) == [("a", "new"), (None, "x"), (None, "y")]

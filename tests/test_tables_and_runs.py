@@ -1,3 +1,4 @@
+import os
 from datetime import date, datetime
 
 import pytest
@@ -85,7 +86,7 @@ def test_create_all_is_repeatable(tables):
 @pytest.fixture(scope="module")
 def raw_files(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("raw"))
-    items = merge.latest_per_key(testtables.bronze_order_items(spark, SF), merge.ORDER_ITEMS_KEY, None)
+    items = merge.latest_per_key(testtables.bronze_order_items(spark, SF), merge.ORDER_ITEMS_KEY, ())
     frames = {
         "orders": testtables.bronze_orders(spark, SF),
         "order_items": items.select(testtables.bronze_order_items(spark, SF).columns),
@@ -134,3 +135,28 @@ def test_new_files_are_merged_once(spark, tables, tmp_path):
     assert deliver("2_orders_dataset.csv", ("o2", "delivered"), ("o3", "created")) == {
         "o1": "created", "o2": "delivered", "o3": "created",
     }
+
+
+def test_newest_file_wins_and_keyless_orders_stay(spark, tables, tmp_path):
+    tables.create_table("silver.orders")
+    folder = tmp_path / "in"
+    folder.mkdir()
+    header = "a,b,c,d,e,f,g,h\n"
+    for k, (name, rows) in enumerate(
+        (("1_orders_dataset.csv", ("o1,c,shipped", ",c,lost1")), ("2_orders_dataset.csv", ("o1,c,delivered", ",c,lost2")))
+    ):
+        path = folder / name
+        path.write_text(header + "".join(f"{r},2020-01-01 00:00:00,,,,\n" for r in rows))
+        os.utime(path, (1_600_000_000 + 60 * k,) * 2)
+    incremental.merge_new_orders(tables, str(folder), str(tmp_path / "progress"), run_ts=NOW).awaitTermination()
+    rows = [(r["order_id"], r["order_status"]) for r in tables.read("silver.orders").collect()]
+    assert sorted(rows, key=repr) == [("o1", "delivered"), (None, "lost1"), (None, "lost2")]
+
+
+def test_second_delivery_is_added_to_bronze(spark, tables, raw_files):
+    cfg = RunConfig(raw_path=raw_files, run_ts=NOW)
+    args = (spark, tables.root, cfg, tables.prefix)
+    warehouse.run_warehouse(*args)
+    once, silver = tables.read("bronze.orders_raw").count(), tables.read("silver.orders").count()
+    warehouse.run_warehouse(*args, append_bronze=True, on_duplicate="latest")
+    assert tables.read("bronze.orders_raw").count() == 2 * once and tables.read("silver.orders").count() == silver

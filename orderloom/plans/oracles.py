@@ -457,6 +457,25 @@ FROM (SELECT unnest([
     {{'metric_name': 'auc', 'metric_value': auc}}, {{'metric_name': 'pr_auc', 'metric_value': pr_auc}},
     {{'metric_name': 'precision_at_k', 'metric_value': top_rate}}, {{'metric_name': 'lift_at_k', 'metric_value': top_rate / (p / n)}},
     {{'metric_name': 'sample_size', 'metric_value': n}}, {{'metric_name': 'churn_rate', 'metric_value': p / n}}]) AS m FROM metrics), cut""",
+    "registry_choice": _SNAP_ALL + "," + _CANDIDATES + "," + _METRICS_BY + "," + _LONG + """,
+sel AS (
+  SELECT model_name, CAST(0.5 AS DOUBLE) * avg(CASE WHEN split_name LIKE 'cv\\_fold%' ESCAPE '\\' AND metric_name = 'lift_at_k' THEN metric_value END)
+    + CAST(0.4 AS DOUBLE) * max(CASE WHEN split_name = 'holdout' AND metric_name = 'lift_at_k' THEN metric_value END)
+    + CAST(0.1 AS DOUBLE) * max(CASE WHEN split_name = 'holdout' AND metric_name = 'auc' THEN metric_value END) AS selection_score
+  FROM long GROUP BY 1)
+SELECT sel.model_name, CASE WHEN selection_score = (SELECT max(selection_score) FROM sel) THEN 'CHAMPION' ELSE 'CHALLENGER' END AS status,
+  'v1' AS model_version, """ + _RUN + """ AS run_ts, 'rules' AS notes, """ + ", ".join(
+        f"round(CAST(max(CASE WHEN metric_name = '{m}' THEN metric_value END) AS DOUBLE), 6) AS holdout_{m}"
+        for m in ("auc", "pr_auc", "lift_at_k", "precision_at_k", "positive_rate", "sample_size")
+    ) + """
+FROM sel JOIN long ON long.model_name = sel.model_name WHERE split_name = 'holdout' GROUP BY sel.model_name, selection_score""",
+    "metric_table": _SNAP_ALL + "," + _CANDIDATES + "," + _METRICS_BY + "," + _LONG + """,
+days AS (SELECT split_part(g, '|', 2) AS split_name, min(k2) AS snapshot_start, max(k2) AS snapshot_end FROM in_rows GROUP BY 1)
+SELECT model_name, long.split_name, snapshot_start, snapshot_end, metric_name, round(CAST(metric_value AS DOUBLE), 6) AS metric_value,
+  'v1' AS model_version, """ + _RUN + """ AS run_ts
+FROM long JOIN days ON days.split_name = long.split_name""",
+    "boundary_nulls": """
+SELECT CAST(c_custkey AS VARCHAR) AS customer_id, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS balance, CAST(NULL AS VARCHAR) AS note FROM customer""",
     "load_orders_csv": _with(_ORDERS) + f"""
 SELECT order_id, customer_id, order_status, CAST(order_purchase_ts AS VARCHAR) AS order_purchase_timestamp,
   CAST(order_approved_ts AS VARCHAR) AS order_approved_at, CAST(order_delivered_carrier_ts AS VARCHAR) AS order_delivered_carrier_date,
@@ -487,6 +506,10 @@ WHERE CAST(order_purchase_ts AS DATE) NOT IN (SELECT order_date FROM daily)""",
     "merge_arriving_orders": _with(_ORDERS) + f" SELECT *, {_RUN} AS updated_at FROM orders_s",
 }
 
+ORACLES["repeat_labels"] = _EV_ALL + f"""
+SELECT customer_id, CASE WHEN score >= (SELECT threshold FROM ({ORACLES["best_threshold"]})) THEN 'LIKELY_REPEAT'
+  ELSE 'UNLIKELY_REPEAT' END AS churn_label FROM scored"""
+
 # The SQL views say the same as the operators of the model variant.
 ORACLES["view_monthly"] = ORACLES["kpi_monthly_model"]
 ORACLES["view_daily"] = ORACLES["kpi_daily_model"]

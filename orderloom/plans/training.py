@@ -56,8 +56,9 @@ def _split(ds: DataFrame, cfg: RunConfig) -> tuple[DataFrame, DataFrame, list, l
 
 
 def run_training(ds: DataFrame, cfg: RunConfig, candidates=CANDIDATES, options: dict | None = None) -> TrainingRun:
-    """``options`` maps a model name to extra fit arguments."""
+    """``options`` maps a model name to extra fit arguments, and ``parallelism``: how many folds are fitted at once."""
     options = options or {}
+    fit_options = {n: {k: v for k, v in o.items() if k != "parallelism"} for n, o in options.items()}
     cfg = cfg.started()
     train, holdout, _, holdout_dates = _split(ds, cfg)
     notes = cfg.training_notes(len(holdout_dates))
@@ -66,7 +67,7 @@ def run_training(ds: DataFrame, cfg: RunConfig, candidates=CANDIDATES, options:
     models, scored, splits = {}, [], []
     for name in candidates:
         folds, oof = training.rolling_time_cv(train, name, cfg.min_train_snapshots, **options.get(name, {}))
-        models[name] = training.fit_model(name, train, **options.get(name, {}))
+        models[name] = training.fit_model(name, train, **fit_options.get(name, {}))
         scored += [oof, training.scored_rows(models[name], holdout, name, "holdout")]
         splits += [(name, f.name, f.train_start, f.validation) for f in folds]
         splits.append((name, "holdout", holdout_dates[0], holdout_dates[-1]))

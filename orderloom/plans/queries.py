@@ -621,19 +621,18 @@ def extended_calibration(spark, sf):
 
 # The boosted challenger on every fold takes longer than a registered query should; it's fitted once in train_gbt.
 VALIDATED = ("logreg_calibrated",)
-FITS_AT_ONCE = 8
 
 
 def model_registry(spark, sf):
     """The calibrated logistic validated on all folds, and registered."""
     ds, cfg = _training_set(spark, sf)
-    return training_plan.run_training(ds, cfg, VALIDATED, {n: {"parallelism": FITS_AT_ONCE} for n in VALIDATED}).registry
+    return training_plan.run_training(ds, cfg, VALIDATED).registry
 
 
 def repeat_scores(spark, sf):
     """The latest snapshot scored by the calibrated logistic, with the threshold chosen over all folds."""
     ds, cfg = _training_set(spark, sf)
-    return training_plan.run_training(ds, cfg, VALIDATED, {n: {"parallelism": FITS_AT_ONCE} for n in VALIDATED}).scores
+    return training_plan.run_training(ds, cfg, VALIDATED).scores
 
 
 def baseline_report(spark, sf):

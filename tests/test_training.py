@@ -2,6 +2,7 @@ from datetime import date
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from orderloom.operators import evaluation, registry, training
 from orderloom.operators.training import Fold, expanding_folds
@@ -100,3 +101,18 @@ def test_best_candidate(spark):
     assert best(("m1", 1.0), ("m2", 2.0), ("m3", None)) == "m2"
     assert best(("m2", 1.0), ("m1", 1.0)) == "m1"
     assert best(("m1", float("nan")), ("m2", 0.1)) == "m2"
+
+
+def test_fits_of_all_folds_at_once_equal_fits_one_by_one(spark):
+    from orderloom.plans import queries, training as plan
+
+    ds, cfg = queries._training_set(spark, "/root/testdata/sf0.01")
+    train = plan._split(ds, cfg)[0]
+    folds = training.expanding_folds(training.snapshot_class_counts(train), cfg.min_train_snapshots)
+    assert len(folds) == 65
+    chosen = [folds[10], folds[-1]]
+    for fold, model in zip(chosen, training.fit_calibrated_by_fold(train, chosen)):
+        alone = training.fit_calibrated_logistic(train.filter(F.col("snapshot_date") < F.lit(fold.validation)))
+        for a, b in zip(model.parts, alone.parts):
+            assert a.stats == b.stats
+            assert [*a.weights, a.intercept, a.slope, a.offset] == pytest.approx([*b.weights, b.intercept, b.slope, b.offset], abs=2e-3)

@@ -32,6 +32,7 @@ MIN_CHARS = 20
 CHARS_PER_EDIT = 20
 BLOCK_LINES = 256
 SPARK_SEED = 42
+SPACES = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())  # what str.strip takes off
 
 
 def _signed(value: int) -> int:
@@ -245,8 +246,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def _stripped(line: Column) -> Column:
-    """As str.strip does it."""
-    return F.regexp_replace(line, "^[\\s\\x1c-\\x1f\\x85\\p{Z}]+|[\\s\\x1c-\\x1f\\x85\\p{Z}]+$", "")
+    return F.btrim(line, F.lit(SPACES))
 
 
 def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

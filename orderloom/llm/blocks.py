@@ -1,4 +1,4 @@
-"""Streams of sorted rows: groups that pass batch borders, and Bloom filters over ids."""
+"""Groups of any size dealt into blocks, streams of sorted rows, and Bloom filters over ids."""
 
 from __future__ import annotations
 
@@ -9,51 +9,65 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.llm.components import connected_components
+from orderloom.sources.staging import stage
+
 FILTER_BITS = 1 << 26
 
 
-def meeting(block_rows: int, out: list[str], partners: Callable | None = None):
-    """For rows sorted by ``key``: groups of at least two members, dealt into pairs of blocks (key, a, b, member).
+def linked_members(met: DataFrame, values: DataFrame, block_rows: int, compare: Callable) -> DataFrame:
+    """(node, component) of the links that ``compare`` finds between members (key, node) of one key.
 
-    ``partners(members, roles)`` may say that a group can't hold a pair. Groups of any size are
-    cut into blocks of about ``block_rows``; every pair of members meets in some (a, b).
+    ``values`` has (node, value). ``compare`` reads runs of rows (key, a, b, node, class, value) and gives the links
+    (x, y) of a run; rows of one class are joined already. No key's rows go to one task: a key of more than
+    ``block_rows`` members is read in order of its values, of their ends and of a hash first, in overlapping runs that
+    any range of the order may hold. What that joins is one class, and all pairs of different classes then meet, a
+    pair of blocks at a time.
     """
-
-    def dealt(key: int, members: np.ndarray, roles: np.ndarray):
-        if partners and not partners(members, roles):
-            return
-        members = np.unique(members)
-        blocks = -(-len(members) // block_rows)
-        block = np.arange(len(members)) % blocks
-        for other in range(blocks):
-            yield np.full(len(members), key), np.minimum(block, other), np.maximum(block, other), members
-
-    def flush(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        key, member = columns[:2]
-        if not len(key):
-            return
-        role = columns[2] if len(columns) > 2 else np.zeros(len(key), np.int8)
-        starts = np.append(0, np.flatnonzero(np.diff(key)) + 1)
-        ends = np.append(starts[1:], len(key))
-        several = np.flatnonzero(np.minimum.reduceat(member, starts) != np.maximum.reduceat(member, starts))
-        parts = (p for g in several for p in dealt(int(key[starts[g]]), member[starts[g] : ends[g]], role[starts[g] : ends[g]]))
-        for part in parts_of(parts, 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in part], names=out)
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] | None = None
-        for batch in batches:
-            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            if held is not None:
-                columns = [np.concatenate(x) for x in zip(held, columns)]
-            cuts = np.flatnonzero(np.diff(columns[0])) + 1
-            last = int(cuts[-1]) if len(cuts) else 0
-            yield from flush([c[:last] for c in columns])
-            held = [c[last:] for c in columns]
-        if held is not None:
-            yield from flush(held)
-
-    return keep
+    sizes = met.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    sizes = stage(sizes, "key-sizes")
+    large = sizes.filter(F.col("members") > block_rows)
+    place, run = ["key", "a", "b"], ["key", "a", "b", "node", "class", "value"]
+
+    def compared(rows: DataFrame, name: str) -> DataFrame:
+        return stage(rows.select(*run).mapInArrow(compare, "x long, y long"), name)
+
+    few = met.join(sizes.filter(F.col("members") <= block_rows), "key").join(values, "node")
+    few = few.withColumns({"a": F.lit(0).cast("long"), "b": F.lit(0).cast("long"), "class": F.col("node")})
+    links = compared(few.repartition(*place).sortWithinPartitions(*place), "links")
+    if large.isEmpty():
+        return connected_components(links, "x", "y")
+
+    many = met.join(large, "key")
+    for order in (F.col("value"), F.reverse(F.hex("value")), F.xxhash64("node")):
+        ordered = many.join(values, "node").withColumn("order", order)
+        ordered = ordered.repartitionByRange("key", "order", "node").sortWithinPartitions("key", "order", "node")
+        # The last row of a run is the first of the next one.
+        at, step = F.col("at"), block_rows - 1
+        runs = F.floor(at / step)
+        ordered = ordered.withColumn("at", F.monotonically_increasing_id()).withColumn(
+            "a", F.explode(F.when(F.pmod(at, F.lit(step)) == 0, F.array(runs - 1, runs)).otherwise(F.array(runs)))
+        )
+        links = links.unionByName(compared(ordered.withColumns({"b": F.col("a"), "class": F.col("node")}), "links-in-order"))
+    joined = stage(connected_components(links, "x", "y"), "joined")
+
+    classes = stage(many.join(joined, "node", "left").select("key", "node", "members", F.coalesce("component", "node").alias("class")), "classes")
+    largest = classes.groupBy("key", "class", "members").agg(F.count(F.lit(1)).alias("n")).groupBy("key", "members")
+    largest = largest.agg(F.max(F.struct("n", "class")).alias("main")).filter(F.col("members") > F.col("main.n"))
+    main = F.col("class") == F.col("main.class")
+    others, mains = F.ceil((F.col("members") - F.col("main.n")) / block_rows), F.ceil(F.col("main.n") / block_rows)
+    hashed = F.xxhash64("node")
+    dealt = classes.join(stage(largest, "classes-largest"), ["key", "members"]).select(
+        "key",
+        "node",
+        "class",
+        F.when(main, others + F.pmod(hashed, mains)).otherwise(F.pmod(hashed, others)).alias("block"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.when(main, others - 1).otherwise(others + mains - 1))).alias("other"),
+    )
+    dealt = dealt.select("key", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "node", "class").join(values, "node")
+    rest = compared(dealt.repartition(*place).sortWithinPartitions(*place), "links-across")
+    known = joined.select(F.col("node").alias("x"), F.col("component").alias("y"))
+    return connected_components(known.unionByName(rest), "x", "y")
 
 
 def parts_of(parts: Iterable[tuple[np.ndarray, ...]], rows: int) -> Iterator[list[np.ndarray]]:

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.blocks import bloom, groups, meeting, parts_of, passes, star_forest
+from orderloom.llm.blocks import bloom, groups, linked_members, parts_of, passes, star_forest
 from orderloom.llm.components import connected_components
 from orderloom.llm.tables import whole_text
 from orderloom.sources.staging import stage
@@ -137,14 +137,14 @@ def _agreeing(least: float):
             for _, rows in groups(batches, 3):
                 nodes = np.array([r[0] for r in rows], np.int64)
                 # Sorted labels put the longest common prefixes side by side: the trie's order.
-                signs = np.frombuffer(b"".join(r[1] for r in rows), "<u2").reshape(len(rows), -1)
+                signs = np.frombuffer(b"".join(r[2] for r in rows), "<u2").reshape(len(rows), -1)
                 order = np.lexsort(signs[:, DEPTH - 1 :: -1].T)
                 nodes, signs = nodes[order], signs[order]
+                root = np.unique(np.array([r[1] for r in rows], np.int64), return_inverse=True)[1][order]
                 # Neighbours in the trie first, the longest prefixes; what they join needn't be matched again.
-                root = np.arange(len(nodes))
-                near = np.flatnonzero((signs[1:] == signs[:-1]).mean(1) >= least)
+                near = np.flatnonzero((root[1:] != root[:-1]) & ((signs[1:] == signs[:-1]).mean(1) >= least))
                 for i in near:
-                    root[i + 1] = root[i]
+                    root[root == root[i + 1]] = root[i]
                 x, y = [near], [near + 1]
                 for i in range(len(nodes) - 1):
                     rest = np.flatnonzero(root[i + 1 :] != root[i]) + i + 1
@@ -252,11 +252,9 @@ def near_documents(
     signed = texts.mapInArrow(_sign(prefix, words), "node long, signature binary, keys array<long>")
     signed = stage(signed.dropDuplicates(["node"]), "signatures")
 
-    entries = signed.select(F.explode("keys").alias("key"), "node").repartition("key").sortWithinPartitions("key")
-    met = stage(entries.mapInArrow(meeting(BLOCK_DOCS, ["key", "a", "b", "node"]), "key long, a long, b long, node long"), "met")
-    compared = met.join(signed.select("node", "signature"), "node").select("key", "a", "b", "node", "signature")
-    near = compared.repartition("key", "a", "b").sortWithinPartitions("key", "a", "b").mapInArrow(_agreeing(least), "x long, y long")
-    candidates = stage(connected_components(stage(near, "near"), "x", "y"), "candidates")
+    met = signed.select(F.explode("keys").alias("key"), "node")
+    candidates = linked_members(met, signed.select("node", F.col("signature").alias("value")), BLOCK_DOCS, _agreeing(least))
+    candidates = stage(candidates, "candidates")
 
     sizes = candidates.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
     blocks = F.ceil(F.col("members") / BLOCK_DOCS)

@@ -22,8 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.llm.blocks import bloom, groups, meeting, parts_of, passes
-from orderloom.llm.components import connected_components
+from orderloom.llm.blocks import bloom, groups, linked_members, parts_of, passes
 from orderloom.llm.tables import whole_text
 from orderloom.sources.staging import stage
 
@@ -129,7 +128,9 @@ def within(a: str, b: str, limit: int) -> bool:
     return bool(states[limit] >> (len(b) - len(a) + limit) & 1)
 
 
-def _entries(threshold: int, min_chars: int):
+def _entries(threshold: int, min_chars: int, bits: bytes | None = None):
+    """(key, line, role) of all lines, or those whose key the filter lets through."""
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         layouts: dict = {}
         for batch in batches:
@@ -142,19 +143,19 @@ def _entries(threshold: int, min_chars: int):
                 ids += [own] * (len(index) + len(probe))
                 roles += [0] * len(index) + [1] * len(probe)
                 if len(keys) > 1 << 18:
-                    yield _entry_batch(keys, ids, roles)
+                    yield _entry_batch(keys, ids, roles, bits)
                     keys, ids, roles = [], [], []
-            yield _entry_batch(keys, ids, roles)
+            yield _entry_batch(keys, ids, roles, bits)
 
     return emit
 
 
-def _entry_batch(keys: list, ids: list, roles: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(ids, pa.int64()), pa.array(roles, pa.int8())], names=["key", "line", "role"])
-
-
-def _can_meet(lines: np.ndarray, roles: np.ndarray) -> bool:
-    return bool((roles == 0).any() and (roles == 1).any())
+def _entry_batch(keys: list, ids: list, roles: list, bits: bytes | None) -> pa.RecordBatch:
+    key, line, role = np.array(keys, np.uint64).view(np.int64), np.array(ids, np.int64), np.array(roles, np.int8)
+    if bits is not None:
+        some = passes(bits, key)
+        key, line, role = key[some], line[some], role[some]
+    return pa.RecordBatch.from_arrays([pa.array(key), pa.array(line), pa.array(role)], names=["key", "line", "role"])
 
 
 def _texts(bits: bytes, min_chars: int):
@@ -173,8 +174,9 @@ def _texts(bits: bytes, min_chars: int):
 def _verify(threshold: int):
     """Star forests of the links in runs of rows (sorted) with the same (key, a, b)."""
 
-    def links(rows: list[tuple[int, str]]) -> list[tuple[int, int]]:
-        root = list(range(len(rows)))
+    def links(rows: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+        first: dict[int, int] = {}
+        root = [first.setdefault(r[1], i) for i, r in enumerate(rows)]
 
         def find(i: int) -> int:
             while root[i] != i:
@@ -186,7 +188,7 @@ def _verify(threshold: int):
         for i in range(len(rows)):
             for j in range(i):
                 x, y = find(i), find(j)
-                if x != y and within(rows[i][1], rows[j][1], allowed(min(len(rows[i][1]), len(rows[j][1])), threshold)):
+                if x != y and within(rows[i][2], rows[j][2], allowed(min(len(rows[i][2]), len(rows[j][2])), threshold)):
                     root[max(x, y)] = min(x, y)
                     out.append((rows[i][0], rows[j][0]))
         return out
@@ -202,14 +204,17 @@ def _verify(threshold: int):
 def line_links(docs: DataFrame, text_col: str = "text", threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
     """(line, class) of line ids that have a near-duplicate with another id."""
     texts = docs.select(whole_text(text_col).alias("__text"))
-    entries = texts.mapInArrow(_entries(threshold, min_chars), "key long, line long, role byte")
-    sorted_entries = entries.repartition("key").sortWithinPartitions("key")
-    met = stage(sorted_entries.mapInArrow(meeting(BLOCK_LINES, ["key", "a", "b", "line"], _can_meet), "key long, a long, b long, line long"), "lines-met")
-    fetched = texts.mapInArrow(_texts(bloom(met, "line"), min_chars), "line long, text string")
-    known = stage(fetched.distinct(), "line-texts")
-    pairs = met.join(known, "line").select("key", "a", "b", "line", "text")
-    links = pairs.repartition("key", "a", "b").sortWithinPartitions("key", "a", "b", "line").mapInArrow(_verify(threshold), "x long, y long")
-    return connected_components(stage(links, "line-links"), "x", "y").select(F.col("node").alias("line"), F.col("component").alias("class"))
+    schema = "key long, line long, role byte"
+    keys = texts.mapInArrow(_entries(threshold, min_chars), schema).groupBy("key")
+    keys = keys.agg(*(how(c).alias(f"{how.__name__}_{c}") for c in ("line", "role") for how in (F.min, F.max)))
+    # A key counts if two lines have it, one in the index and one probing.
+    keys = stage(keys.filter("min_line <> max_line and min_role <> max_role").select("key"), "lines-keys")
+    entries = texts.mapInArrow(_entries(threshold, min_chars, bloom(keys, "key")), schema).select("key", F.col("line").alias("node"))
+    met = stage(entries.distinct().join(keys, "key"), "lines-met")
+    fetched = texts.mapInArrow(_texts(bloom(met, "node"), min_chars), "line long, text string")
+    known = stage(fetched.distinct(), "line-texts").select(F.col("line").alias("node"), F.col("text").alias("value"))
+    found = linked_members(met, known, BLOCK_LINES, _verify(threshold))
+    return found.select(F.col("node").alias("line"), F.col("component").alias("class"))
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:

@@ -129,3 +129,35 @@ def test_lines_group_larger_than_a_block(spark, monkeypatch):
     docs = spark.createDataFrame([(i, base[:-1] + chr(65 + i)) for i in range(40)], "doc_id long, text string")
     rows = line_dedup.repeated_lines(docs).collect()
     assert sorted((r.doc_id, r.removed) for r in rows) == [(i, [0] if i else []) for i in range(40)]
+
+
+def test_lines_of_one_large_family_meet_in_linear_rows(spark, monkeypatch):
+    """Near copies share their segments: what is staged may not grow by pairs of blocks."""
+    from orderloom.llm import blocks
+
+    counts = []
+
+    def counted(df, label):
+        counts.append(staged(df, label))
+        return counts[-1]
+
+    staged = line_dedup.stage
+    monkeypatch.setattr(line_dedup, "BLOCK_LINES", 8)
+    for module in (line_dedup, blocks):
+        monkeypatch.setattr(module, "stage", counted, raising=False)
+    rnd = random.Random(3)
+    lines = sorted({"the same template in all of them and then number " + "".join(rnd.choice("ab") for _ in range(10)) for _ in range(2500)})
+    docs = list(enumerate(lines))
+    rows = line_dedup.repeated_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, ",".join(map(str, r.removed))) for r in rows) == removed_by_brute_force(docs)
+    assert len(lines) > 800 and max(c.count() for c in counts) < 20 * len(lines)
+
+
+def test_lines_of_a_large_group_that_order_does_not_join(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BLOCK_LINES", 4)
+    rnd = random.Random(4)
+    ends = ["".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(60)]
+    ends += [changed(rnd, e, 2) for e in ends]
+    docs = list(enumerate(e + " one template that stands in each line, word for word" for e in ends))
+    rows = line_dedup.repeated_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, ",".join(map(str, r.removed))) for r in rows) == removed_by_brute_force(docs)

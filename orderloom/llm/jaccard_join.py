@@ -233,6 +233,7 @@ def near_documents(
     threshold: float = THRESHOLD,
     words: int = WORDS,
     target_recall: float = TARGET_RECALL,
+    with_group: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs``: id, n_links, component_id, kept.
 
@@ -242,6 +243,8 @@ def near_documents(
     words (null, empty, white space) link with nothing. Rows that repeat an id
     are documents of their own and may both be kept; a null id is never kept in a
     group that has ids. Other columns are ignored; an empty table gives no rows.
+    ``with_group`` adds ``text_hash`` and ``text_group``, the same for all texts that
+    are reachable by links whatever their ids, and null for texts without words.
     """
     text = whole_text(text_col)
     texts = docs.select(text.alias("__text"))
@@ -273,7 +276,7 @@ def near_documents(
     counts = links.filter("links > 0").groupBy(F.col("x").alias("node")).agg(F.sum("links").alias("links"))
     parts = stage(connected_components(links.filter("links = 0"), "x", "y"), "parts")
     named = stage(parts.join(copies, "node").groupBy("component").agg(F.min("rep").alias("name")), "names")
-    described = copies.join(counts, "node", "left").join(parts.join(named, "component").select("node", "name"), "node", "left")
+    described = copies.join(counts, "node", "left").join(parts.join(named, "component").select("node", "name", "component"), "node", "left")
     wordy = signed.select("node", F.lit(True).alias("wordy"))
     described = stage(described.join(wordy, "node", "left"), "described")
     joined = rows.join(described, "node")
@@ -283,4 +286,5 @@ def near_documents(
         F.when(F.col("wordy"), F.coalesce("links", F.lit(0)) + F.col("copies") - 1).otherwise(F.lit(0)).alias("n_links"),
         component.alias("component_id"),
         F.col("id").eqNullSafe(component).alias("kept"),
+        *((F.col("node").alias("text_hash"), F.when(F.col("wordy"), F.coalesce("component", "node")).alias("text_group")) if with_group else ()),
     )

@@ -135,3 +135,14 @@ def test_pipeline_bears_edge_rows(spark):
 
 def test_pipeline_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 100
+
+
+def test_pipeline_keeps_one_row_of_each_group_with_null_and_repeated_ids(spark):
+    def text(name, changed=""):
+        return " ".join(f"{name}{i}" for i in range(80)) + changed
+
+    rows = [(1, text("a")), (2, text("a", " end")), (2, text("b")), (None, text("a", " last")), (None, text("c")), (None, text("c", " end")), (5, text("d")), (5, text("d")), (6, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()), key=repr)
+    fixed = [rows[0], rows[2], rows[6], rows[8], rows[9]]
+    assert sorted([*fixed, rows[4]], key=repr) == got or sorted([*fixed, rows[5]], key=repr) == got

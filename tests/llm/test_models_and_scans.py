@@ -161,3 +161,16 @@ def test_licence_query_finds_every_line(spark):
     texts = dict(documents(SF))
     for r in QUERIES["op7_license_scan"](spark, SF).collect():
         assert {x.split(":")[0] for x in r.licences.split(",") if x} == {k for k, v in fixed.items() if v in texts[r.doc_id]}
+
+
+def test_licence_sample_is_of_different_paragraphs(spark, monkeypatch):
+    staged, seen = licenses.stage, []
+
+    def kept(df, label):
+        seen.append(staged(df, label))
+        return seen[-1]
+
+    monkeypatch.setattr(licenses, "stage", kept)
+    docs = spark.createDataFrame([(i, f"Released under the MIT License. Part x{i % 30}") for i in range(600)], "doc_id long, text string")
+    licenses.fit_licences(licenses.paragraphs(docs), max_rows=30)
+    assert seen[0].filter(F.array_contains("tokens", "part")).select("tokens").distinct().count() == 30

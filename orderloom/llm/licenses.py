@@ -6,7 +6,8 @@ with an L1 penalty is trained on the templates and on paragraphs of the corpus,
 which are labelled by how much of a template they hold; those that hold little
 of any are the unknown class. The scores are calibrated by a temperature fitted
 on held-out paragraphs, and a predicted family must be confirmed by its
-template's own n-grams.
+template's own n-grams. Families besides the likeliest count if a paragraph holds
+all word pairs of a template of theirs.
 """
 
 from __future__ import annotations
@@ -193,7 +194,7 @@ def find_licences(
 ) -> DataFrame:
     """One row per row of ``docs``: id, ``licences``, an array of (family, line, probability, share) by line.
 
-    ``line`` is the first line (from 0) that shows the family. Null and empty
+    ``line`` is the first line (from 0) of the first paragraph that shows the family; a paragraph may show several. Null and empty
     texts, and texts without licence words, have none; texts are read whole; rows
     repeated with the same id and text share their licences; a null id stays null; other columns
     are ignored; an empty table gives no rows.
@@ -201,13 +202,17 @@ def find_licences(
     keyed = docs.select(F.col(id_col).alias("__id"), F.xxhash64(whole_text(text_col)).alias("__hash"), whole_text(text_col).alias("__text"))
     rows = stage(paragraphs(keyed, "__text"), "paragraphs")
     model = fit_licences(rows, max_rows)
-    best = F.array_max(F.transform(model.probabilities(F.col("grams")), lambda p, i: F.struct(p.alias("p"), i.alias("i"))))
-    named = rows.withColumn("best", best).filter((F.col("best.i") > 0) & (F.col("best.p") >= least_probability))
-    share = F.coalesce(*[F.when(F.col("best.i") == i, held_share(F.col("tokens"), f)) for i, f in enumerate(FAMILIES) if i])
-    confirmed = named.withColumn("share", share).filter(F.col("share") >= least_share)
-    family = F.get(F.array(*[F.lit(f) for f in FAMILIES]), F.col("best.i"))
-    per_family = confirmed.groupBy("__id", "__hash", family.alias("family")).agg(
-        F.min("line").alias("line"), F.max("best.p").alias("probability"), F.max("share").alias("share")
+    each = F.array(*[held_share(F.col("tokens"), f) for f in FAMILIES[1:]])
+    shown = F.zip_with(
+        F.slice("chances", 2, len(FAMILIES) - 1), F.zip_with(each, F.array(*[F.lit(f) for f in FAMILIES[1:]]), lambda s, f: F.struct(s.alias("share"), f.alias("family"))),
+        lambda p, x: F.struct(p.alias("p"), x["share"].alias("share"), x["family"].alias("family")),
+    )
+    # Only one family can be the likeliest; the others of a paragraph that names several are known by their whole template.
+    sure = F.filter(shown, lambda x: ((x["p"] >= least_probability) & (x["p"] >= F.array_max("chances")) & (x["share"] >= least_share)) | (x["share"] >= 1))
+    confirmed = rows.withColumn("chances", model.probabilities(F.col("grams"))).select("__id", "__hash", "line", F.explode(sure).alias("found"))
+    confirmed = confirmed.select("__id", "__hash", "line", "found.*")
+    per_family = confirmed.groupBy("__id", "__hash", "family").agg(
+        F.min("line").alias("line"), F.max("p").alias("probability"), F.max("share").alias("share")
     )
     found = per_family.groupBy(F.col("__id").alias("__fid"), F.col("__hash").alias("__fhash")).agg(
         F.array_sort(F.collect_list(F.struct("line", "family", "probability", "share"))).alias("licences")

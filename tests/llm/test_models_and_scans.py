@@ -174,3 +174,14 @@ def test_licence_sample_is_of_different_paragraphs(spark, monkeypatch):
     docs = spark.createDataFrame([(i, f"Released under the MIT License. Part x{i % 30}") for i in range(600)], "doc_id long, text string")
     licenses.fit_licences(licenses.paragraphs(docs), max_rows=30)
     assert seen[0].filter(F.array_contains("tokens", "part")).select("tokens").distinct().count() == 30
+
+
+def test_all_licences_of_one_line(spark):
+    texts = [
+        "Licensed under the Apache License, Version 2.0 or the MIT license",
+        "Licensed under the GNU Affero General Public License, version 3.",
+        "Copyright 2020 A. All rights reserved. Released under the BSD license.",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: {x.family for x in r.licences} for r in licenses.find_licences(docs).collect()}
+    assert got == {0: {"apache-2.0", "mit"}, 1: {"agpl-3.0"}, 2: {"bsd", "proprietary"}}

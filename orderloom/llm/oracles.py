@@ -1,5 +1,46 @@
 """SQL equivalents, where SQL can say it."""
 
+
+def _clusters(rounds: int) -> str:
+    """Rounds of assignment and floored means, written out one after the other."""
+    parts = [
+        """kept AS MATERIALIZED (
+            SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v
+            FROM embeddings
+            WHERE len(embedding) = 64
+              AND len([x for x in embedding if x IS NOT NULL AND isfinite(CAST(x AS DOUBLE))]) = 64
+        )""",
+        "cells AS MATERIALIZED (SELECT vec_id, unnest(range(64)) AS i, unnest(v) AS x FROM kept)",
+        """seeds AS (
+            SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c, v
+            FROM kept ORDER BY c LIMIT 8
+        )""",
+        "c0 AS MATERIALIZED (SELECT c, unnest(range(64)) AS i, unnest(v) AS y FROM seeds)",
+    ]
+    for r in range(rounds + 1):
+        parts.append(f"""a{r} AS MATERIALIZED (
+            SELECT vec_id, c, d FROM (
+                SELECT vec_id, c, sum((x - y) * (x - y)) AS d FROM cells JOIN c{r} USING (i) GROUP BY vec_id, c
+            ) QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, c) = 1
+        )""")
+        if r < rounds:
+            parts.append(f"""c{r + 1} AS MATERIALIZED (
+                SELECT old.c, old.i, coalesce(CAST((s - ((s % n) + n) % n) // n AS BIGINT), old.y) AS y
+                FROM c{r} old
+                LEFT JOIN (SELECT c, i, sum(x) AS s, count(*) AS n FROM a{r} JOIN cells USING (vec_id) GROUP BY c, i) new
+                  ON old.c = new.c AND old.i = new.i
+            )""")
+    return f"""
+        WITH {", ".join(parts)},
+        names AS (SELECT c, sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY i)) AS name FROM c{rounds} GROUP BY c)
+        SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+               CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+               CAST(sum(d) OVER () AS BIGINT) AS inertia,
+               name AS centroid_sha256
+        FROM a{rounds} JOIN names USING (c)
+    """
+
+
 ORACLES = {
     "op2_exact_dedup": """
         SELECT doc_id,
@@ -10,4 +51,5 @@ ORACLES = {
         FROM documents
         WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op13_centroid_clustering": _clusters(10),
 }

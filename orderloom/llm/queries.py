@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import embeddings, exact_dedup, jaccard_join, licenses, line_dedup, packing, quality, secrets, sentencepieces, toxicity
+from orderloom.llm import centroids, embeddings, exact_dedup, jaccard_join, licenses, line_dedup, packing, quality, secrets, sentencepieces, toxicity
 from orderloom.llm.tables import fold, read_table
 
 
@@ -91,6 +91,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_exact_dedup": op2_exact_dedup,
@@ -102,4 +106,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_sentencepiece": op10_sentencepiece,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }

@@ -51,5 +51,54 @@ ORACLES = {
         FROM documents
         WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op11_warc": """
+        WITH payloads AS (
+            SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS digest,
+                   min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id
+            FROM pages
+        ),
+        fives AS (
+            SELECT *, [CAST('0x' || substr(digest, 1 + 10 * g, 10) AS BIGINT) for g in range(4)] AS groups FROM payloads
+        )
+        SELECT page_id,
+               octet_length(encode(payload)) AS payload_bytes,
+               array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((groups[1 + j // 8] >> (35 - 5 * (j % 8))) & 31), 1)
+                                for j in range(32)], '') AS payload_digest,
+               CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+        FROM fives
+    """,
+    "op12_lexical_search": r"""
+        WITH split AS (
+            SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents WHERE text IS NOT NULL
+        ),
+        counted AS (SELECT doc_id, terms, len(terms) AS doc_terms FROM split WHERE len(terms) > 0),
+        total AS (SELECT count(*) AS docs, CAST(sum(doc_terms) AS BIGINT) AS all_terms FROM counted),
+        tfs AS (
+            SELECT doc_id, doc_terms, term, count(*) AS tf
+            FROM (SELECT doc_id, doc_terms, unnest(terms) AS term FROM counted) GROUP BY doc_id, doc_terms, term
+        ),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM tfs, total GROUP BY term, docs
+        ),
+        asked AS (
+            SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark
+        ),
+        wanted AS (SELECT item_id, term, count(*) AS times FROM asked GROUP BY item_id, term),
+        scored AS (
+            SELECT item_id, doc_id,
+                   CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * doc_terms * docs) // all_terms)))) AS BIGINT) AS score
+            FROM wanted JOIN weights USING (term) JOIN tfs USING (term), total
+            GROUP BY item_id, doc_id
+        )
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+        FROM scored WHERE score > 0
+        QUALIFY rank <= 10
+    """,
     "op13_centroid_clustering": _clusters(10),
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import centroids, embeddings, exact_dedup, jaccard_join, licenses, line_dedup, packing, quality, secrets, sentencepieces, toxicity
+from orderloom.llm import centroids, embeddings, exact_dedup, jaccard_join, lexical, licenses, line_dedup, packing, quality, secrets, sentencepieces, toxicity, warc
 from orderloom.llm.tables import fold, read_table
 
 
@@ -91,6 +91,15 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return warc.page_digests(warc.write_archive(pages), pages.schema["page_id"].dataType.simpleString())
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_vectors(read_table(spark, sf_dir, "embeddings"))
 
@@ -106,5 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_warc": op11_warc,
+    "op12_lexical_search": op12_lexical_search,
     "op13_centroid_clustering": op13_centroid_clustering,
 }

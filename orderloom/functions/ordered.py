@@ -1,4 +1,4 @@
-"""Running sums and exact quantiles over a globally ordered frame.
+"""Running sums over a globally ordered frame.
 
 A window without partitions would sort everything in one task. Here rows are cut
 into ranges by splitters drawn from the data, each range is summed on its own,
@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from orderloom.sources.staging import stage
+
 
 def _range_count(df: DataFrame) -> int:
     return max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -43,6 +45,11 @@ def _splitters(df: DataFrame, key: Column, carried: Sequence[str], n: int) -> Co
     return sample.select(F.transform("sample", lambda x: x["k"])).scalar()
 
 
+def few_rows(df: DataFrame, most: int = 100_000) -> DataFrame:
+    """With a broadcast hint if the frame, a staged one, has at most ``most`` rows."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def running_sums(
     df: DataFrame,
     order_by: Sequence[str],
@@ -53,23 +60,28 @@ def running_sums(
     """Add ``cum_<c>`` (inclusive running sum) and ``total_<c>`` for each ``c``.
 
     ``(partition_by, order_by)`` must be unique per row: aggregate ties first.
-    ``partition_by`` must take few distinct values. ``df`` is read three times;
-    pass the result of an aggregation, whose shuffle is shared, or a staged frame.
+    ``df`` is read once if it ends in a shuffle (an aggregation), which the choice of
+    splitters shares, else twice. Rows are written with the sums inside their range;
+    what later readers need is that frame and one row per range and group.
     """
     key_cols = [*partition_by, *order_by]
     key = F.struct(*key_cols) if len(key_cols) > 1 else F.col(key_cols[0])
     ranges = ranges or _range_count(df)
 
-    # Never NULL: a nullable range would make the join below push a NULL check, and
-    # with it this expression, to the far side of the caller's aggregation.
     ranged = (
         df.withColumn("_key", key)
         .withColumn("_splitters", _splitters(df, key, sums, ranges))
         .withColumn("_range", F.coalesce(_range_of("_splitters", "_key", ranges), F.lit(0)))
         .drop("_key", "_splitters")
     )
-    # At most ranges + 1 rows per partition value.
-    totals = ranged.groupBy(*partition_by, "_range").agg(*[F.sum(c).alias(c) for c in sums])
+    so_far = (
+        Window.partitionBy(*partition_by, "_range")
+        .orderBy(*order_by)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    within = stage(ranged.select("*", *[F.sum(c).over(so_far).alias(f"_run_{c}") for c in sums]), "running-sums")
+
+    totals = within.groupBy(*partition_by, "_range").agg(*[F.sum(c).alias(c) for c in sums])
     earlier = Window.partitionBy(*partition_by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*partition_by)
     offsets = totals.select(
@@ -78,64 +90,10 @@ def running_sums(
         *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_before_{c}") for c in sums],
         *[F.sum(c).over(whole).alias(f"total_{c}") for c in sums],
     )
-    so_far = (
-        Window.partitionBy(*partition_by, "_range")
-        .orderBy(*order_by)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    within = ranged.select("*", *[F.sum(c).over(so_far).alias(f"_run_{c}") for c in sums])
-    return within.join(F.broadcast(offsets), [*partition_by, "_range"]).select(
+    # One row per range and group; groups may be many, so the hint waits for a count.
+    offsets = few_rows(stage(offsets, "range-totals"))
+    return within.join(offsets, [*partition_by, "_range"]).select(
         *df.columns,
         *[(F.col(f"_before_{c}") + F.col(f"_run_{c}")).alias(f"cum_{c}") for c in sums],
         *[F.col(f"total_{c}") for c in sums],
     )
-
-
-def _between(lo: Column, hi: Column, t: Column) -> Column:
-    """Linear interpolation, taken from the nearer end."""
-    return F.when(t >= 0.5, hi - (hi - lo) * (1 - t)).otherwise(lo + (hi - lo) * t)
-
-
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Exact quantiles with linear interpolation: one row per column, ``(name, quantiles)``.
-
-    Values are counted per distinct value and located by their running count, so no
-    task ever holds all distinct values. NULL and NaN are skipped.
-    """
-    long = df.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns])
-        ).alias("e")
-    ).select("e.name", "e.value")
-    counts = (
-        long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy("name", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    ranked = running_sums(counts, ["value"], ["n"], partition_by=["name"])
-
-    def rank(p: float) -> Column:
-        return (F.col("total_n") - 1) * F.lit(float(p))
-
-    def value_at(r: Column) -> Column:
-        return F.max(F.when((F.col("cum_n") - F.col("n") <= r) & (r < F.col("cum_n")), F.col("value")))
-
-    picked = ranked.groupBy("name").agg(
-        F.max("total_n").alias("total_n"),
-        *[value_at(F.floor(rank(p))).alias(f"lo{j}") for j, p in enumerate(probs)],
-        *[value_at(F.ceil(rank(p))).alias(f"hi{j}") for j, p in enumerate(probs)],
-    )
-    return picked.select(
-        "name",
-        F.array(
-            *[_between(F.col(f"lo{j}"), F.col(f"hi{j}"), rank(p) - F.floor(rank(p))) for j, p in enumerate(probs)]
-        ).alias("quantiles"),
-    )
-
-
-def quantile_bin(c: Column, edges: Column) -> Column:
-    """1-based bin of ``c`` for sorted ``edges``: right-closed, repeated edges merged,
-    the lowest value in bin 1. A constant column has one bin."""
-    distinct = F.array_distinct(edges)
-    inner = F.slice(distinct, 2, F.greatest(F.size(distinct) - 2, F.lit(0)))
-    return F.size(F.filter(inner, lambda e: e < c)) + 1

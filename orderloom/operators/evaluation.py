@@ -11,8 +11,10 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from orderloom.functions.ordered import exact_quantiles, quantile_bin, running_sums
+from orderloom.functions.ordered import few_rows, running_sums
+from orderloom.functions.quantiles import exact_quantiles, quantile_bin
 from orderloom.functions.scalar import sorted_report
+from orderloom.sources.staging import stage
 
 # The thresholds that are tried.
 THRESHOLDS = [float(t) for t in np.linspace(0.05, 0.95, 19)]
@@ -35,20 +37,23 @@ def _per_score(scored: DataFrame, by: Sequence[str]) -> DataFrame:
     return running_sums(counts, ["score"], ["pos", "n"], partition_by=by)
 
 
-def _positives_among_ties(scored: DataFrame, cuts: DataFrame, keys: Sequence[str], by: list[str]) -> DataFrame:
-    """Per group, positives among the first ``need`` rows, by key, that share the cut score."""
+def _positives_among_ties(scored: DataFrame, summary: DataFrame, keys: Sequence[str], by: list[str]) -> DataFrame:
+    """Per group, positives among the first ``need`` rows, by key, that share the cut score.
+
+    Only groups that take a part of the tied rows need an order among them.
+    """
+    whole = summary.filter("need = cut_n").select(*by, F.col("cut_pos").alias("tied_pos"))
+    parted = summary.filter("need < cut_n").select(*by, "cut_score", "need")
+    if parted.isEmpty():
+        return whole
     tied = (
-        scored.join(F.broadcast(cuts), by)
+        scored.join(few_rows(parted), by)
         .filter(F.col("score") == F.col("cut_score"))
         .select(*by, *keys, "need", F.col("y").cast("bigint").alias("y"), F.lit(1).cast("bigint").alias("one"))
     )
     order = [k for k in keys if k not in by]
-    return (
-        running_sums(tied, order, ["one"], partition_by=by)
-        .filter(F.col("cum_one") <= F.col("need"))
-        .groupBy(*by)
-        .agg(F.sum("y").alias("tied_pos"))
-    )
+    first = running_sums(stage(tied, "tied-rows"), order, ["one"], partition_by=by).filter(F.col("cum_one") <= F.col("need"))
+    return whole.unionByName(first.groupBy(*by).agg(F.sum("y").alias("tied_pos")))
 
 
 def eval_metrics(
@@ -60,8 +65,8 @@ def eval_metrics(
 ) -> DataFrame:
     """``auc, pr_auc, precision_at_k, lift_at_k, positive_rate, sample_size`` per ``by`` group.
 
-    All groups (folds, models) are evaluated in one job; there must be few of them,
-    which also bounds the broadcasts. Both areas are NULL when a group has one class.
+    All groups (folds, models) are evaluated in the same jobs, however many there are.
+    Both areas are NULL when a group has one class.
     The top k rows are those with the highest scores; equal scores at the boundary
     are taken in key order.
     """
@@ -86,13 +91,16 @@ def eval_metrics(
         F.max(k).cast("double").alias("k"),
         F.max(F.when(at_cut, F.col("score"))).alias("cut_score"),
         F.max(F.when(at_cut, k - above_n)).alias("need"),
+        F.max(F.when(at_cut, F.col("n"))).alias("cut_n"),
+        F.max(F.when(at_cut, F.col("pos"))).alias("cut_pos"),
         F.max(F.when(at_cut, above_pos)).alias("above_pos"),
     )
-    ties = _positives_among_ties(scored, summary.select(*by, "cut_score", "need"), keys, by)
+    summary = stage(summary, "metric-sums")
+    ties = _positives_among_ties(scored, summary, keys, by)
     both = (F.col("p") > 0) & (F.col("p") < F.col("n"))
     base_rate = F.col("p") / F.col("n")
     return (
-        summary.join(F.broadcast(ties), by, "left")
+        summary.join(ties, by, "left")
         .withColumn("precision_at_k", (F.col("above_pos") + F.col("tied_pos")) / F.col("k"))
         .select(
             *[c for c in by if c != "_all"],

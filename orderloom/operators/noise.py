@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from orderloom.functions.ordered import exact_quantiles
+from orderloom.functions.quantiles import exact_quantiles
 from orderloom.functions.scalar import clip
 
 # Clipped features, and the engineered ones in order.

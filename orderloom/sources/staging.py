@@ -9,9 +9,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orderloom.sources.folders import delete_folder
+
+
+_run: ContextVar[list[DataFrame] | None] = ContextVar("run", default=None)
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder for staged data; a temporary one only on a local master."""
@@ -42,14 +50,27 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     df.write.parquet(path)
     staged = spark.read.schema(df.schema).parquet(path)
     staged.staged_path = path
+    if (held := _run.get()) is not None:
+        held.append(staged)
     return staged
 
 
+@contextmanager
+def staged_run() -> Iterator[None]:
+    """Frames staged inside belong to the run and are deleted with it.
+
+    For plans that store their results themselves: a frame that leaves the block can't be read any more.
+    """
+    held: list[DataFrame] = []
+    token = _run.set(held)
+    try:
+        yield
+    finally:
+        _run.reset(token)
+        for frame in held:
+            discard(frame)
+
+
 def discard(staged: DataFrame) -> None:
     """Delete the files of a frame that ``stage`` returned and nothing reads any more."""
     delete_folder(staged.sparkSession, staged.staged_path)
-
-
-def delete_folder(spark: SparkSession, folder: str) -> None:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

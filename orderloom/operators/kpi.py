@@ -4,6 +4,10 @@ Two variants exist on purpose. The ``tx`` variant works on the transaction base:
 only orders with items count and a NULL date or person forms its own group. The
 ``model`` variant works on the facts: recency and frequency see every delivered
 order, and a person needs items (and an id) to appear at all.
+
+``one_row_per_order`` declares that no order id occurs on two rows: silver is merged by it, and a
+second one stops the merge. Orders are then counted instead of told apart, and persons are told apart by
+grouping per person first, so that no row is expanded once per distinct count.
 """
 
 from __future__ import annotations
@@ -18,22 +22,32 @@ def _money_sum(name: str):
     return F.sum(name).cast(MONEY)
 
 
-def monthly_revenue_tx(tx: DataFrame) -> DataFrame:
-    report = (
-        tx.groupBy(month_key(F.col("order_date")).alias("year_month"))
-        .agg(
+def _orders(one_row_per_order: bool):
+    return F.count("order_id") if one_row_per_order else F.count_distinct("order_id")
+
+
+def _monthly(sales: DataFrame, person: str, one_row_per_order: bool) -> DataFrame:
+    if not one_row_per_order:
+        return sales.groupBy("year_month").agg(
             _money_sum("revenue").alias("revenue"),
             F.count_distinct("order_id").alias("orders"),
-            F.count_distinct("customer_unique_id").alias("unique_customers"),
+            F.count_distinct(person).alias("unique_customers"),
         )
+    per_person = sales.groupBy("year_month", person).agg(F.sum("revenue").alias("revenue"), F.count("order_id").alias("orders"))
+    return per_person.groupBy("year_month").agg(
+        _money_sum("revenue").alias("revenue"), F.sum("orders").alias("orders"), F.count(person).alias("unique_customers")
     )
-    return sorted_report(report, "year_month")
 
 
-def daily_revenue_tx(tx: DataFrame) -> DataFrame:
+def monthly_revenue_tx(tx: DataFrame, one_row_per_order: bool = False) -> DataFrame:
+    sales = tx.select(month_key(F.col("order_date")).alias("year_month"), "order_id", "customer_unique_id", "revenue")
+    return sorted_report(_monthly(sales, "customer_unique_id", one_row_per_order), "year_month")
+
+
+def daily_revenue_tx(tx: DataFrame, one_row_per_order: bool = False) -> DataFrame:
     report = (
         tx.groupBy("order_date")
-        .agg(_money_sum("revenue").alias("revenue"), F.count_distinct("order_id").alias("orders"))
+        .agg(_money_sum("revenue").alias("revenue"), _orders(one_row_per_order).alias("orders"))
     )
     return sorted_report(report, "order_date")
 
@@ -56,10 +70,10 @@ def _with_recency(profiles: DataFrame, anchored: DataFrame) -> DataFrame:
     )
 
 
-def customer_rfm_tx(tx: DataFrame) -> DataFrame:
+def customer_rfm_tx(tx: DataFrame, one_row_per_order: bool = False) -> DataFrame:
     profiles = tx.groupBy(F.col("customer_unique_id").alias("customer_id")).agg(
         F.max("order_date").alias("last_order_date"),
-        F.count_distinct("order_id").alias("frequency"),
+        _orders(one_row_per_order).alias("frequency"),
         F.sum("revenue").alias("monetary"),
     )
     return _with_recency(profiles, profiles)
@@ -69,33 +83,29 @@ def _delivered_facts(fact_orders: DataFrame) -> DataFrame:
     return fact_orders.filter(F.col("order_status") == DELIVERED).select("order_id", "customer_key", "order_date")
 
 
-def monthly_revenue_model(fact_orders: DataFrame, fact_items: DataFrame, dim_date: DataFrame) -> DataFrame:
+def monthly_revenue_model(
+    fact_orders: DataFrame, fact_items: DataFrame, dim_date: DataFrame, one_row_per_order: bool = False
+) -> DataFrame:
     """``dim_date`` holds one row per calendar day, which bounds the broadcast."""
-    report = (
+    sales = (
         _delivered_facts(fact_orders)
         .join(order_revenue(fact_items), "order_id")
         .join(F.broadcast(dim_date.select("date_key", "year_month")), F.col("date_key") == F.col("order_date"))
-        .groupBy("year_month")
-        .agg(
-            _money_sum("revenue").alias("revenue"),
-            F.count_distinct("order_id").alias("orders"),
-            F.count_distinct("customer_key").alias("unique_customers"),
-        )
     )
-    return sorted_report(report, "year_month")
+    return sorted_report(_monthly(sales, "customer_key", one_row_per_order), "year_month")
 
 
-def daily_revenue_model(fact_orders: DataFrame, fact_items: DataFrame) -> DataFrame:
+def daily_revenue_model(fact_orders: DataFrame, fact_items: DataFrame, one_row_per_order: bool = False) -> DataFrame:
     report = (
         _delivered_facts(fact_orders)
         .join(order_revenue(fact_items), "order_id")
         .groupBy("order_date")
-        .agg(_money_sum("revenue").alias("revenue"), F.count_distinct("order_id").alias("orders"))
+        .agg(_money_sum("revenue").alias("revenue"), _orders(one_row_per_order).alias("orders"))
     )
     return sorted_report(report, "order_date")
 
 
-def customer_rfm_model(fact_orders: DataFrame, fact_items: DataFrame) -> DataFrame:
+def customer_rfm_model(fact_orders: DataFrame, fact_items: DataFrame, one_row_per_order: bool = False) -> DataFrame:
     """One pass over the facts: orders without items still move the last date,
     the frequency and the anchor, but a person without any item is dropped."""
     per_order = order_revenue(fact_items).withColumn("has_items", F.lit(1))
@@ -105,7 +115,7 @@ def customer_rfm_model(fact_orders: DataFrame, fact_items: DataFrame) -> DataFra
         .groupBy(F.col("customer_key").alias("customer_id"))
         .agg(
             F.max("order_date").alias("last_order_date"),
-            F.count_distinct("order_id").alias("frequency"),
+            _orders(one_row_per_order).alias("frequency"),
             F.sum("revenue").alias("monetary"),
             F.max("has_items").alias("has_items"),
         )

@@ -107,3 +107,17 @@ def test_duplicate_keys_are_counted_once(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("a", 1), ("b", 1)], "order_id string, order_item_id int")
     assert quality.duplicate_key_check(df, ["order_id", "order_item_id"], "t").first()["dup_keys"] == 1
     assert quality.duplicate_key_check(df.distinct(), ["order_id"], "t").first()["status"] == "PASS"
+
+
+def test_declared_order_rows_give_the_same_reports_without_expand(shop):
+    tx = sales.transactions(*shop)
+    for f in (kpi.monthly_revenue_tx, kpi.daily_revenue_tx, kpi.customer_rfm_tx):
+        declared = f(tx, one_row_per_order=True)
+        assert sorted(declared.collect(), key=repr) == sorted(f(tx).collect(), key=repr)
+        assert "Expand" not in declared._jdf.queryExecution().toString()
+    orders, items, customers = shop
+    facts = model.fact_orders(orders, customers), model.fact_order_items(items)
+    days = model.dim_date(orders)
+    monthly = kpi.monthly_revenue_model(*facts, days, one_row_per_order=True)
+    assert sorted(monthly.collect()) == sorted(kpi.monthly_revenue_model(*facts, days).collect())
+    assert "Expand" not in monthly._jdf.queryExecution().toString()

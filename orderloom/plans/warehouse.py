@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from orderloom.config import RunConfig
 from orderloom.operators import kpi, merge, model, quality, sales, scoring, series, silver
 from orderloom.plans.views import create_gold_views
+from orderloom.schemas import MERGE_KEYS, RAW_CUSTOMERS, RAW_ORDER_ITEMS, RAW_ORDERS
 from orderloom.sources import raw_csv
-from orderloom.sources.staging import discard, stage
+from orderloom.sources.ledger import load_new_files
+from orderloom.sources.staging import discard, stage, staged_run
 from orderloom.sources.tables import LayerTables
 
 
@@ -29,23 +31,30 @@ class QualityReport:
         )
 
 
-def load_bronze(tables: LayerTables, cfg: RunConfig, append: bool = True) -> None:
-    """Raw files into bronze: added to what is there, or in its place."""
-    spark, write = tables.spark, tables.append if append else tables.replace
-    write("bronze.orders_raw", raw_csv.load_orders(spark, cfg.raw_path, run_ts=cfg.run_ts))
-    write("bronze.order_items_raw", raw_csv.load_order_items(spark, cfg.raw_path, run_ts=cfg.run_ts))
-    write("bronze.customers_raw", raw_csv.load_customers(spark, cfg.raw_path, run_ts=cfg.run_ts))
+BRONZE = (
+    ("bronze.orders_raw", raw_csv.ORDERS_PATTERN, RAW_ORDERS),
+    ("bronze.order_items_raw", raw_csv.ORDER_ITEMS_PATTERN, RAW_ORDER_ITEMS),
+    ("bronze.customers_raw", raw_csv.CUSTOMERS_PATTERN, RAW_CUSTOMERS),
+)
+
+
+def load_bronze(tables: LayerTables, cfg: RunConfig, append: bool = True, force: bool = False) -> dict[str, int]:
+    """Raw files into bronze, each once: added to what is there, or all of them in its place. Gives the number of files per table."""
+    return {
+        name: load_new_files(tables, name, f"{cfg.raw_path}/{pattern}", schema, cfg.run_ts, force, replace=not append)
+        for name, pattern, schema in BRONZE
+    }
 
 
 def merge_silver(tables: LayerTables, cfg: RunConfig, on_duplicate: str = "error") -> None:
     options = {"run_ts": cfg.run_ts, "on_duplicate": on_duplicate}
     steps = (
-        ("silver.orders", "bronze.orders_raw", silver.silver_orders, merge.ORDERS_KEY, True),
-        ("silver.order_items", "bronze.order_items_raw", silver.silver_order_items, merge.ORDER_ITEMS_KEY, True),
-        ("silver.customers", "bronze.customers_raw", silver.silver_customers, merge.CUSTOMERS_KEY, False),
+        ("silver.orders", "bronze.orders_raw", silver.silver_orders, True),
+        ("silver.order_items", "bronze.order_items_raw", silver.silver_order_items, True),
+        ("silver.customers", "bronze.customers_raw", silver.silver_customers, False),
     )
-    for target, raw, typed, keys, touch in steps:
-        source = tables.read(raw)
+    for target, raw, typed, touch in steps:
+        source, keys = tables.read(raw), MERGE_KEYS[target]
         if on_duplicate == "latest":
             source = merge.latest_per_key(source, keys)
         tables.upsert(target, typed(source), keys, touch_matched=touch, **{**options, "on_duplicate": "error"})
@@ -68,9 +77,10 @@ def staged_transactions(tables: LayerTables) -> DataFrame:
 
 
 def build_gold(tables: LayerTables, tx: DataFrame) -> None:
-    tables.replace("gold.kpi_monthly_revenue", kpi.monthly_revenue_tx(tx))
-    tables.replace("gold.kpi_daily_revenue", kpi.daily_revenue_tx(tx))
-    tables.replace("gold.kpi_customer_rfm", kpi.customer_rfm_tx(tx))
+    # Silver is merged by order id, so the transaction base has one row per order.
+    tables.replace("gold.kpi_monthly_revenue", kpi.monthly_revenue_tx(tx, one_row_per_order=True))
+    tables.replace("gold.kpi_daily_revenue", kpi.daily_revenue_tx(tx, one_row_per_order=True))
+    tables.replace("gold.kpi_customer_rfm", kpi.customer_rfm_tx(tx, one_row_per_order=True))
 
 
 def build_scores(tables: LayerTables, tx: DataFrame, cfg: RunConfig) -> None:
@@ -120,27 +130,29 @@ def run_warehouse(
     fail_on_dq: bool = False,
     on_duplicate: str = "error",
     append_bronze: bool = False,
+    force_load: bool = False,
 ) -> QualityReport:
     """Load, merge, model, gold, scores, checks. ``load=False`` reruns from bronze as it is.
 
-    With ``append_bronze`` a delivery is added to bronze instead of taking its place;
-    then ``on_duplicate="latest"`` lets the newest delivery of a key win. A failed check stops the run only with ``fail_on_dq``.
+    With ``append_bronze`` the files that bronze doesn't have yet are added to it instead of all files taking its place;
+    then ``on_duplicate="latest"`` lets the newest delivery of a key win. ``force_load`` adds known files once
+    more. A failed check stops the run only with ``fail_on_dq``.
     """
     cfg = cfg.started()
     tables = LayerTables(spark, root, prefix)
-    tables.create_all()
-    if load:
-        load_bronze(tables, cfg, append=append_bronze)
-    merge_silver(tables, cfg, on_duplicate)
-    build_model(tables, cfg)
-    create_gold_views(tables)
-    tx = staged_transactions(tables)
-    build_gold(tables, tx)
-    build_scores(tables, tx, cfg)
-    discard(tx)
-    report = check_quality(tables)
-    if fail_on_dq:
-        names = [r["check_name"] for r in report.failed().collect()]
-        if names:
-            raise RuntimeError(f"data quality checks failed: {', '.join(names)}")
+    with staged_run():
+        tables.create_all()
+        if load:
+            load_bronze(tables, cfg, append=append_bronze, force=force_load)
+        merge_silver(tables, cfg, on_duplicate)
+        build_model(tables, cfg)
+        create_gold_views(tables)
+        tx = staged_transactions(tables)
+        build_gold(tables, tx)
+        build_scores(tables, tx, cfg)
+        report = check_quality(tables)
+        if fail_on_dq:
+            names = [r["check_name"] for r in report.failed().collect()]
+            if names:
+                raise RuntimeError(f"data quality checks failed: {', '.join(names)}")
     return report

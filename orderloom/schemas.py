@@ -64,6 +64,10 @@ TABLES: dict[str, StructType] = {
     "bronze.orders_raw": _with(RAW_ORDERS, _INGESTED),
     "bronze.order_items_raw": _with(RAW_ORDER_ITEMS, _INGESTED),
     "bronze.customers_raw": _with(RAW_CUSTOMERS, _INGESTED),
+    # One row per file of a load. A load counts once it is a part of its bronze table.
+    "bronze.load_ledger": _schema(
+        "table_name string, file_path string, file_length bigint, modified_at timestamp_ntz, load_id string, loaded_at timestamp_ntz"
+    ),
     "silver.orders": _schema(
         "order_id string, customer_id string, order_status string, order_purchase_ts timestamp_ntz, "
         "order_approved_ts timestamp_ntz, order_delivered_carrier_ts timestamp_ntz, "
@@ -135,3 +139,11 @@ TABLES: dict[str, StructType] = {
         "holdout_sample_size bigint, notes string"
     ),
 }
+
+# Tables that are merged by key, and tables that files are loaded into.
+MERGE_KEYS: dict[str, list[str]] = {
+    "silver.orders": ["order_id"],
+    "silver.order_items": ["order_id", "order_item_id"],
+    "silver.customers": ["customer_id"],
+}
+LOADED_TABLES = ("bronze.orders_raw", "bronze.order_items_raw", "bronze.customers_raw")

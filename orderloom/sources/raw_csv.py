@@ -42,7 +42,15 @@ def clean_text(df: DataFrame) -> DataFrame:
     )
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """``(file_path, file_length, modified_at)`` of the files that a path or pattern names; contents aren't read."""
+    files = spark.read.format("binaryFile").load(path)
+    return files.select(
+        F.col("path").alias("file_path"), F.col("length").alias("file_length"), F.col("modificationTime").cast("timestamp_ntz").alias("modified_at")
+    )
+
+
+def read_csv(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
     """Columns are taken by position with a fixed schema, never inferred."""
     return clean_text(spark.read.schema(schema).options(**DIALECT).csv(path))
 

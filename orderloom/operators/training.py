@@ -1,36 +1,49 @@
-"""Candidate models on the snapshot dataset: fits run distributed in ``pyspark.ml``,
-only coefficients, class counts and fold lists come to the driver.
+"""Candidate models on the snapshot dataset. All validation folds of a model are fitted in the same jobs;
+only sums, trees and fold lists come to the driver.
 
 Frames carry the feature columns, ``target_1`` and unique keys
 ``(customer_id, snapshot_date)``; pass staged ones, fits read them many times.
+Functions that run in executors travel by value.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import sys
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark import inheritable_thread_target
-from pyspark.ml import Model
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, functions as F
 
+from orderloom.functions.ordered import running_sums
+from orderloom.functions.quantiles import grouped_quantiles
+from orderloom.operators import boosting
 from orderloom.operators.snapshots import FEATURE_COLS
-from orderloom.sources.staging import ensure_checkpoint_dir, stage
+from orderloom.sources.staging import discard, stage
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LABEL = "target_1"
 KEYS = ["customer_id", "snapshot_date"]
 CALIBRATION_FOLDS = 3
 LOGISTIC_ITERATIONS = 500
-NEWTON_STEPS = 60
 # Boosted-tree settings.
-TREE_ITERATIONS, TREE_DEPTH, TREE_STEP, TREE_LEAF_ROWS, TREE_BINS, SEED = 200, 6, 0.05, 50, 255, 42
+TREE_ITERATIONS, TREE_DEPTH, TREE_STEP, TREE_LEAF_ROWS, TREE_BINS = 200, 6, 0.05, 50, 255
+
+
+@dataclass(frozen=True)
+class Fold:
+    name: str
+    train_start: date
+    validation: date
+
+
+#: A fold whose training rows are all rows there are.
+ALL_ROWS = Fold("all", date.min, date.max)
 
 
 @dataclass(frozen=True)
@@ -49,29 +62,11 @@ class FeatureStats:
         return [(x - F.lit(m)) / F.lit(s or 1.0) for x, m, s in zip(self.filled(), self.mean, self.std)]
 
 
-def feature_stats(df: DataFrame, columns: Sequence[str]) -> FeatureStats:
-    """One pass. Filling with the median shifts mean and deviation, which is
-    worked out from the counts rather than by a second pass."""
-    aggs = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        aggs += [
-            F.percentile_approx(x, 0.5, 10000).alias(f"{c}__med"),
-            F.avg(x).alias(f"{c}__avg"),
-            F.var_pop(x).alias(f"{c}__var"),
-            F.count(x).alias(f"{c}__n"),
-        ]
-    row = df.agg(F.count(F.lit(1)).alias("rows"), *aggs).first()
-    if not row["rows"]:
-        raise RuntimeError("no rows to fit on")
-    return _stats_of(columns, row["rows"], [tuple(row[f"{c}__{k}"] for k in ("med", "avg", "var", "n")) for c in columns])
-
-
 def _stats_of(columns: Sequence[str], n: int, found: Sequence[tuple]) -> FeatureStats:
-    """From the row count and each column's median, mean, variance and count of known values."""
+    """From the row count and each column's median, mean, variance and count of known values. Filling with the
+    median shifts mean and deviation, which is worked out from the counts rather than by a second pass."""
     median, mean, std = [], [], []
     for med, avg, var, known in found:
-        med, avg, var = med or 0.0, avg or 0.0, var or 0.0
         gaps = n - known
         median.append(float(med))
         mean.append((known * avg + gaps * med) / n)
@@ -79,20 +74,6 @@ def _stats_of(columns: Sequence[str], n: int, found: Sequence[tuple]) -> Feature
     return FeatureStats(tuple(columns), tuple(median), tuple(mean), tuple(std))
 
 
-def _class_counts(df: DataFrame) -> tuple[int, int]:
-    row = df.agg(F.sum(F.when(F.col(LABEL) == 1, 1).otherwise(0)).alias("pos"), F.count(F.lit(1)).alias("n")).first()
-    pos = row["pos"] or 0
-    if pos == 0 or pos == row["n"]:
-        raise RuntimeError("both classes are needed to fit a model")
-    return row["n"] - pos, pos
-
-
-def _vector(df: DataFrame, features: list[Column], *others: Column) -> DataFrame:
-    names = [f"_x{j}" for j in range(len(features))]
-    wide = df.select(*others, *[x.alias(n) for x, n in zip(features, names)])
-    return VectorAssembler(inputCols=names, outputCol="features").transform(wide).drop(*names)
-
-
 def _sigmoid(x: Column) -> Column:
     return 1 / (1 + F.exp(-x))
 
@@ -114,6 +95,9 @@ class LinearPart:
     def probability(self) -> Column:
         return _sigmoid(F.lit(self.slope) * self.margin() + F.lit(self.offset))
 
+    def numbers(self) -> list[float]:
+        return [*self.stats.median, *self.stats.mean, *[s or 1.0 for s in self.stats.std], *self.weights, self.intercept, self.slope, self.offset]
+
 
 @dataclass(frozen=True)
 class CalibratedLogistic:
@@ -129,204 +113,278 @@ class CalibratedLogistic:
 
 @dataclass(frozen=True)
 class BoostedTrees:
-    stats: FeatureStats
-    model: Model
+    columns: tuple[str, ...]
+    model: boosting.Model
 
     def score(self, df: DataFrame) -> DataFrame:
-        names = [f"_x{j}" for j in range(len(self.stats.columns))]
-        wide = df.withColumns(dict(zip(names, self.stats.filled())))
-        vectors = VectorAssembler(inputCols=names, outputCol="features").transform(wide).drop(*names)
-        scored = self.model.transform(vectors)
-        return scored.withColumn("score", vector_to_array("probability")[1]).drop(
-            "features", "rawPrediction", "probability", "prediction"
-        )
-
-
-def _in_parallel(spark: SparkSession, run: Callable, inputs: Sequence, parallelism: int) -> list:
-    """Independent fits submitted from a few driver threads, as cross validation in
-    ``pyspark.ml`` does; every fit itself runs on the whole cluster."""
-    with ThreadPool(min(parallelism, len(inputs))) as pool:
-        return pool.map(inheritable_thread_target(spark)(run), inputs)
-
-
-def _fit_balanced_logistic(df: DataFrame, columns: Sequence[str], max_iter: int) -> LinearPart:
-    """Classes weighted to equal mass; the penalty has strength 1 against the summed loss."""
-    neg, pos = _class_counts(df)
-    n = neg + pos
-    stats = feature_stats(df, columns)
-    weight = F.when(F.col(LABEL) == 1, n / (2.0 * pos)).otherwise(n / (2.0 * neg))
-    rows = _vector(df, stats.scaled(), F.col(LABEL).cast("double").alias("label"), weight.alias("weight"))
-    fit = LogisticRegression(
-        maxIter=max_iter, regParam=1.0 / n, elasticNetParam=0.0, standardization=False, weightCol="weight", tol=1e-6
-    ).fit(rows)
-    return LinearPart(stats, tuple(float(w) for w in fit.coefficients), float(fit.intercept))
-
-
-def _calibrated(part: LinearPart, df: DataFrame) -> LinearPart:
-    """Sigmoid on the margin of unseen rows, with targets pulled in from 0 and 1 by the
-    class counts. A soft target is two weighted rows, one of each class."""
-    neg, pos = _class_counts(df)
-    target = F.when(F.col(LABEL) == 1, (pos + 1.0) / (pos + 2.0)).otherwise(1.0 / (neg + 2.0))
-    pair = F.array(
-        F.struct(F.lit(1.0).alias("label"), F.col("t").alias("weight")),
-        F.struct(F.lit(0.0).alias("label"), (1 - F.col("t")).alias("weight")),
-    )
-    soft = df.select(part.margin().alias("m"), target.alias("t")).select("m", F.explode(pair).alias("e"))
-    rows = _vector(soft, [F.col("m")], F.col("e.label").alias("label"), F.col("e.weight").alias("weight"))
-    fit = LogisticRegression(maxIter=100, regParam=0.0, weightCol="weight", tol=1e-9).fit(rows)
-    return LinearPart(part.stats, part.weights, part.intercept, float(fit.coefficients[0]), float(fit.intercept))
+        return boosting.with_scores(df, {0: self.model}, self.columns, F.lit(0))
 
 
-def fit_calibrated_logistic(
-    df: DataFrame, columns: Sequence[str] = tuple(FEATURE_COLS), max_iter: int = LOGISTIC_ITERATIONS
-) -> CalibratedLogistic:
-    """Balanced logistic regression, calibrated by three folds: each fit is calibrated
-    on the third of the rows it has not seen. Rows fall into folds by key hash."""
-    folded = df.withColumn("_fold", F.pmod(F.xxhash64(*KEYS), F.lit(CALIBRATION_FOLDS)))
+# --- what all folds share: ranks, counts, medians -----------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Training:
+    """Staged training rows: ``first`` is the first fold that a row is training data of, ``rank`` its
+    place in its class by snapshot and key hash.
+
+    Folds expand in time, so a fold's rows of a class have the ranks 0, 1, 2, and so on without a gap: taken
+    modulo a number, they deal each class evenly in every fold.
+    """
+
+    rows: DataFrame
+    folds: tuple[Fold, ...]
+    columns: tuple[str, ...]
+    counts: dict[tuple[int, int], tuple]  # (first, part): rows, positives, and mean, variance and count per column
+
+    def totals(self, fold: int, parts: Sequence[int] = range(CALIBRATION_FOLDS)) -> tuple[int, int]:
+        """(positives, rows) of a fold, or of some parts of it."""
+        own = [c for (first, part), c in self.counts.items() if first <= fold and part in parts]
+        return sum(c[1] for c in own), sum(c[0] for c in own)
+
+
+def _part() -> Column:
+    return F.pmod("rank", F.lit(CALIBRATION_FOLDS)).cast("int")
+
+
+def prepared(df: DataFrame, folds: Sequence[Fold], columns: Sequence[str]) -> Training:
+    """Rows that some fold trains on, ranked in one pass of running counts, and their sums per first fold and part."""
+    later = F.array(*[F.lit(f.validation) for f in folds])
+    first = F.size(F.filter(later, lambda v: v <= F.col("snapshot_date")))
+    numbers = [F.col(c).cast("double") for c in columns]
+    rows = df.select(
+        first.alias("first"), F.col(LABEL).cast("int").alias("y"), "snapshot_date", F.xxhash64(*KEYS).alias("h"), "customer_id",
+        F.lit(1).cast("bigint").alias("one"), *[F.when(~F.isnan(v), v).alias(f"x{j}") for j, v in enumerate(numbers)],
+    ).filter(F.col("first") < len(folds))
+    ranked = running_sums(stage(rows, "training-rows"), ["snapshot_date", "h", "customer_id"], ["one"], partition_by=["y"])
+    cells = [f"x{j}" for j in range(len(columns))]
+    rows = stage(ranked.select("first", "y", (F.col("cum_one") - 1).alias("rank"), *cells), "ranked-rows")
+    sums = [e.alias(f"{k}{j}") for j, c in enumerate(cells) for k, e in (("avg", F.avg(c)), ("var", F.var_pop(c)), ("n", F.count(c)))]
+    found = rows.groupBy("first", _part().alias("part")).agg(F.count(F.lit(1)).alias("rows"), F.sum("y").alias("pos"), *sums).collect()
+    counts = {
+        (r["first"], r["part"]): (r["rows"], r["pos"], [(r[f"avg{j}"] or 0.0, r[f"var{j}"] or 0.0, r[f"n{j}"]) for j in range(len(columns))])
+        for r in found
+    }
+    return Training(rows, tuple(folds), tuple(columns), counts)
+
 
-    def fit(fold: int) -> LinearPart:
-        part = _fit_balanced_logistic(folded.filter(F.col("_fold") != fold), columns, max_iter)
-        return _calibrated(part, folded.filter(F.col("_fold") == fold))
+def _merged(moments: Sequence[tuple[float, float, int]]) -> tuple[float, float, int]:
+    """Mean, variance and count of several sets together."""
+    n = sum(m[2] for m in moments)
+    if not n:
+        return 0.0, 0.0, 0
+    mean = sum(m[0] * m[2] for m in moments) / n
+    return mean, sum(m[2] * (m[1] + (m[0] - mean) ** 2) for m in moments) / n, n
 
-    return CalibratedLogistic(tuple(_in_parallel(df.sparkSession, fit, range(CALIBRATION_FOLDS), CALIBRATION_FOLDS)))
 
+def _medians(training: Training, groups_of: Callable[[tuple], list]) -> dict:
+    """Exact medians of the groups of (first, part), all in the same passes."""
+    rows = training.rows.withColumn("part", _part())
+    return grouped_quantiles(rows, [f"x{j}" for j in range(len(training.columns))], [0.5], ["first", "part"], groups_of)
 
-def _newton(rows: DataFrame, start: dict, features: Callable, target: Column, weight: Column, ridge: Sequence[float]) -> dict:
-    """Weighted logistic fits of all groups ``(k, p)`` at once, one job a step.
 
-    ``features(params)`` gives the columns from a group's parameters (an array column)
-    and ``start`` maps a group to ``(params, coefficients)``. Only sums per group reach
-    the driver. Steps are halved where the loss would rise.
+# --- calibrated logistic regression ----------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class _Step:
+    """What a task needs for one Newton step of all groups ``(fold, part)``."""
+
+    folds: int
+    stats: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, np.ndarray]]
+    weights: dict[tuple[int, int], np.ndarray]
+    balance: dict[tuple[int, int], tuple[float, float]]  # weight of a row of class 0, 1
+    margins: dict[tuple[int, int], np.ndarray] | None = None  # calibration: the fitted margin is the only feature
+
+    def sums(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(k, p, sums) per task: loss, gradient and curvature."""
+        found: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            first, y, rank = (batch.column(n).to_numpy() for n in ("first", "y", "rank"))
+            x = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns[3:]], axis=1)
+            missing, part = np.isnan(x), rank % CALIBRATION_FOLDS
+            for (k, p), w in self.weights.items():
+                use = (first <= k) & ((part == p) if self.margins else (part != p))
+                if use.any():
+                    parts = self._sums_of(k, p, w, np.where(missing[use], self.stats[k, p][0], x[use]), y[use])
+                    found[k, p] = found[k, p] + parts if (k, p) in found else parts
+        if found:
+            columns = [pa.array([g[i] for g in found], pa.int32()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(list(found.values()), pa.list_(pa.float64()))], ["k", "p", "sums"])
+
+    def _sums_of(self, k: int, p: int, w: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        _, mean, std = self.stats[k, p]
+        z = np.column_stack([(x - mean) / std, np.ones(len(x))])
+        target, weight = y.astype(float), np.ones(len(y))
+        if self.margins:
+            z = np.column_stack([z @ self.margins[k, p], np.ones(len(x))])
+            target = np.where(y == 1, self.balance[k, p][1], self.balance[k, p][0])
+        else:
+            weight = np.where(y == 1, self.balance[k, p][1], self.balance[k, p][0])
+        m = z @ w
+        q = boosting.sigmoid(m)
+        loss = (weight * (np.logaddexp(0, m) - target * m)).sum()
+        return np.concatenate([[loss], z.T @ (weight * (q - target)), (z.T @ (z * (weight * q * (1 - q))[:, None])).ravel()])
+
+
+def _newton(rows: DataFrame, step: _Step, ridge: np.ndarray, max_iter: int) -> dict[tuple[int, int], np.ndarray]:
+    """Weighted logistic fits of all groups at once, one job a step and one row of sums per task and group.
+
+    Steps are halved where the loss would rise.
     """
-    spark, size = rows.sparkSession, len(ridge)
-    fitted = {g: (params, np.array(w, float)) for g, (params, w) in start.items()}
-    step, loss, done = {g: np.zeros(size) for g in start}, {g: np.inf for g in start}, set()
-    for _ in range(NEWTON_STEPS):
-        state = [(*g, list(map(float, params)), list(map(float, w + step[g]))) for g, (params, w) in fitted.items() if g not in done]
-        table = spark.createDataFrame(state, "k int, p int, params array<double>, w array<double>")
-        x = features(F.col("params"))
-        wide = rows.join(F.broadcast(table), ["k", "p"]).select(
-            "k", "p", target.alias("t"), weight.alias("s"), "w", *[c.alias(f"x{i}") for i, c in enumerate(x)]
-        )
-        margin = reduce(lambda a, b: a + b, [F.get("w", F.lit(i)) * F.col(f"x{i}") for i in range(size)])
-        scored = wide.withColumn("m", margin).withColumn("q", _sigmoid(F.col("m")))
-        xs, curve = [F.col(f"x{i}") for i in range(size)], F.col("s") * F.col("q") * (1 - F.col("q"))
-        soft = F.greatest("m", F.lit(0.0)) + F.log1p(F.exp(-F.abs("m"))) - F.col("t") * F.col("m")
-        sums = [F.sum(F.col("s") * soft)] + [F.sum(F.col("s") * (F.col("q") - F.col("t")) * a) for a in xs]
-        sums += [F.sum(curve * xs[i] * xs[j]) for i in range(size) for j in range(i + 1)]
-        for r in scored.groupBy("k", "p").agg(*sums).collect():
-            g = (r[0], r[1])
-            params, w = fitted[g]
-            now = w + step[g]
-            value = r[2] + 0.5 * float((np.array(ridge) * now * now).sum())
-            if value > loss[g] + 1e-9 * abs(loss[g]) and np.abs(step[g]).max() > 1e-9:
-                step[g] = step[g] / 2
+    size = len(ridge)
+    fitted = {g: w.astype(float) for g, w in step.weights.items()}
+    move, loss, done = {g: np.zeros(size) for g in fitted}, {g: np.inf for g in fitted}, set()
+    for _ in range(max_iter):
+        tried = {g: fitted[g] + move[g] for g in fitted if g not in done}
+        now = _Step(step.folds, step.stats, tried, step.balance, step.margins)
+        parts = rows.mapInArrow(now.sums, "k int, p int, sums array<double>")
+        total = parts.select("k", "p", F.posexplode("sums").alias("at", "v")).groupBy("k", "p", "at").agg(F.sum("v").alias("v")).collect()
+        sums: dict[tuple[int, int], np.ndarray] = {g: np.zeros(1 + size + size * size) for g in tried}
+        for r in total:
+            sums[r["k"], r["p"]][r["at"]] = r["v"]
+        for g, s in sums.items():
+            value = s[0] + 0.5 * float((ridge * tried[g] ** 2).sum())
+            if value > loss[g] + 1e-9 * abs(loss[g]) and np.abs(move[g]).max() > 1e-9:
+                move[g] = move[g] / 2
                 continue
-            lower = np.zeros((size, size))
-            lower[np.tril_indices(size)] = r[3 + size :]
-            hess = lower + np.tril(lower, -1).T + np.diag(ridge) + 1e-10 * np.eye(size)
-            fitted[g], loss[g] = (params, now), value
-            step[g] = -np.linalg.solve(hess, np.array(r[3 : 3 + size]) + np.array(ridge) * now)
-            if np.abs(step[g]).max() < 1e-8:
+            curve = s[1 + size :].reshape(size, size) + np.diag(ridge) + 1e-10 * np.eye(size)
+            fitted[g], loss[g] = tried[g], value
+            move[g] = -np.linalg.solve(curve, s[1 : 1 + size] + ridge * tried[g])
+            if np.abs(move[g]).max() < 1e-8:
                 done.add(g)
         if len(done) == len(fitted):
             break
-    return {g: w for g, (_, w) in fitted.items()}
+    return fitted
 
 
-def fit_calibrated_by_fold(df: DataFrame, folds: Sequence[Fold], columns: Sequence[str] = tuple(FEATURE_COLS)) -> list[CalibratedLogistic]:
-    """``fit_calibrated_logistic`` of every fold's training rows, all folds in the same jobs.
-
-    A row is read once a step and counts for each later fold: the same work as one
-    fit after the other, in a few dozen jobs instead of a few dozen for each fold.
+def fit_calibrated_by_fold(
+    df: DataFrame, folds: Sequence[Fold], columns: Sequence[str] = tuple(FEATURE_COLS), max_iter: int = LOGISTIC_ITERATIONS
+) -> list[CalibratedLogistic]:
+    """Balanced logistic regression of every fold's training rows, calibrated in three parts: a fit
+    on two thirds of the rows, with classes weighted to equal mass and a penalty of strength 1 against the summed loss, has its margin
+    calibrated on the third. Thirds hold equal shares of both classes. All folds and thirds are fitted in the same jobs.
     """
-    size, parts = len(columns), range(CALIBRATION_FOLDS)
-    later = F.array(*[F.lit(f.validation) for f in folds])
-    first = F.size(F.filter(later, lambda v: v <= F.col("snapshot_date")))
-    # The parts are the thirds of fit_calibrated_logistic.
-    third = F.pmod(F.xxhash64(*KEYS), F.lit(CALIBRATION_FOLDS)).cast("int")
-    rows = df.filter(first < len(folds)).select(
-        F.explode(F.sequence(first, F.lit(len(folds) - 1))).alias("k"), third.alias("h"), F.col(LABEL).cast("double").alias("y"),
-        *[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)],
-    )
-    used = rows.withColumn("p", F.explode(F.array(*[F.lit(p) for p in parts])))
-    seen, unseen = used.filter("h <> p"), used.filter("h = p")
-    cells = [f"c{i}" for i in range(size)]
-    aggs = [e.alias(f"{n}{i}") for i, c in enumerate(cells) for n, e in (
-        ("med", F.percentile_approx(c, 0.5, 10000)), ("avg", F.avg(c)), ("var", F.var_pop(c)), ("n", F.count(c)),
-    )]
-    stats, classes = {}, {}
-    for r in seen.groupBy("k", "p").agg(F.count(F.lit(1)).alias("rows"), F.sum("y").alias("pos"), *aggs).collect():
-        stats[r["k"], r["p"]] = _stats_of(columns, r["rows"], [tuple(r[f"{n}{i}"] for n in ("med", "avg", "var", "n")) for i in range(size)])
-        classes[r["k"], r["p"]] = (r["rows"] - r["pos"], r["pos"])
-    held = {(r["k"], r["p"]): (r["n"] - r["pos"], r["pos"]) for r in unseen.groupBy("k", "p").agg(F.sum("y").alias("pos"), F.count("y").alias("n")).collect()}
+    training = prepared(df, folds, columns)
+    parts, size = range(CALIBRATION_FOLDS), len(columns)
     groups = [(k, p) for k in range(len(folds)) for p in parts]
-    if any(g not in c or not min(c[g]) for g in groups for c in (classes, held)):
+    seen = {(k, p): training.totals(k, [q for q in parts if q != p]) for k, p in groups}
+    held = {(k, p): training.totals(k, [p]) for k, p in groups}
+    if any(not 0 < pos < n for of in (seen, held) for pos, n in of.values()):
         raise RuntimeError("both classes are needed to fit a model")
 
-    def params(g: tuple[int, int], more: Sequence[float]) -> list[float]:
-        s = stats[g]
-        return [*s.median, *s.mean, *[v or 1.0 for v in s.std], *more]
-
-    def scaled(of: Column) -> list[Column]:
-        at = lambda i: F.get(of, F.lit(i))
-        return [(F.coalesce(F.col(c), at(i)) - at(size + i)) / at(2 * size + i) for i, c in enumerate(cells)]
-
-    extra = lambda i: F.get("params", F.lit(3 * size + i))
-    balance = {g: [sum(classes[g]) / (2.0 * n) for n in classes[g]] for g in groups}
-    weights = _newton(
-        seen, {g: (params(g, balance[g]), np.zeros(size + 1)) for g in groups},
-        lambda of: [*scaled(of), F.lit(1.0)], F.col("y"), F.when(F.col("y") == 1, extra(1)).otherwise(extra(0)), [1.0] * size + [0.0],
-    )
-    # Calibration: soft targets, and the margin of unseen rows as the only feature.
-    targets = {g: [1.0 / (held[g][0] + 2.0), (held[g][1] + 1.0) / (held[g][1] + 2.0), *weights[g]] for g in groups}
-    sigmoids = _newton(
-        unseen, {g: (params(g, targets[g]), [1.0, 0.0]) for g in groups},
-        lambda of: [reduce(lambda a, b: a + b, [x * extra(2 + i) for i, x in enumerate([*scaled(of), F.lit(1.0)])]), F.lit(1.0)],
-        F.when(F.col("y") == 1, extra(1)).otherwise(extra(0)), F.lit(1.0), [0.0, 0.0],
-    )
+    def members(atom: tuple[int, int]) -> list[tuple[int, int]]:
+        return [(k, p) for k in range(atom[0], len(folds)) for p in parts if p != atom[1]]
+
+    medians, stats = _medians(training, members), {}
+    for k, p in groups:
+        own = [c[2] for (first, part), c in training.counts.items() if first <= k and part != p]
+        moments = [_merged([c[j] for c in own]) for j in range(size)]
+        middles = [medians.get(((k, p), f"x{j}"), [0.0])[0] for j in range(size)]
+        stats[k, p] = _stats_of(columns, seen[k, p][1], [(med, *m) for med, m in zip(middles, moments)])
+    arrays = {g: (np.array(s.median), np.array(s.mean), np.array([v or 1.0 for v in s.std])) for g, s in stats.items()}
+    balance = {g: (n / (2.0 * (n - pos)), n / (2.0 * pos)) for g, (pos, n) in seen.items()}
+    step = _Step(len(folds), arrays, {g: np.zeros(size + 1) for g in groups}, balance)
+    weights = _newton(training.rows, step, np.array([1.0] * size + [0.0]), max_iter)
+    # Targets are pulled in from 0 and 1 by the class counts of the calibrating rows.
+    targets = {g: (1.0 / (n - pos + 2.0), (pos + 1.0) / (pos + 2.0)) for g, (pos, n) in held.items()}
+    step = _Step(len(folds), arrays, {g: np.array([1.0, 0.0]) for g in groups}, targets, weights)
+    sigmoids = _newton(training.rows, step, np.zeros(2), max_iter)
+    discard(training.rows)
     return [
         CalibratedLogistic(tuple(LinearPart(stats[k, p], tuple(map(float, weights[k, p][:-1])), float(weights[k, p][-1]), *map(float, sigmoids[k, p])) for p in parts))
         for k in range(len(folds))
     ]
 
 
-def fit_boosted_trees(
-    df: DataFrame, columns: Sequence[str] = tuple(FEATURE_COLS), max_iter: int = TREE_ITERATIONS
-) -> BoostedTrees:
-    ensure_checkpoint_dir(df.sparkSession)
-    _class_counts(df)
-    stats = feature_stats(df, columns)
-    rows = _vector(df, stats.filled(), F.col(LABEL).cast("double").alias("label"))
-    trees = GBTClassifier(
-        maxIter=max_iter,
-        maxDepth=TREE_DEPTH,
-        stepSize=TREE_STEP,
-        minInstancesPerNode=TREE_LEAF_ROWS,
-        maxBins=TREE_BINS,
-        seed=SEED,
-        checkpointInterval=10,
+def fit_calibrated_logistic(
+    df: DataFrame, columns: Sequence[str] = tuple(FEATURE_COLS), max_iter: int = LOGISTIC_ITERATIONS
+) -> CalibratedLogistic:
+    return fit_calibrated_by_fold(df, [ALL_ROWS], columns, max_iter)[0]
+
+
+def _logistic_scores(df: DataFrame, models: Sequence[CalibratedLogistic], columns: Sequence[str]) -> DataFrame:
+    """``score`` by the model of the row's ``fold``: coefficients come from a row per fold, so one scan serves all folds."""
+    size = len(columns)
+    width = 4 * size + 3
+    table = df.sparkSession.createDataFrame(
+        [(k, [v for p in m.parts for v in p.numbers()]) for k, m in enumerate(models)], "fold int, numbers array<double>"
     )
-    return BoostedTrees(stats, trees.fit(rows))
 
+    def probability(part: int) -> Column:
+        at = lambda i: F.get("numbers", F.lit(part * width + i))
+        values = [(F.coalesce(F.col(c).cast("double"), at(j)) - at(size + j)) / at(2 * size + j) * at(3 * size + j) for j, c in enumerate(columns)]
+        margin = reduce(lambda a, b: a + b, values, at(4 * size))
+        return _sigmoid(at(4 * size + 1) * margin + at(4 * size + 2))
+
+    total = reduce(lambda a, b: a + b, [probability(p) for p in range(CALIBRATION_FOLDS)])
+    # One row per validation fold, each a snapshot date.
+    return df.join(F.broadcast(table), "fold").withColumn("score", total / CALIBRATION_FOLDS).drop("numbers")
+
+
+# --- boosted trees --------------------------------------------------------------------------------------------
+
+
+def fit_boosted_by_fold(
+    df: DataFrame, folds: Sequence[Fold], columns: Sequence[str] = tuple(FEATURE_COLS), max_iter: int = TREE_ITERATIONS,
+    task_rows: int = boosting.TASK_ROWS,
+) -> list[BoostedTrees]:
+    """Boosted trees of every fold's training rows. Bins are cut once, at exact quantiles of all rows that some fold trains on;
+    a missing value counts as the fold's median."""
+    training = prepared(df, folds, columns)
+    counts = {k: training.totals(k) for k in range(len(folds))}
+    if any(not 0 < pos < n for pos, n in counts.values()):
+        raise RuntimeError("both classes are needed to fit a model")
+    names = [f"x{j}" for j in range(len(columns))]
+    cuts = grouped_quantiles(training.rows, names, [i / TREE_BINS for i in range(1, TREE_BINS)])
+    layout = boosting.Layout(tuple(tuple(sorted(set(cuts.get(((), n), [0.0])))) for n in names))
+    fills = {k: (0,) * len(columns) for k in counts}
+    if any(c[0] > m[2] for c in training.counts.values() for m in c[2]):
+        medians = _medians(training, lambda atom: list(range(atom[0], len(folds))))
+        middles = {k: np.array([[medians.get((k, n), [0.0])[0] for n in names]]) for k in counts}
+        fills = {k: tuple(int(b) for b in layout.binned(m)[0]) for k, m in middles.items()}
+    settings = boosting.Settings(max_iter, TREE_DEPTH, TREE_STEP, TREE_LEAF_ROWS, TREE_BINS)
+    held = F.pmod("rank", F.lit(settings.held_every)) == 0
+    rows = boosting.binned_rows(training.rows, layout, names, F.col("first"), F.col("y"), held)
+    discard(training.rows)
+    models = boosting.grow_folds(rows, layout, settings, counts, fills, task_rows)
+    discard(rows)
+    return [BoostedTrees(tuple(columns), models[k]) for k in range(len(folds))]
+
+
+def fit_boosted_trees(df: DataFrame, columns: Sequence[str] = tuple(FEATURE_COLS), max_iter: int = TREE_ITERATIONS) -> BoostedTrees:
+    return fit_boosted_by_fold(df, [ALL_ROWS], columns, max_iter)[0]
 
-FITTERS: dict[str, Callable] = {
-    "logreg_calibrated": fit_calibrated_logistic,
-    "hgb_challenger": fit_boosted_trees,
+
+def _boosted_scores(df: DataFrame, models: Sequence[BoostedTrees], columns: Sequence[str]) -> DataFrame:
+    return boosting.with_scores(df, {k: m.model for k, m in enumerate(models)}, columns, F.col("fold"))
+
+
+# --- candidates ----------------------------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Candidate:
+    """How a model is fitted on all folds at once, and how rows with a ``fold`` are scored by them."""
+
+    fit: Callable
+    score: Callable
+
+
+CANDIDATES: dict[str, Candidate] = {
+    "logreg_calibrated": Candidate(fit_calibrated_by_fold, _logistic_scores),
+    "hgb_challenger": Candidate(fit_boosted_by_fold, _boosted_scores),
 }
 
 
-def fit_model(name: str, df: DataFrame, columns: Sequence[str] = tuple(FEATURE_COLS), **options):
-    if name not in FITTERS:
+def candidate(name: str) -> Candidate:
+    if name not in CANDIDATES:
         raise ValueError(f"Unknown model name: {name}")
-    return FITTERS[name](df, columns, **options)
+    return CANDIDATES[name]
 
 
-@dataclass(frozen=True)
-class Fold:
-    name: str
-    train_start: date
-    validation: date
+def fit_model(name: str, df: DataFrame, columns: Sequence[str] = tuple(FEATURE_COLS), **options):
+    return candidate(name).fit(df, [ALL_ROWS], columns, **options)[0]
 
 
 def expanding_folds(class_counts: Sequence[tuple[date, int, int]], min_train_snapshots: int) -> list[Fold]:
@@ -358,28 +416,17 @@ def scored_rows(model, df: DataFrame, model_name: str, split: str) -> DataFrame:
 
 
 def rolling_time_cv(
-    ds_train: DataFrame,
-    model_name: str,
-    min_train_snapshots: int = 5,
-    parallelism: int = 4,
-    columns: Sequence[str] = tuple(FEATURE_COLS),
-    **options,
+    ds_train: DataFrame, model_name: str, min_train_snapshots: int = 5, columns: Sequence[str] = tuple(FEATURE_COLS), **options
 ) -> tuple[list[Fold], DataFrame]:
     """The folds and the staged out-of-fold scores of all of them."""
+    chosen = candidate(model_name)
     folds = expanding_folds(snapshot_class_counts(ds_train), min_train_snapshots)
-    day = F.col("snapshot_date")
-
-    if model_name == "logreg_calibrated" and not options:
-        fitted = fit_calibrated_by_fold(ds_train, folds, columns)
-        parts = [scored_rows(m, ds_train.filter(day == F.lit(f.validation)), model_name, f.name) for m, f in zip(fitted, folds)]
-        return folds, stage(reduce(DataFrame.unionByName, parts), "oof")
-
-    def run(fold: Fold) -> DataFrame:
-        model = fit_model(model_name, ds_train.filter(day < F.lit(fold.validation)), columns, **options)
-        return scored_rows(model, ds_train.filter(day == F.lit(fold.validation)), model_name, fold.name)
-
-    scored = _in_parallel(ds_train.sparkSession, run, folds, parallelism)
-    return folds, stage(reduce(DataFrame.unionByName, scored), "oof")
+    models = chosen.fit(ds_train, folds, columns, **options)
+    # One row per fold.
+    plan = ds_train.sparkSession.createDataFrame([(f.validation, k, f.name) for k, f in enumerate(folds)], "snapshot_date date, fold int, split_name string")
+    validated = chosen.score(ds_train.join(F.broadcast(plan), "snapshot_date"), models, columns)
+    scored = validated.select(F.lit(model_name).alias("model_name"), "split_name", *KEYS, F.col(LABEL).alias("y"), "score")
+    return folds, stage(scored, "oof")
 
 
 def label_repeat(scored: DataFrame, threshold: float) -> DataFrame:

@@ -239,14 +239,6 @@ _THRESHOLD_ROWS = ", ".join(
 )
 
 
-def _missing(dim: str, dim_key: str, fact_key: str, label: str) -> str:
-    return (
-        f", known AS ({dim}) SELECT '{label}' AS check_name, CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status, "
-        f"count(*) AS bad_rows FROM fact_orders_s f LEFT JOIN (SELECT DISTINCT {dim_key} FROM known) d "
-        f"ON d.{dim_key} = f.{fact_key} WHERE d.{dim_key} IS NULL"
-    )
-
-
 def _rounded(*names: str) -> str:
     return ", ".join(f"round({n}, 6) AS {n}" for n in names)
 
@@ -355,11 +347,6 @@ UNION ALL SELECT 'MODEL.FACT_ORDER_ITEMS', count(*) FROM fact_items_s""",
 SELECT 'MODEL.FACT_ORDER_ITEMS duplicate (ORDER_ID, ORDER_ITEM_ID)' AS check_name,
   CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status, count(*) AS dup_keys
 FROM (SELECT order_id, order_item_id FROM fact_items_s GROUP BY 1, 2 HAVING count(*) > 1)""",
-    "dq_missing_customer": _MODEL_ALL
-    + _missing(
-        "SELECT customer_key FROM dim_customer_s WHERE customer_state <> 'ASIA'",
-        "customer_key", "customer_key", "FACT_ORDERS missing DIM_CUSTOMER",
-    ),
     "dq_referential": _MODEL_ALL + """
 SELECT 'FACT_ORDERS missing DIM_CUSTOMER' AS check_name, CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status, count(*) AS bad_rows
 FROM fact_orders_s f WHERE NOT EXISTS (SELECT 1 FROM dim_customer_s d WHERE d.customer_key = f.customer_key)
@@ -377,11 +364,6 @@ folds AS (
 SELECT 'cv_fold_' || CAST(row_number() OVER (ORDER BY d) AS VARCHAR) AS fold, train_start, d AS validation,
   CAST(train_rows AS BIGINT) AS train_rows, CAST(train_positives AS BIGINT) AS train_positives, n AS rows, CAST(p AS BIGINT) AS positives
 FROM folds WHERE train_positives > 0 AND train_positives < train_rows""",
-    "dq_missing_date": _MODEL_ALL
-    + _missing(
-        "SELECT CAST(order_purchase_ts AS DATE) AS date_key FROM orders_s WHERE order_status = 'delivered'",
-        "date_key", "order_date", "FACT_ORDERS missing DIM_DATE",
-    ),
     "customer_features": _with(_ORDERS, _ITEMS) + """
 SELECT o.customer_id, CAST(sum(coalesce(price, 0) + coalesce(freight_value, 0)) AS DECIMAL(18,2)) AS total_revenue,
   count(DISTINCT o.order_id) AS order_count, max(CAST(o.order_purchase_ts AS DATE)) AS last_order_date
@@ -506,6 +488,10 @@ WHERE CAST(order_purchase_ts AS DATE) NOT IN (SELECT order_date FROM daily)""",
     "merge_arriving_orders": _with(_ORDERS) + f" SELECT *, {_RUN} AS updated_at FROM orders_s",
 }
 
+_REFERENTIAL = ORACLES["dq_referential"]
+ORACLES["dq_missing_customer"] = f"SELECT * FROM ({_REFERENTIAL}) WHERE check_name LIKE '%DIM_CUSTOMER'"
+ORACLES["dq_missing_date"] = f"SELECT * FROM ({_REFERENTIAL}) WHERE check_name LIKE '%DIM_DATE'"
+
 ORACLES["repeat_labels"] = _EV_ALL + f"""
 SELECT customer_id, CASE WHEN score >= (SELECT threshold FROM ({ORACLES["best_threshold"]})) THEN 'LIKELY_REPEAT'
   ELSE 'UNLIKELY_REPEAT' END AS churn_label FROM scored"""
@@ -514,3 +500,71 @@ SELECT customer_id, CASE WHEN score >= (SELECT threshold FROM ({ORACLES["best_th
 ORACLES["view_monthly"] = ORACLES["kpi_monthly_model"]
 ORACLES["view_daily"] = ORACLES["kpi_daily_model"]
 ORACLES["view_rfm"] = ORACLES["kpi_rfm_model"]
+
+
+def _positions(query: str, order: str) -> str:
+    return f"SELECT *, row_number() OVER (ORDER BY {order}) - 1 AS position FROM ({ORACLES[query]})"
+
+
+ORACLES["ordered_monthly"] = _positions("kpi_monthly_tx", "year_month")
+ORACLES["ordered_rfm"] = _positions("kpi_rfm_tx", "monetary DESC NULLS LAST, customer_id DESC NULLS LAST")
+ORACLES["ordered_layer_counts"] = _positions("dq_layer_counts", "obj")
+ORACLES["ordered_deciles"] = _positions("decile_diagnostics", "decile DESC")
+
+_HOLDOUT_RULE = (
+    _SNAP_ALL + "," + _CANDIDATES + """,
+scored AS (SELECT y, score, k2 FROM in_rows WHERE g = 'recent_buyers|holdout'),
+period AS (SELECT min(k2) AS snapshot_start, max(k2) AS snapshot_end FROM scored),""" + _EDGES
+)
+_EXTENSION_NOTES = "'extension_cell: winsorize+log+trend+calibration' AS notes"
+
+ORACLES["decile_rows"] = _HOLDOUT_RULE + f"""
+SELECT 'recent_buyers' AS model_name, 'v1' AS model_version, {_RUN} AS run_ts, 'holdout' AS split_name, snapshot_start, snapshot_end,
+  bin AS decile, round(min(score), 6) AS min_score, round(max(score), 6) AS max_score, round(avg(score), 6) AS avg_score,
+  round(avg(y), 6) AS positive_rate, count(*) AS sample_size, 'rules' AS notes
+FROM binned, period GROUP BY bin, snapshot_start, snapshot_end"""
+
+ORACLES["extension_calibration"] = _HOLDOUT_RULE + f"""
+SELECT 'recent_buyers' AS model_name, 'v1' AS model_version, {_RUN} AS run_ts, 'holdout_ext' AS split_name, bin,
+  round(avg(score), 6) AS avg_pred, round(avg(y), 6) AS actual_rate, round(abs(avg(score) - avg(y)), 6) AS abs_gap,
+  count(*) AS sample_size, {_EXTENSION_NOTES}
+FROM binned GROUP BY bin"""
+
+ORACLES["extension_metrics"] = _SNAP_ALL + "," + _CANDIDATES + "," + _METRICS_BY + "," + _LONG + f""",
+rows_ext AS (SELECT * FROM in_rows WHERE g = 'recent_buyers|holdout'),
+all_metrics AS (
+  SELECT metric_name, CAST(metric_value AS DOUBLE) AS metric_value FROM long WHERE model_name = 'recent_buyers' AND split_name = 'holdout'
+  UNION ALL SELECT 'brier_score', avg((score - y) * (score - y)) FROM rows_ext)
+SELECT 'recent_buyers' AS model_name, 'holdout_ext' AS split_name, (SELECT min(k2) FROM rows_ext) AS snapshot_start,
+  (SELECT max(k2) FROM rows_ext) AS snapshot_end, metric_name, round(metric_value, 6) AS metric_value, {_EXTENSION_NOTES}, {_RUN} AS run_ts
+FROM all_metrics"""
+
+# The 17 features in order.
+_FEATURES = """recency_days frequency_30d frequency_90d monetary_30d monetary_90d orders_lifetime monetary_lifetime
+avg_order_value_lifetime tenure_days log_monetary_30d log_monetary_90d log_monetary_lifetime log_avg_order_value_lifetime
+freq_delta_30_vs_90 monetary_delta_30_vs_90 monetary_per_day_90d order_rate_lifetime""".split()
+
+
+def _extended_scores() -> str:
+    margin = " + ".join(f"(CAST({c} AS DOUBLE) - {j}) / 100 * (CAST({(-1) ** j} AS DOUBLE) / {j + 1})" for j, c in enumerate(_FEATURES))
+    parts = " + ".join(f"1 / (1 + exp(-(CAST({slope} AS DOUBLE) * m - CAST(0.5 AS DOUBLE))))" for slope in (0.5, 1.0, 1.5))
+    return _SNAP_ALL + "," + _WINSOR + f""",
+wide AS (
+  SELECT *, ln(1 + monetary_30d) AS log_monetary_30d, ln(1 + monetary_90d) AS log_monetary_90d,
+    ln(1 + monetary_lifetime) AS log_monetary_lifetime, ln(1 + avg_order_value_lifetime) AS log_avg_order_value_lifetime,
+    CAST(frequency_30d AS DOUBLE) - CAST(frequency_90d AS DOUBLE) / 3 AS freq_delta_30_vs_90,
+    monetary_30d - monetary_90d / 3 AS monetary_delta_30_vs_90, monetary_90d / 90 AS monetary_per_day_90d,
+    CAST(orders_lifetime AS DOUBLE) / greatest(tenure_days, 1) AS order_rate_lifetime
+  FROM clipped),
+margins AS (SELECT customer_id, snapshot_date, CAST(0.25 AS DOUBLE) + {margin} AS m FROM wide)
+SELECT customer_id, snapshot_date, round(({parts}) / 3, 6) AS score FROM margins"""
+
+
+ORACLES["extended_scores"] = _extended_scores()
+
+ORACLES["bronze_loads"] = _with(_ORDERS) + f"""
+SELECT order_id, order_status, {_RUN} AS ingested_at FROM orders_s
+UNION ALL SELECT order_id, order_status, {_RUN} FROM orders_s WHERE order_status = 'o'"""
+
+ORACLES["upsert_touched"] = _with(_ORDERS) + """
+SELECT count(*) AS rows, CAST(1 AS BIGINT) AS merged, CAST(1 AS BIGINT) AS buckets_rewritten, CAST(0 AS BIGINT) AS rewritten_in_vain FROM orders_s"""

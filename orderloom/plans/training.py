@@ -117,6 +117,14 @@ def run_training(ds: DataFrame, cfg: RunConfig, candidates=CANDIDATES, options:
     )
 
 
+def extension_metrics(scored: DataFrame, top_k_fraction: float) -> DataFrame:
+    """Long metrics of an extension run: the usual ones and the Brier score."""
+    by = ["model_name", "split_name"]
+    wide = evaluation.eval_metrics(scored, top_k_fraction, training.KEYS, by=by)
+    brier = scored.groupBy(*by).agg(F.avg(F.pow(F.col("score") - F.col("y"), 2)).alias("brier_score"))
+    return evaluation.long_metrics(wide, by).unionByName(evaluation.long_metrics(brier, by, ["brier_score"]))
+
+
 def run_extended(
     ds: DataFrame, cfg: RunConfig, fit_limits_on: str = "train", max_iter: int = training.LOGISTIC_ITERATIONS
 ) -> tuple[DataFrame, DataFrame]:
@@ -138,10 +146,7 @@ def run_extended(
     holdout = extended.filter(F.col("snapshot_date") >= first_holdout)
     scored = stage(training.scored_rows(model, holdout, EXTENDED_MODEL, "holdout_ext"), "extended-scores")
 
-    by = ["model_name", "split_name"]
-    wide = evaluation.eval_metrics(scored, cfg.top_k_fraction, training.KEYS, by=by)
-    brier = scored.groupBy(*by).agg(F.avg(F.pow(F.col("score") - F.col("y"), 2)).alias("brier_score"))
-    long = evaluation.long_metrics(wide, by).unionByName(evaluation.long_metrics(brier, by, ["brier_score"]))
+    long = extension_metrics(scored, cfg.top_k_fraction)
     split_dates = ds.sparkSession.createDataFrame(
         [(EXTENDED_MODEL, "holdout_ext", holdout_dates[0], holdout_dates[-1])],
         "model_name string, split_name string, snapshot_start date, snapshot_end date",

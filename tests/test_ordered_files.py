@@ -1,7 +1,6 @@
 """Ordered delivery: positions follow the order, and a broken order is noticed."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from orderloom.sources.ordered_files import read_ordered, write_ordered
 

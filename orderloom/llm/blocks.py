@@ -15,32 +15,55 @@ from orderloom.sources.staging import stage
 FILTER_BITS = 1 << 26
 
 
-def linked_members(met: DataFrame, values: DataFrame, block_rows: int, compare: Callable) -> DataFrame:
-    """(node, component) of the links that ``compare`` finds between members (key, node) of one key.
-
-    ``values`` has (node, value). ``compare`` reads runs of rows (key, a, b, node, class, value) and gives the links
-    (x, y) of a run; rows of one class are joined already. No key's rows go to one task: a key of more than
-    ``block_rows`` members is read in order of its values, of their ends and of a hash first, in overlapping runs that
-    any range of the order may hold. What that joins is one class, and all pairs of different classes then meet, a
-    pair of blocks at a time.
+def classed(rows: DataFrame, classes: DataFrame | None) -> DataFrame:
+    """``rows`` with ``class``: the component of their node, or the node itself."""
+    rows = rows.drop("class")
+    if classes is None:
+        return rows.withColumn("class", F.col("node"))
+    return rows.join(classes, "node", "left").withColumn("class", F.coalesce("component", "node")).drop("component")
+
+
+def mixed_keys(rows: DataFrame) -> DataFrame:
+    """The keys whose rows (key, class) are of more than one class."""
+    return rows.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo <> hi").select("key")
+
+
+def star_pairs(rows: DataFrame) -> DataFrame:
+    """(x, y): per key, one member of each class next to the key's least one; linear in the rows of any key.
+
+    ``rows`` (key, node, class) are staged, and of mixed keys only.
     """
-    sizes = met.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    members = rows.groupBy("key", "class").agg(F.min("node").alias("y"))
+    first = rows.groupBy("key").agg(F.min("node").alias("x"))
+    return members.join(first, "key").filter("x <> y").select("x", "y").distinct()
+
+
+def linked_members(rows: DataFrame, links: DataFrame, values: DataFrame, block_rows: int, compare: Callable) -> DataFrame:
+    """(node, component) of ``links`` and of all links that ``compare`` finds between members of one key.
+
+    ``rows`` (key, node, class) are staged, ``class`` being the components of ``links``; ``values`` has (node, value). ``compare``
+    reads runs of rows (key, a, b, node, class, value) and gives the links (x, y) of a run; rows of one class are
+    joined already. No key's rows go to one task: a key of more than ``block_rows`` members is read in
+    order of its values, of their ends and of a hash first, in overlapping runs that any range of the order may hold. What
+    that joins is one class, and all pairs of different classes then meet, a pair of blocks at a time.
+    """
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
     sizes = stage(sizes, "key-sizes")
-    large = sizes.filter(F.col("members") > block_rows)
     place, run = ["key", "a", "b"], ["key", "a", "b", "node", "class", "value"]
 
-    def compared(rows: DataFrame, name: str) -> DataFrame:
-        return stage(rows.select(*run).mapInArrow(compare, "x long, y long"), name)
+    def compared(of: DataFrame, name: str) -> DataFrame:
+        return stage(of.select(*run).mapInArrow(compare, "x long, y long"), name)
 
-    few = met.join(sizes.filter(F.col("members") <= block_rows), "key").join(values, "node")
-    few = few.withColumns({"a": F.lit(0).cast("long"), "b": F.lit(0).cast("long"), "class": F.col("node")})
-    links = compared(few.repartition(*place).sortWithinPartitions(*place), "links")
+    few = rows.join(sizes.filter(F.col("members") <= block_rows).select("key"), "key", "left_semi").join(values, "node")
+    few = few.withColumns({"a": F.lit(0).cast("long"), "b": F.lit(0).cast("long")})
+    links = links.unionByName(compared(few.repartition(*place).sortWithinPartitions(*place), "links"))
+    large = sizes.filter(F.col("members") > block_rows)
     if large.isEmpty():
         return connected_components(links, "x", "y")
 
-    many = met.join(large, "key")
+    many = stage(rows.join(large, "key").join(values, "node"), "large-keys")
     for order in (F.col("value"), F.reverse(F.hex("value")), F.xxhash64("node")):
-        ordered = many.join(values, "node").withColumn("order", order)
+        ordered = many.withColumn("order", order)
         ordered = ordered.repartitionByRange("key", "order", "node").sortWithinPartitions("key", "order", "node")
         # The last row of a run is the first of the next one.
         at, step = F.col("at"), block_rows - 1
@@ -48,10 +71,10 @@ def linked_members(met: DataFrame, values: DataFrame, block_rows: int, compare:
         ordered = ordered.withColumn("at", F.monotonically_increasing_id()).withColumn(
             "a", F.explode(F.when(F.pmod(at, F.lit(step)) == 0, F.array(runs - 1, runs)).otherwise(F.array(runs)))
         )
-        links = links.unionByName(compared(ordered.withColumns({"b": F.col("a"), "class": F.col("node")}), "links-in-order"))
+        links = links.unionByName(compared(ordered.withColumn("b", F.col("a")), "links-in-order"))
     joined = stage(connected_components(links, "x", "y"), "joined")
 
-    classes = stage(many.join(joined, "node", "left").select("key", "node", "members", F.coalesce("component", "node").alias("class")), "classes")
+    classes = stage(classed(many, joined), "classes")
     largest = classes.groupBy("key", "class", "members").agg(F.count(F.lit(1)).alias("n")).groupBy("key", "members")
     largest = largest.agg(F.max(F.struct("n", "class")).alias("main")).filter(F.col("members") > F.col("main.n"))
     main = F.col("class") == F.col("main.class")
@@ -61,10 +84,11 @@ def linked_members(met: DataFrame, values: DataFrame, block_rows: int, compare:
         "key",
         "node",
         "class",
+        "value",
         F.when(main, others + F.pmod(hashed, mains)).otherwise(F.pmod(hashed, others)).alias("block"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.when(main, others - 1).otherwise(others + mains - 1))).alias("other"),
     )
-    dealt = dealt.select("key", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "node", "class").join(values, "node")
+    dealt = dealt.select("key", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "node", "class", "value")
     rest = compared(dealt.repartition(*place).sortWithinPartitions(*place), "links-across")
     known = joined.select(F.col("node").alias("x"), F.col("component").alias("y"))
     return connected_components(known.unionByName(rest), "x", "y")

@@ -1,10 +1,13 @@
 """N-gram Jaccard self-join by a MinHash LSH forest and exact verification.
 
 Every document has a signature of ``TREES`` labels of ``DEPTH`` minima each. A
-tree's labels in sorted order are a prefix trie. Matches are taken from the
-longest prefixes first; prefixes are then shortened down to the depth at which a
-pair at the threshold shares one in some tree with the target recall. Documents
-that meet and whose signatures agree enough make candidate groups, and inside a
+tree's labels in sorted order are a prefix trie, and the documents that share a
+prefix are a subtrie. Whole labels are matched first: in each subtrie every class of
+documents is held against one representative, and those whose signatures agree enough
+become one class. The prefix is then shortened, in two steps, but only for subtries that
+still hold several classes under the shortest prefix; whatever stands in a subtrie of one class is
+resolved. The shortest prefix is the one that a pair at the threshold shares in some tree with
+the target recall; what is still mixed there is compared in full. The classes are candidate groups, and inside a
 group all shingle sets are compared exactly, block by block: tasks give back
 counts and a spanning forest, never the pairs. Copies of a text take part once.
 """
@@ -21,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.blocks import bloom, groups, linked_members, parts_of, passes, star_forest
+from orderloom.llm.blocks import bloom, classed, groups, linked_members, mixed_keys, parts_of, passes, star_forest, star_pairs
 from orderloom.llm.components import connected_components
 from orderloom.llm.tables import whole_text
 from orderloom.sources.staging import stage
@@ -29,6 +32,7 @@ from orderloom.sources.staging import stage
 WORDS, THRESHOLD, TARGET_RECALL = 5, 0.8, 0.995
 TREES, DEPTH = 16, 8
 BLOCK_DOCS = 256
+EXACT_DOCS = 512  # documents of a block whose shingle sets are compared
 SLICE = 1 << 18  # shingles hashed at a time
 COLUMNS = 4096  # shingles compared at a time
 SPARK_SEED = 42
@@ -102,33 +106,79 @@ def text_id(text: str) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
-def _sign(prefix: int, words: int):
-    """(node, signature, keys of the shortest prefixes) of every text with words, each text once a batch."""
+def _sign(words: int):
+    """(node, signature) of every text with words, each text once a batch; of a minimum, 16 bits are kept."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = pc.unique(batch.column(0))
             hashes, sizes = shingles(texts, words)
             some = np.flatnonzero(sizes)
-            minima = signatures(hashes, sizes[some])
-            labels = minima.reshape(len(some), TREES, DEPTH)[:, :, :prefix].astype(np.uint64)
-            keys = np.broadcast_to(np.arange(1, TREES + 1, dtype=np.uint64), (len(some), TREES)).copy()
-            for d in range(prefix):
-                keys = _mixed(keys * ODD_A + labels[:, :, d])
+            short = (signatures(hashes, sizes[some]) & np.uint32(0xFFFF)).astype("<u2")
             nodes = [text_id(t.as_py()) for t in texts.take(pa.array(some))]
-            short = (minima & np.uint32(0xFFFF)).astype("<u2")
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(nodes, pa.int64()),
-                    pa.array([s.tobytes() for s in short], pa.binary()),
-                    pa.array(list(keys.view(np.int64)), pa.list_(pa.int64())),
-                ],
-                names=["node", "signature", "keys"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([s.tobytes() for s in short], pa.binary())], names=["node", "signature"])
 
     return sign
 
 
+def labels(signed: DataFrame) -> DataFrame:
+    """(node, class, tree, label): one row per tree."""
+    rows = signed.select("node", "class", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
+    label = F.substring("signature", F.col("tree") * (2 * DEPTH) + 1, F.lit(2 * DEPTH))
+    return rows.select("node", "class", "tree", label.alias("label"))
+
+
+def at_depth(rows: DataFrame, depth: int) -> DataFrame:
+    """``rows`` with ``key``: their subtrie under prefixes of ``depth`` minima."""
+    return rows.withColumn("key", F.xxhash64("tree", F.substring("label", F.lit(1), F.lit(2 * depth))))
+
+
+def _agree(least: float):
+    """The pairs (x, y) whose signatures agree in a share of at least ``least``."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(n).to_pylist()), "<u2").reshape(batch.num_rows, -1) for n in ("sx", "sy"))
+            near = np.flatnonzero((a == b).mean(axis=1) >= least) if batch.num_rows else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(n).take(pa.array(near)) for n in ("x", "y")], names=["x", "y"])
+
+    return keep
+
+
+def _linked_classes(rows: DataFrame, signed: DataFrame, least: float) -> DataFrame:
+    """Staged links (x, y) between the classes of each subtrie and its representative, where signatures agree."""
+    of = signed.select("node", "signature")
+    pairs = star_pairs(rows).join(of.withColumnsRenamed({"node": "x", "signature": "sx"}), "x")
+    pairs = pairs.join(of.withColumnsRenamed({"node": "y", "signature": "sy"}), "y")
+    return stage(pairs.select("x", "y", "sx", "sy").mapInArrow(_agree(least), "x long, y long"), "forest-links")
+
+
+def forest_classes(signed: DataFrame, shortest: int, least: float) -> DataFrame:
+    """(node, component) of documents that share a prefix of at least ``shortest`` minima, and whose
+    signatures agree, with another; ``signed`` (node, signature) is staged."""
+
+    def mixed(rows: DataFrame, depth: int) -> DataFrame:
+        rows = at_depth(rows, depth)
+        return stage(rows.join(mixed_keys(rows), "key", "left_semi"), "forest-mixed")
+
+    whole = mixed(labels(classed(signed, None)), DEPTH)
+    links = _linked_classes(whole, signed, least)
+    classes = stage(connected_components(links, "x", "y"), "forest-classes")
+    # From here on only subtries count that are mixed under the shortest prefix.
+    left = mixed(labels(classed(signed, classes)), shortest)
+    for depth in range(min(DEPTH - 1, shortest + 1), shortest - 1, -1):
+        here = mixed(left, depth)
+        if here.isEmpty():
+            continue
+        links = links.unionByName(_linked_classes(here, signed, least))
+        classes = stage(connected_components(links, "x", "y"), "forest-classes")
+        left = mixed(classed(left, classes), shortest)
+    if left.isEmpty():
+        return classes
+    values = signed.select("node", F.col("signature").alias("value"))
+    return linked_members(left.select("key", "node", "class"), links, values, BLOCK_DOCS, _agreeing(least))
+
+
 def _agreeing(least: float):
     """Star forests of documents whose signatures agree in a share of at least ``least``, per (key, a, b)."""
 
@@ -252,15 +302,11 @@ def near_documents(
     least = threshold - 3.5 * math.sqrt(threshold * (1 - threshold) / (TREES * DEPTH))
     rows = stage(docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("node")), "rows")
     copies = stage(rows.groupBy("node").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")), "copies")
-    signed = texts.mapInArrow(_sign(prefix, words), "node long, signature binary, keys array<long>")
-    signed = stage(signed.dropDuplicates(["node"]), "signatures")
-
-    met = signed.select(F.explode("keys").alias("key"), "node")
-    candidates = linked_members(met, signed.select("node", F.col("signature").alias("value")), BLOCK_DOCS, _agreeing(least))
-    candidates = stage(candidates, "candidates")
+    signed = stage(texts.mapInArrow(_sign(words), "node long, signature binary").dropDuplicates(["node"]), "signatures")
+    candidates = stage(forest_classes(signed, prefix, least), "candidates")
 
     sizes = candidates.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
-    blocks = F.ceil(F.col("members") / BLOCK_DOCS)
+    blocks = F.ceil(F.col("members") / EXACT_DOCS)
     placed = candidates.join(sizes, "component").select(
         "component", "node", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).alias("block")
     )

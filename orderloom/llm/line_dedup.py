@@ -20,11 +20,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from orderloom.llm.blocks import bloom, groups, linked_members, parts_of, passes
-from orderloom.llm.tables import whole_text
-from orderloom.sources.staging import stage
+from orderloom.llm.blocks import bloom, classed, groups, linked_members, mixed_keys, parts_of, passes, star_pairs
+from orderloom.llm.components import connected_components
+from orderloom.llm.tables import free_names, whole_text
+from orderloom.sources.staging import discard, stage
 
 THRESHOLD = 2
 MIN_CHARS = 20
@@ -128,8 +128,8 @@ def within(a: str, b: str, limit: int) -> bool:
     return bool(states[limit] >> (len(b) - len(a) + limit) & 1)
 
 
-def _entries(threshold: int, min_chars: int, bits: bytes | None = None):
-    """(key, line, role) of all lines, or those whose key the filter lets through."""
+def _entries(threshold: int, min_chars: int):
+    """(key, line, role) of all lines, each line once a batch."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         layouts: dict = {}
@@ -143,21 +143,29 @@ def _entries(threshold: int, min_chars: int, bits: bytes | None = None):
                 ids += [own] * (len(index) + len(probe))
                 roles += [0] * len(index) + [1] * len(probe)
                 if len(keys) > 1 << 18:
-                    yield _entry_batch(keys, ids, roles, bits)
+                    yield _entry_batch(keys, ids, roles)
                     keys, ids, roles = [], [], []
-            yield _entry_batch(keys, ids, roles, bits)
+            yield _entry_batch(keys, ids, roles)
 
     return emit
 
 
-def _entry_batch(keys: list, ids: list, roles: list, bits: bytes | None) -> pa.RecordBatch:
+def _entry_batch(keys: list, ids: list, roles: list) -> pa.RecordBatch:
     key, line, role = np.array(keys, np.uint64).view(np.int64), np.array(ids, np.int64), np.array(roles, np.int8)
-    if bits is not None:
-        some = passes(bits, key)
-        key, line, role = key[some], line[some], role[some]
     return pa.RecordBatch.from_arrays([pa.array(key), pa.array(line), pa.array(role)], names=["key", "line", "role"])
 
 
+def _with_key_in(bits: bytes):
+    """(key, line) of the entries whose key the filter lets through."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            some = pa.array(np.flatnonzero(passes(bits, batch.column(0).to_numpy())))
+            yield pa.RecordBatch.from_arrays([batch.column(i).take(some) for i in (0, 1)], names=["key", "node"])
+
+    return keep
+
+
 def _texts(bits: bytes, min_chars: int):
     """(line, text) of lines that the filter lets through, each once a batch."""
 
@@ -201,19 +209,40 @@ def _verify(threshold: int):
     return check
 
 
+def _near(threshold: int):
+    """The pairs (x, y) of lines that are within the threshold of each other."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines = zip(batch.column("vx").to_pylist(), batch.column("vy").to_pylist())
+            near = pa.array([i for i, (a, b) in enumerate(lines) if within(a, b, allowed(min(len(a), len(b)), threshold))], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(n).take(near) for n in ("x", "y")], names=["x", "y"])
+
+    return keep
+
+
 def line_links(docs: DataFrame, text_col: str = "text", threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(line, class) of line ids that have a near-duplicate with another id."""
+    """(line, class) of line ids that have a near-duplicate with another id.
+
+    Lines that share a key are held against one representative of the key first, which joins most; only keys that still
+    hold several classes are compared in full.
+    """
     texts = docs.select(whole_text(text_col).alias("__text"))
-    schema = "key long, line long, role byte"
-    keys = texts.mapInArrow(_entries(threshold, min_chars), schema).groupBy("key")
-    keys = keys.agg(*(how(c).alias(f"{how.__name__}_{c}") for c in ("line", "role") for how in (F.min, F.max)))
+    entries = stage(texts.mapInArrow(_entries(threshold, min_chars), "key long, line long, role byte"), "lines-entries")
+    keys = entries.groupBy("key").agg(*(how(c).alias(f"{how.__name__}_{c}") for c in ("line", "role") for how in (F.min, F.max)))
     # A key counts if two lines have it, one in the index and one probing.
     keys = stage(keys.filter("min_line <> max_line and min_role <> max_role").select("key"), "lines-keys")
-    entries = texts.mapInArrow(_entries(threshold, min_chars, bloom(keys, "key")), schema).select("key", F.col("line").alias("node"))
-    met = stage(entries.distinct().join(keys, "key"), "lines-met")
+    met = entries.mapInArrow(_with_key_in(bloom(keys, "key")), "key long, node long").distinct().join(keys, "key")
+    met = stage(classed(met, None), "lines-met")
+    discard(entries)
     fetched = texts.mapInArrow(_texts(bloom(met, "node"), min_chars), "line long, text string")
     known = stage(fetched.distinct(), "line-texts").select(F.col("line").alias("node"), F.col("text").alias("value"))
-    found = linked_members(met, known, BLOCK_LINES, _verify(threshold))
+    pairs = star_pairs(met).join(known.withColumnsRenamed({"node": "x", "value": "vx"}), "x")
+    pairs = pairs.join(known.withColumnsRenamed({"node": "y", "value": "vy"}), "y").select("x", "y", "vx", "vy")
+    links = stage(pairs.mapInArrow(_near(threshold), "x long, y long"), "line-pairs")
+    rows = classed(met, stage(connected_components(links, "x", "y"), "line-classes"))
+    left = stage(rows.join(mixed_keys(rows), "key", "left_semi"), "lines-mixed")
+    found = linked_members(left, links, known, BLOCK_LINES, _verify(threshold))
     return found.select(F.col("node").alias("line"), F.col("component").alias("class"))
 
 
@@ -255,12 +284,18 @@ def _stripped(line: Column) -> Column:
 
 
 def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with removed lines taken out of the text; a document that loses its whole text goes."""
+    """``docs`` with removed lines taken out of the text; a document that loses its whole text goes.
+
+    Null and empty texts stay. Rows repeated with the same id and text are one document and stay or go together.
+    Other columns stay as they are, whatever their names; an empty table stays empty.
+    """
+    rid, rhash, rlines, cut_lines = free_names(docs, "__rid", "__rhash", "__lines", "__removed")
     found = repeated_lines(docs, id_col, text_col, **options).filter(F.size("removed") > 0).distinct()
-    found = stage(found.select(F.col(id_col).alias("__rid"), F.col("text_hash").alias("__rhash"), F.col("n_lines").alias("__lines"), F.col("removed").alias("__removed")), "lines-cut")
-    same = docs[id_col].eqNullSafe(found["__rid"]) & (F.xxhash64(whole_text(text_col)) == found["__rhash"])
+    found = found.select(F.col(id_col).alias(rid), F.col("text_hash").alias(rhash), F.col("n_lines").alias(rlines), F.col("removed").alias(cut_lines))
+    found = stage(found, "lines-cut")
+    same = docs[id_col].eqNullSafe(found[rid]) & (F.xxhash64(whole_text(text_col)) == found[rhash])
     lines = F.split(F.col(text_col), "\n")
-    rest = F.array_except(F.sequence(F.lit(0), F.col("__lines") - 1), F.col("__removed"))
+    rest = F.array_except(F.sequence(F.lit(0), F.col(rlines) - 1), F.col(cut_lines))
     cut = F.array_join(F.transform(rest, lambda i: F.get(lines, i)), "\n")
-    joined = docs.join(found, same, "left").withColumn(text_col, F.when(F.col("__removed").isNull(), F.col(text_col)).otherwise(cut))
-    return joined.filter(F.col("__removed").isNull() | (F.trim(F.col(text_col)) != "")).select(*docs.columns)
+    joined = docs.join(found, same, "left").withColumn(text_col, F.when(F.col(cut_lines).isNull(), F.col(text_col)).otherwise(cut))
+    return joined.filter(F.col(cut_lines).isNull() | (F.trim(F.col(text_col)) != "")).select(*docs.columns)

@@ -38,3 +38,14 @@ def label_sample(labels: DataFrame, label_col: str, id_col: str, train: Column,
 def labelled_rows(docs: DataFrame, sample: DataFrame, id_col: str) -> DataFrame:
     """The rows of ``docs`` whose id is in the bounded sample, with ``__label``; ``docs`` isn't shuffled."""
     return docs.join(F.broadcast(sample), docs[id_col] == sample["__id"]).drop("__id")
+
+
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names like the wanted ones that no column of ``df`` has, in any letter case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -1,12 +1,13 @@
 """Embedding near-dedup, n-gram Jaccard join and connected components against brute force."""
 
+import random
 from collections import Counter
 
 import numpy as np
 import pytest
 from cases import SF, TEXTS, Groups, documents, edge_docs, empty_docs, table
 
-from orderloom.llm import embeddings, jaccard_join
+from orderloom.llm import components, embeddings, jaccard_join
 from orderloom.llm.components import connected_components
 from orderloom.llm.queries import QUERIES
 
@@ -91,12 +92,58 @@ def test_near_group_larger_than_a_block(spark, monkeypatch):
     assert sorted(map(tuple, got)) == near_by_brute_force(docs)
 
 
+def planted(rnd, families, members, words=90):
+    """Texts of some families: members differ from their family's text in a few words, families from each other in most."""
+    docs = []
+    for f in range(families):
+        base = [f"f{f}w{rnd.randrange(400)}" for _ in range(words)]
+        for _ in range(members):
+            own = list(base)
+            for _ in range(rnd.randrange(3)):
+                own[rnd.randrange(words)] = f"x{rnd.randrange(10_000)}"
+            docs.append((len(docs), " ".join(own)))
+    return docs
+
+
+def test_forest_reaches_the_target_recall(spark):
+    docs = planted(random.Random(12), 40, 12)
+    sets = [shingle_set(t) for _, t in docs]
+    links = sum(r.n_links for r in jaccard_join.near_documents(spark.createDataFrame(docs, "doc_id long, text string")).collect())
+    exact = sum(n for _, n, _, _ in near_by_brute_force(docs))
+    assert exact > 1000 and links >= 0.99 * exact and len(sets) == len(docs)
+
+
+def test_forest_rows_grow_with_the_documents(spark, monkeypatch):
+    """A family of near copies shares its prefixes: what is staged may not grow with the square of its size."""
+    from orderloom.llm import blocks
+
+    def rows(members):
+        counts, staged = [], jaccard_join.stage
+
+        def counted(df, label):
+            counts.append((label, staged(df, label)))
+            return counts[-1][1]
+
+        with monkeypatch.context() as patch:
+            for module in (jaccard_join, blocks):
+                patch.setattr(module, "stage", counted)
+            patch.setattr(jaccard_join, "BLOCK_DOCS", 16)
+            jaccard_join.near_documents(spark.createDataFrame(planted(random.Random(13), 1, members), "doc_id long, text string")).count()
+        return sum(c.count() for _, c in counts)
+
+    small, large = rows(100), rows(500)
+    assert large < 7 * small
+
+
 def test_shortest_prefix_meets_the_target():
     d = jaccard_join.shortest_prefix(0.8, 0.995)
     assert 1 - (1 - 0.8**d) ** jaccard_join.TREES >= 0.995 > 1 - (1 - 0.8 ** (d + 1)) ** jaccard_join.TREES
 
 
-def test_components(spark):
+@pytest.mark.parametrize("task_edges", [0, 40, 1 << 20])
+def test_components(spark, monkeypatch, task_edges):
+    """All by joins, the last turns in one task, and all in one task."""
+    monkeypatch.setattr(components, "TASK_EDGES", task_edges)
     rng = np.random.default_rng(4)
     pairs = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 200)] + [(int(a), int(b)) for a, b in rng.integers(2000, 2400, (150, 2))]
     groups = Groups()

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.tables import label_sample, labelled_rows, whole_text
+from orderloom.llm.tables import free_names, label_sample, labelled_rows, whole_text
 
 MAX_LABELLED = 20_000
 NAMES = ("symbols", "capitals", "digits", "stops", "word_length", "word_variety", "line_variety", "line_length")
@@ -119,5 +119,12 @@ def with_quality(docs: DataFrame, model: Discriminant, text_col: str = "text", t
     columns of the same names are replaced. Without labels of both classes the
     score is constant (0.5 if there are none).
     """
-    scored = docs.withColumn("__x", statistics(whole_text(text_col))).withColumn("quality_score", model.score(F.col("__x")))
-    return scored.drop("__x").withColumn("quality_predicted", (F.col("quality_score") >= threshold).cast("int"))
+    (x,) = free_names(docs, "__x")
+    scored = docs.withColumn(x, statistics(whole_text(text_col))).withColumn("quality_score", model.score(F.col(x)))
+    return scored.drop(x).withColumn("quality_predicted", (F.col("quality_score") >= threshold).cast("int"))
+
+
+def accepted(docs: DataFrame, model: Discriminant, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` that ``with_quality`` predicts 1 for, with all their columns as they are."""
+    (x,) = free_names(docs, "__x")
+    return docs.withColumn(x, statistics(whole_text(text_col))).filter(model.score(F.col(x)) >= threshold).drop(x)

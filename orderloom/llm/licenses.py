@@ -22,44 +22,75 @@ from pyspark.sql import functions as F
 from orderloom.llm.tables import whole_text
 from orderloom.sources.staging import stage
 
-# Wording of well-known licences, one phrase that tells each of them per line.
+# Wording of well-known licences, one phrase that tells each of them per line: identifiers, short forms, and
+# sentences of their notices, in lower case and without punctuation.
 TEMPLATES = {
-    "agpl-3.0": ["gnu affero general public license version 3"],
-    "apache-2.0": ["licensed under the apache license version 2.0"],
+    "agpl-3.0": [
+        "gnu affero general public license version 3",
+        "spdx license identifier agpl 3.0",
+        "gnu affero general public license as published by the free software foundation either version 3",
+        "agplv3",
+    ],
+    "apache-2.0": [
+        "licensed under the apache license version 2.0",
+        "spdx license identifier apache 2.0",
+        "licensed under the terms of the apache 2.0 license",
+        "apache license 2.0",
+    ],
     "bsd": [
         "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
         "released under the bsd license",
         "licensed under the bsd license",
+        "spdx license identifier bsd 2 clause",
+        "spdx license identifier bsd 3 clause",
     ],
-    "cc-by-4.0": ["licensed under cc by 4.0", "creative commons attribution 4.0 international license"],
+    "bsl-1.0": ["boost software license version 1.0", "spdx license identifier bsl 1.0"],
+    "cc-by-4.0": ["licensed under cc by 4.0", "creative commons attribution 4.0 international license", "spdx license identifier cc by 4.0"],
     "cc-by-nc-4.0": ["licensed under cc by nc 4.0", "creative commons attribution noncommercial 4.0 international license"],
     "cc-by-sa-4.0": ["licensed under cc by sa 4.0", "creative commons attribution sharealike 4.0 international license"],
-    "cc0-1.0": ["cc0 1.0 universal public domain dedication license"],
-    "gpl-2.0": ["gnu general public license version 2", "this work is licensed under the gnu general public license version 2"],
-    "gpl-3.0": ["gnu general public license version 3", "this work is licensed under the gnu general public license version 3"],
+    "cc0-1.0": ["cc0 1.0 universal public domain dedication license", "spdx license identifier cc0 1.0"],
+    "epl-2.0": ["eclipse public license v 2.0", "eclipse public license version 2.0", "eclipse public license 2.0", "spdx license identifier epl 2.0"],
+    "gpl-2.0": [
+        "gnu general public license version 2",
+        "this work is licensed under the gnu general public license version 2",
+        "spdx license identifier gpl 2.0",
+        "gnu general public license as published by the free software foundation either version 2",
+        "gplv2",
+    ],
+    "gpl-3.0": [
+        "gnu general public license version 3",
+        "this work is licensed under the gnu general public license version 3",
+        "spdx license identifier gpl 3.0",
+        "gnu general public license as published by the free software foundation either version 3",
+        "gplv3",
+    ],
     "isc": [
         "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
         "released under the isc license",
+        "spdx license identifier isc",
     ],
-    "lgpl": ["gnu lesser general public license"],
+    "lgpl": ["gnu lesser general public license", "spdx license identifier lgpl", "lgplv3"],
     "mit": [
         "released under the mit license",
         "licensed under the mit license",
         "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files",
+        "spdx license identifier mit",
     ],
-    "mpl-2.0": ["subject to the terms of the mozilla public license v 2.0", "mozilla public license version 2.0"],
+    "mpl-2.0": ["subject to the terms of the mozilla public license v 2.0", "mozilla public license version 2.0", "spdx license identifier mpl 2.0"],
     "proprietary": ["all rights reserved"],
-    "unlicense": ["this is free and unencumbered software released into the public domain"],
+    "unlicense": ["this is free and unencumbered software released into the public domain", "spdx license identifier unlicense"],
+    "zlib": ["released under the zlib license", "licensed under the zlib license", "spdx license identifier zlib"],
 }
 # Every feature holds one of these words (not "mit", which is German for "with"); a line without them can't start a paragraph.
 ANCHORS = (
     "license licensed licence licenced licenses licences copyright rights reserved redistribution permission granted "
-    "public domain apache gnu gpl agpl lgpl mozilla mpl creative commons cc cc0 bsd isc unlicense unencumbered"
+    "public domain apache gnu gpl agpl lgpl gplv2 gplv3 lgplv3 agplv3 mozilla mpl eclipse epl boost zlib spdx creative commons cc cc0 "
+    "bsd isc unlicense unencumbered"
 ).split()
 UNKNOWN = "unknown"
 FAMILIES = (UNKNOWN, *sorted(TEMPLATES))
 
-PARAGRAPH_LINES = 4
+PARAGRAPH_LINES = 24  # over which a notice's sentence may be spread
 MAX_TRAINING = 8000  # paragraphs of the corpus
 MAX_FEATURES = 2000
 ANCHOR_LINE = r"(?i)(?<![\p{L}\p{N}])(?:" + "|".join(sorted(ANCHORS, key=lambda w: (-len(w), w))) + r")(?![\p{L}\p{N}])"
@@ -97,8 +128,9 @@ def paragraphs(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def _pieces(phrase: str) -> list[str]:
+    """The phrase's word pairs; a phrase of one word is its only piece."""
     words = phrase.split()
-    return [" ".join(words[i : i + 2]) for i in range(len(words) - 1)]
+    return [" ".join(words[i : i + 2]) for i in range(len(words) - 1)] or words
 
 
 def held_share(tokens: Column, family: str) -> Column:
@@ -108,6 +140,8 @@ def held_share(tokens: Column, family: str) -> Column:
         F.slice(tokens, F.lit(2), F.greatest(F.size(tokens) - 1, F.lit(0))),
         lambda a, b: F.concat(a, F.lit(" "), b),
     )
+    if any(len(t.split()) == 1 for t in TEMPLATES[family]):
+        pairs = F.concat(pairs, tokens)
     shares = [F.size(F.array_intersect(pairs, F.array(*[F.lit(p) for p in _pieces(t)]))) / float(len(set(_pieces(t)))) for t in TEMPLATES[family]]
     return F.greatest(*shares) if len(shares) > 1 else shares[0]
 

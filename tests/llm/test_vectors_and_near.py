@@ -113,6 +113,13 @@ def test_forest_reaches_the_target_recall(spark):
     assert exact > 1000 and links >= 0.99 * exact and len(sets) == len(docs)
 
 
+def test_forest_recall_on_real_tables(spark):
+    sf = SF.replace("0.001", "0.01")
+    want = {i: n for i, n, _, _ in near_by_brute_force(documents(sf))}
+    got = {r.doc_id: r.n_links for r in QUERIES["op9_jaccard_join"](spark, sf).collect()}
+    assert all(got[i] <= want[i] for i in want) and sum(got.values()) >= 0.95 * sum(want.values()) > 0
+
+
 def test_forest_rows_grow_with_the_documents(spark, monkeypatch):
     """A family of near copies shares its prefixes: what is staged may not grow with the square of its size."""
     from orderloom.llm import blocks

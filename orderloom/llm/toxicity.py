@@ -3,8 +3,10 @@
 A sentence is a set of short character windows. Two windows are compared by the
 gap-weighted subsequence kernel: all common subsequences of ``ORDER`` characters
 count, each gap inside them costs a factor, so "i-d-i.o.t" or "idxiot" stay near
-"idiot". Single characters in a row are read as one word. The landmarks are
-character strings that mark the toxic class in labelled sentences. A sentence's
+"idiot". Single characters in a row are read as one word, and words too short for such a subsequence stand between
+marks of their ends, which count as characters. The landmarks are
+character strings that mark the toxic class in labelled sentences: as many as it takes until each toxic
+document of the sample that holds a telling string holds a landmark. A sentence's
 features are its windows' kernel values against the landmarks, whitened by the
 landmarks' own kernel matrix; the machine is linear in them. As only documents
 are labelled, each toxic document is learnt by its most toxic sentence, chosen
@@ -13,6 +15,8 @@ anew in every round. A document's score is that of its worst sentence.
 
 from __future__ import annotations
 
+import heapq
+import itertools
 import math
 import re
 import string
@@ -31,11 +35,17 @@ from orderloom.sources.staging import stage
 ORDER, DECAY, POWER = 4, 0.6, 3
 WINDOW, STRIDE = 12, 6
 GRAMS = (4, 5, 6, 7, 8)
-LANDMARKS = 24
+START, END = "\x02", "\x03"  # of words shorter than ORDER
+LANDMARKS = 1024  # at most; the labelled sample needs as many as it has different insults
+CANDIDATES = 16384  # telling strings among which landmarks are chosen
+LEAST_TOXIC = 3  # documents of the sample that a landmark must be in
+UNMARKED = 0.1  # the most that a sentence without a likeness to any landmark can score
 MAX_LABELLED = 3000  # of either class
 SENTENCE_WORDS = 40
 BEST_SENTENCES = 3  # per labelled document
 PAIRS_AT_ONCE = 1 << 14
+SLICE_BYTES = 1 << 22  # of text read at once
+KNOWN_WORDS = 1 << 18  # whose values a task remembers
 
 
 def kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -109,10 +119,19 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -60, 60)))
 
 
+def bare(word: str) -> str:
+    """The word's letters and digits; a short word between marks of its ends."""
+    core = re.sub(r"\W", "", word)
+    return START + core + END if 1 < len(core) < ORDER else core
+
+
 def windows_of(word: str) -> list[str]:
     """Windows of a word, and of its letters and digits alone if others stand between them."""
+    core = bare(word)
+    if core[:1] == START:
+        return [core]
     forms = [word]
-    if not word.isalnum() and not (core := word.strip(string.punctuation)).isalnum():
+    if not word.isalnum() and not word.strip(string.punctuation).isalnum():
         forms.append("".join(c for c in core if c.isalnum()))
     return [f[i : i + WINDOW] for f in forms if f for i in range(0, max(len(f) - STRIDE, 1), STRIDE)]
 
@@ -136,15 +155,15 @@ def read_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, lis
     start = np.maximum.accumulate(np.where(opens, np.arange(len(doc)), 0)) if len(doc) else doc
     opens = opens | ((np.arange(len(doc)) - start) % SENTENCE_WORDS == 0)
     sentence = np.cumsum(opens) - 1
-    bare = [re.sub(r"\W", "", w) if len(w) < 5 else "" for w in words]
-    single = np.array([len(b) == 1 for b in bare], bool)[codes] if len(codes) else np.zeros(0, bool)
+    letters = [re.sub(r"\W", "", w) if len(w) < 5 else "" for w in words]
+    single = np.array([len(b) == 1 for b in letters], bool)[codes] if len(codes) else np.zeros(0, bool)
     edge = np.flatnonzero(np.diff(np.concatenate([[0], single.astype(np.int8), [0]])))
     extra, known = [], {}
     for a, b in zip(edge[::2], edge[1::2]):
         cuts = np.flatnonzero(np.diff(doc[a:b])) + a + 1
         for x, y in zip([a, *cuts], [*cuts, b]):
             if y - x >= 3:
-                word = "".join(bare[c] for c in codes[x:y])
+                word = "".join(letters[c] for c in codes[x:y])
                 extra.append((doc[x], sentence[x], known.setdefault(word, len(words) + len(known))))
     if extra:
         added = np.array(extra, np.int64)
@@ -167,46 +186,98 @@ def _word_features(words: list[str], landmarks: Landmarks) -> np.ndarray:
     return out
 
 
+def grams_of(word: str) -> set[str]:
+    """The strings of a word that may become landmarks."""
+    core = bare(word)
+    return {core[i : i + n] for n in GRAMS for i in range(len(core) - n + 1)}
+
+
+def _slices(texts: pa.Array, most_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Runs of rows with about ``most_bytes`` of text; a longer text is a run of its own."""
+    run = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)) // most_bytes
+    cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), len(texts)]
+    yield from ((a, b) for a, b in zip(cuts, cuts[1:]) if b > a)
+
+
+def _grams_by_document(texts: pa.Array, wanted: frozenset[str] | None = None) -> Iterator[tuple[int, set[str]]]:
+    """The character strings of each document's words, all or the wanted ones."""
+    doc, _, codes, words = read_words(texts)
+    pairs = np.unique(np.stack([doc, codes], 1), axis=0) if len(doc) else np.zeros((0, 2), np.int64)
+    grams: dict[int, set[str]] = {}
+    for d, own in itertools.groupby(pairs.tolist(), key=lambda p: p[0]):
+        found: set[str] = set()
+        for _, c in own:
+            if c not in grams:
+                grams[c] = grams_of(words[c]) if wanted is None else grams_of(words[c]) & wanted
+            found |= grams[c]
+        yield d, found
+
+
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(gram, toxic documents, other documents) for the character strings of words, a batch at a time."""
+    """(gram, toxic documents, other documents), added up over a slice of text."""
     for batch in batches:
-        labels = batch.column(1).to_numpy(zero_copy_only=False)
-        doc, _, codes, words = read_words(batch.column(0))
-        seen: dict[str, list] = {}
-        grams = [{b[i : i + n] for b in (re.sub(r"\W", "", w)[:64],) for n in GRAMS for i in range(len(b) - n + 1)} for w in words]
-        for d, c in np.unique(np.stack([doc, codes], 1), axis=0).tolist() if len(doc) else ():
-            for g in grams[c]:
-                got = seen.get(g)
-                if got is None:
-                    got = seen[g] = [-1, 0, 0]
-                if got[0] != d:
-                    got[0] = d
-                    got[1 + (labels[d] == 0)] += 1
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(seen), pa.string()), pa.array([v[1] for v in seen.values()], pa.int64()), pa.array([v[2] for v in seen.values()], pa.int64())],
-            names=["gram", "toxic", "other"],
-        )
+        labels = batch.column(1).to_pylist()
+        for first, last in _slices(batch.column(0)):
+            counts: dict[str, list[int]] = {}
+            for d, found in _grams_by_document(batch.column(0).slice(first, last - first)):
+                place = 0 if labels[first + d] else 1
+                for g in found:
+                    counts.setdefault(g, [0, 0])[place] += 1
+            columns = [pa.array(list(counts), pa.string()), *(pa.array([c[i] for c in counts.values()], pa.int64()) for i in (0, 1))]
+            yield pa.RecordBatch.from_arrays(columns, names=["gram", "toxic", "other"])
+
+
+def _told(wanted: frozenset[str]):
+    """(gram, document) of the wanted strings."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.column(1).to_pylist()
+            for first, last in _slices(batch.column(0)):
+                rows = [(g, names[first + d]) for d, found in _grams_by_document(batch.column(0).slice(first, last - first), wanted) for g in found]
+                gram, name = zip(*rows) if rows else ((), ())
+                yield pa.RecordBatch.from_arrays([pa.array(gram, pa.string()), pa.array(name, pa.int64())], names=["gram", "doc"])
+
+    return find
 
 
 def choose_landmarks(rows: DataFrame, most: int = LANDMARKS) -> Landmarks:
-    """Strings that stand in many toxic documents and few others, none much like another. A bounded list reaches the driver."""
+    """Strings that tell toxic documents, chosen one after the other.
+
+    A telling string is in at least ``LEAST_TOXIC`` toxic documents and at odds of e^2 or more. Each time
+    the one is taken that tells most documents in which no landmark is yet, until none tells ``LEAST_TOXIC`` more. What
+    reaches the driver is bounded by the sample: strings and the sample documents they are in.
+    """
     sizes = {r["__label"]: r["count"] for r in rows.groupBy("__label").count().collect()}
     toxic, other = sizes.get(1, 0), sizes.get(0, 0)
-    counts = rows.select("__text", "__label").mapInArrow(_count_grams, "gram string, toxic long, other long")
-    counts = counts.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+    counts = rows.select("__text", "__label").mapInArrow(_count_grams, "gram string, toxic long, other long").groupBy("gram")
+    counts = counts.agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1.0)) - F.log((F.col("other") + 0.5) / (other + 1.0))
-    strong = counts.filter(F.col("toxic") >= max(3, toxic // 200)).withColumn("odds", odds).filter("odds > 2")
-    ranked = strong.orderBy((F.col("toxic") * F.col("odds")).desc(), F.length("gram").desc(), "gram").limit(50 * most).collect()
-    chosen: dict[str, int] = {}
-    for gram, count in ((r["gram"], r["toxic"]) for r in ranked):
-        parts = {gram[i : i + ORDER] for i in range(len(gram) - ORDER + 1)}
-        alike = [c for c in chosen if any(p in c for p in parts)]
-        if not alike and len(chosen) < most:
-            chosen[gram] = count
-        elif len(alike) == 1 and alike[0] in gram and count >= 0.85 * chosen[alike[0]]:
-            # The longer string tells nearly as many documents, and is less likely elsewhere.
-            del chosen[alike[0]]
-            chosen[gram] = count
+    strong = counts.filter(F.col("toxic") >= LEAST_TOXIC).withColumn("odds", odds).filter("odds > 2")
+    ranked = strong.orderBy((F.col("toxic") * F.col("odds")).desc(), F.length("gram").desc(), "gram").limit(CANDIDATES).collect()
+    strength = {r["gram"]: r["odds"] for r in ranked}
+    if not strength:
+        return Landmarks(())
+    told = rows.filter("__label = 1").select("__text", "__doc").mapInArrow(_told(frozenset(strength)), "gram string, doc long")
+    documents = {r["gram"]: set(r["docs"]) for r in told.groupBy("gram").agg(F.collect_set("doc").alias("docs")).collect()}
+
+    left, chosen = set().union(*documents.values()), []
+
+    def entry(gram: str) -> tuple[float, int, str]:
+        """Least for the string that tells most documents not yet told; of equals, for the longest."""
+        return -len(documents[gram] & left) * strength[gram], -len(gram.strip(START + END)), gram
+
+    queue = [entry(g) for g in documents]
+    heapq.heapify(queue)
+    while queue and len(chosen) < most:
+        gram = heapq.heappop(queue)[2]
+        if len(documents[gram] & left) < LEAST_TOXIC:
+            continue
+        if queue and entry(gram) > queue[0]:
+            heapq.heappush(queue, entry(gram))  # it tells fewer than when it was queued
+            continue
+        chosen.append(gram)
+        left -= documents[gram]
     return Landmarks(tuple(chosen))
 
 
@@ -252,7 +323,7 @@ def _train(x: np.ndarray, y: np.ndarray, cost: float) -> tuple[np.ndarray, float
 
 
 def _calibrate(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
-    """Logistic curve through the documents' margins, slightly regularised."""
+    """Logistic curve through the margins of documents, slightly regularised."""
     slope, offset = 1.0, 0.0
     design = np.stack([margin, np.ones(len(margin))], 1)
     for _ in range(50):
@@ -274,9 +345,12 @@ def fit_toxicity(
         label_sample(labels.filter("toxic = 0"), "toxic", id_col, train, max_rows)
     )
     rows = labelled_rows(docs.select(id_col, whole_text(text_col).alias("__text")), sample, id_col).select("__text", "__label")
-    rows = stage(rows.repartition(max(1, rows.sparkSession.sparkContext.defaultParallelism)), "toxic-sample")
+    rows = rows.repartition(max(1, rows.sparkSession.sparkContext.defaultParallelism)).withColumn("__doc", F.monotonically_increasing_id())
+    rows = stage(rows, "toxic-sample")
     landmarks = choose_landmarks(rows)
-    read = rows.mapInArrow(_sentences(landmarks), "label int, sentences array<array<float>>").collect()
+    read = rows.select("__text", "__label").mapInArrow(_sentences(landmarks), "label int, sentences array<array<float>>").collect()
+    # Toxic documents that are like no landmark teach nothing about those that are.
+    read = [r for r in read if not r["label"] or any(v > 0 for s in r["sentences"] for v in s)]
     y = np.array([r["label"] for r in read])
     if not landmarks.words or len(set(y.tolist())) < 2:
         share = min(max(float(y.mean()) if len(y) else 0.5, 1e-6), 1 - 1e-6)
@@ -294,24 +368,39 @@ def fit_toxicity(
             break
         witness = now
     margin = np.array([(b @ weights).max() for b in bags]) + bias
-    # Sample classes are not in the labels' proportion; the curve is fitted to what the sample holds.
-    return Machine(landmarks, whiten @ weights, bias, *_calibrate(margin, y))
+    # Sample classes are not in the labels' proportion; the curve is fitted to what the sample holds, and
+    # moved down where it would give more than UNMARKED to a sentence that is like no landmark.
+    slope, offset = _calibrate(margin, y)
+    return Machine(landmarks, whiten @ weights, bias, slope, min(offset, math.log(UNMARKED / (1 - UNMARKED)) - slope * bias))
 
 
 def _score(machine: Machine):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, float] = {}  # words' values, some of the latest
+
+        def values(words: list[str]) -> np.ndarray:
+            new = [w for w in words if w not in known]
+            if len(known) + len(new) > KNOWN_WORDS:
+                known.clear()
+                new = words
+            for at in range(0, len(new), 1 << 13):
+                part = new[at : at + (1 << 13)]
+                known.update(zip(part, (_word_features(part, machine.landmarks) @ machine.weights).tolist()))
+            return np.array([known[w] for w in words])
+
         for batch in batches:
+            if not batch.num_rows:
+                continue
             texts = batch.column(batch.num_columns - 1)
             margin = np.full(batch.num_rows, machine.bias)
-            if machine.landmarks.words:
-                doc, sentence, codes, words = read_words(texts)
-                value = (_word_features(words, machine.landmarks) @ machine.weights)[codes]
-                sums = np.bincount(sentence, value, minlength=0)
+            for first, last in _slices(texts) if machine.landmarks.words else ():
+                doc, sentence, codes, words = read_words(texts.slice(first, last - first))
+                sums = np.bincount(sentence, values(words)[codes], minlength=0) if len(codes) else np.zeros(0)
                 owner = np.zeros(len(sums), np.int64)
                 owner[sentence] = doc
-                best = np.full(batch.num_rows, -np.inf)
+                best = np.full(last - first, -np.inf)
                 np.maximum.at(best, owner, sums)
-                margin = np.where(np.isfinite(best), best, 0.0) + machine.bias
+                margin[first:last] += np.where(np.isfinite(best), best, 0.0)
             names = batch.schema.names[:-1]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(machine.probability(margin))], names=[*names, "toxic_score"])
 

@@ -139,6 +139,173 @@ def test_secrets_edges_and_redaction(spark):
     assert secrets.find_secrets(empty_docs(spark)).count() == 0 and secrets.redact(empty_docs(spark)).count() == 0
 
 
+def test_tokens_of_many_kinds(spark):
+    rnd = random.Random(11)
+
+    def some(alphabet, n):
+        return "".join(rnd.choice(alphabet) for _ in range(n))
+
+    low, hexa, full = string.ascii_lowercase + string.digits, "0123456789abcdef", string.ascii_letters + string.digits
+    kinds = {
+        "uuid": lambda: "-".join(some(hexa, n) for n in (8, 4, 4, 4, 12)),
+        "sk-live": lambda: "sk-live-" + some(low, 24),
+        "letters": lambda: some(string.ascii_lowercase, 40),
+        "xoxb": lambda: f"xoxb-{some(string.digits, 12)}-{some(full, 24)}",
+        "base64": lambda: some(full + "+/", 40),
+        "hex": lambda: some(hexa, 30),
+    }
+    words = "nginx ingress controller spark article config backup database release notes holiday pictures internationalization".split()
+    plain = ["-".join(rnd.sample(words, 4)) for _ in range(30)] + ["/".join(["usr", "local", *rnd.sample(words, 4)]) + "2/index" for _ in range(30)]
+    plain += ["_".join(rnd.sample(words, 3)) + "_2024" for _ in range(30)] + ["".join(rnd.sample(words, 3)) for _ in range(30)]
+    texts = [(k, f"the value {make()} was seen") for k, make in kinds.items() for _ in range(30)] + [("plain", f"we read {t} today") for t in plain]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id long, text string")
+    hits = {r.doc_id for r in secrets.find_secrets(docs).collect() if r.spans}
+    found = {k: sum(i in hits for i, (own, _) in enumerate(texts) if own == k) for k in [*kinds, "plain"]}
+    assert all(found[k] >= 27 for k in kinds) and found["plain"] == 0, found
+
+
+def battery(token):
+    """(encoding, p) of the first encoding that fits, in plain Python."""
+    import math
+
+    for no, (pattern, alphabet, classes, runs) in enumerate(secrets.ENCODINGS.values()):
+        if re.fullmatch(pattern, token):
+            break
+    else:
+        return None
+    n, k = len(token), len(alphabet)
+
+    def tail(z):
+        z = max(-8.0, min(8.0, z))
+        return 1 / (1 + math.exp(1.5976 * z + 0.07056 * z**3))
+
+    def place(c):
+        for form in (c, c.lower(), c.upper()):
+            if form in alphabet:
+                return alphabet.index(form)
+        return k - 2 if c == "-" else k - 1
+
+    values = [place(c) for c in token]
+    chi = sum(values.count(v) ** 2 for v in set(values)) * k / n - n
+    ps = [tail((chi - (k - 1)) / math.sqrt(2 * (k - 1) * (n - 1) / n))]
+    lower, upper, digits = (sum(a <= c <= b for c in token) for a, b in (("a", "z"), ("A", "Z"), ("0", "9")))
+    one_case = not classes[1] or not classes[2]
+    got = [digits, (lower + upper if classes[1] else 0) if one_case else lower, (lower + upper if classes[2] else 0) if one_case else upper, n - digits - lower - upper]
+    off = sum((g - n * c / k) ** 2 / (n * c / k) for g, c in zip(got, classes) if c)
+    free = sum(c > 0 for c in classes) - 1
+    if free:
+        ps.append(tail(((off / free) ** (1 / 3) - (1 - 2 / (9 * free))) / math.sqrt(2 / (9 * free))))
+
+    def runs_z(high, share):
+        q = share * (1 - share)
+        expected = 2 * (n - 1) * q
+        spread = expected * (1 - 2 * q) + 2 * (n - 2) * q * (1 - 4 * q)
+        return abs(sum(a != b for a, b in zip(high, high[1:])) - expected) / math.sqrt(max(spread, 1e-9))
+
+    ps.append(2 * tail(runs_z([v >= k / 2 for v in values], 1 - math.ceil(k / 2) / k)))
+    members = 5 if list(secrets.ENCODINGS)[no] == "letters" else len(runs)
+    ps.append(2 * tail(runs_z([c in runs for c in token], members / k)))
+    mean = sum(values) / n
+    dev = [v - mean for v in values]
+    square = sum(d * d for d in dev)
+    ps.append(2 * tail(8.0 if not square else abs((sum(a * b for a, b in zip(dev, dev[1:])) / square + 1 / n) * math.sqrt(n))))
+    return no, min(1.0, 5 * min(ps))
+
+
+def test_battery_by_brute_force(spark):
+    rnd = random.Random(3)
+    alphabets = ["0123456789abcdef", string.ascii_lowercase, string.ascii_uppercase + "234567", string.ascii_lowercase + string.digits, string.ascii_letters + string.digits + "+/-_"]
+    tokens = ["".join(rnd.choice(a) for _ in range(rnd.randint(16, 130))) for a in alphabets for _ in range(25)]
+    tokens += ["internationalization", "aaaaaaaaaaaaaaaaaaaaaaaa", "SomeCamelCaseIdentifierName2", "abcabcabcabcabcabc123", "!?"]
+    got = spark.createDataFrame(list(enumerate(tokens)), "i long, t string").select("i", secrets._tested(F.col("t")).alias("r")).collect()
+    for r in got:
+        want = battery(tokens[r.i])
+        if want is None:
+            assert r.r is None
+            continue
+        import math
+
+        evidence = -math.log10(max(want[1], 1e-30)) / secrets.BIN_WIDTH
+        assert r.r.encoding == want[0] and r.r.band == sum(len(tokens[r.i]) >= b for b in secrets.BANDS)
+        assert min(abs(r.r.bin - math.floor(min(e, secrets.MAX_BINS - 1))) for e in (evidence - 1e-6, evidence + 1e-6)) == 0
+
+
+def test_accepted_bins_follow_the_false_discovery_rule(spark):
+    """Text that often fits as well as the candidates leaves none of them; rare text leaves them all."""
+    schema = "__windows array<struct<band:int,encoding:int,bin:int>>, __candidates array<struct<band:int,encoding:int,bin:int>>"
+    text = [([(1, 1, 2)] * 50 + [(1, 1, 90)] * 950, [])] * 20
+    letters, hexa = [([], [(1, 1, 5)])] * 30, [([], [(1, 0, 5), (1, 0, 31)])] * 30
+    limits = secrets.accepted_bins(spark.createDataFrame(text + letters + hexa, schema), "__candidates", "__windows")
+    assert limits[1][0] == 5 and limits[1][1] == -1 and limits[0] == [-1] * len(secrets.ENCODINGS)
+    assert secrets.accepted_bins(spark.createDataFrame(letters + hexa, schema), "__candidates", "__windows")[1][:2] == [5, 5]
+
+
+def test_many_matches_take_linear_time(spark):
+    import time
+
+    def seconds(n):
+        text = " ".join(f"token=abcdefgh{i:06d}" for i in range(n)) + "\n" + " ".join(f"key{i:06d}4f9a8b7c6d5e4f3a2b1c0d9e" for i in range(n))
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        start = time.perf_counter()
+        spans = secrets.find_secrets(docs).first().spans
+        assert sum(s.kind == 0 for s in spans) == n
+        cleaned = secrets.redact(docs).first().text
+        assert cleaned.split("\n")[0] == " ".join(["[SECRET]"] * n)
+        return time.perf_counter() - start
+
+    seconds(100)
+    few, many = seconds(1000), seconds(8000)
+    assert many < 12 * few + 2
+
+
+def test_redaction_joins_overlaps_and_keeps_the_rest(spark):
+    rnd = random.Random(9)
+    texts = ["".join(rnd.choice("abé𝒳\n ") for _ in range(rnd.randint(0, 5000))) for _ in range(20)]
+    spans = [sorted((a, 0, a + rnd.randint(0, 30)) for a in (rnd.randint(0, max(len(t) - 1, 0)) for _ in range(rnd.randint(0, 300)))) for t in texts]
+    spans = [[(a, k, min(b, len(t))) for a, k, b in own if a < min(b, len(t))] for t, own in zip(texts, spans)]
+    df = spark.createDataFrame(list(zip(texts, spans)), f"text string, spans {secrets.SPANS}")
+    for r, text, own in zip(df.select("text", secrets.redacted(F.col("text"), F.col("spans"), "#").alias("out")).collect(), texts, spans):
+        out, end = [], 0
+        for a, _, b in own:
+            if a >= end or end == 0:
+                out += [text[end:a], "#"]
+            end = max(end, b)
+        assert r.text == text and r.out == "".join(out) + text[end:]
+
+
+def test_many_rare_insults(spark):
+    """Ten documents an insult, half of the sample clean: all are learnt, and clean texts stay clean."""
+    rnd = random.Random(21)
+    words = ["".join(rnd.choice("bcdfglmnprst") + rnd.choice("aeiou") for _ in range(rnd.randint(2, 4))) for _ in range(400)]
+    insults = sorted({"".join(rnd.choice("kqvwxz") + rnd.choice("aeiou") for _ in range(3)) for _ in range(80)})[:60] + ["kys", "zwq"]
+
+    def sentence():
+        return " ".join(rnd.choice(words) for _ in range(12))
+
+    rude = [f"{sentence()} {insult} {sentence()}." for insult in insults for _ in range(10)]
+    calm = [f"{sentence()} {sentence()}." for _ in rude]
+    docs = spark.createDataFrame(list(enumerate(rude + calm)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i < len(rude))) for i in range(2 * len(rude))], "doc_id long, quality int, toxic int")
+    machine = toxicity.fit_toxicity(docs, labels, F.lit(True))
+    probes = [f"{sentence()} {insult} {sentence()}." for insult in insults] + [f"{sentence()} {sentence()}." for _ in range(60)] + ["", "plain words alone"]
+    rows = toxicity.toxicity_scores(spark.createDataFrame(list(enumerate(probes)), "doc_id long, text string"), machine).collect()
+    predicted = {r.doc_id: r.toxic_predicted for r in rows}
+    assert sum(predicted[i] for i in range(len(insults))) >= 0.97 * len(insults)
+    assert sum(predicted[i] for i in range(len(insults), len(probes))) == 0
+
+
+def test_a_sentence_like_no_landmark_is_never_toxic(spark):
+    """Most toxic documents of this sample tell nothing."""
+    rnd = random.Random(22)
+    words = ["".join(rnd.choice("bcdfglmnprst") + rnd.choice("aeiou") for _ in range(3)) for _ in range(300)]
+    texts = [" ".join(rnd.choice(words) for _ in range(20)) + (" you idiot." if i < 20 else ".") for i in range(300)]
+    labels = spark.createDataFrame([(i, 1, int(i < 200)) for i in range(300)], "doc_id long, quality int, toxic int")
+    machine = toxicity.fit_toxicity(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), labels, F.lit(True))
+    rows = toxicity.toxicity_scores(spark.createDataFrame([(1, "a calm day."), (2, "what an idiot he is."), (3, None)], "doc_id long, text string"), machine).collect()
+    scores = {r.doc_id: r.toxic_score for r in rows}
+    assert scores[1] < 0.3 and scores[3] < 0.3 and scores[2] >= 0.3
+
+
 def test_licences(spark):
     texts = [
         "Prose first.\nReleased under the MIT License.",
@@ -155,6 +322,37 @@ def test_licences(spark):
     assert licenses.find_licences(empty_docs(spark)).count() == 0
 
 
+def test_identifiers_short_forms_and_notices(spark):
+    found = {
+        "SPDX-License-Identifier: MIT": "mit",
+        "// SPDX-License-Identifier: GPL-3.0-or-later": "gpl-3.0",
+        "It may be used under GPLv3.": "gpl-3.0",
+        "Licensed under the terms of the Apache 2.0 license.": "apache-2.0",
+        "it under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.": "gpl-3.0",
+        "This program is made available under the terms of the Eclipse Public License v 2.0": "epl-2.0",
+        "Distributed under the Boost Software License, Version 1.0.": "bsl-1.0",
+        "Released under the zlib license.": "zlib",
+        "Permission is hereby granted, free of\ncharge, to any person\nobtaining a copy\nof this software and\nassociated documentation\nfiles (the \"Software\"), to deal": "mit",
+    }
+    none = ["the eclipse was seen by the public", "he got a boost from the license plate", "a copyright question of version 3", "cc the public domain office"]
+    docs = spark.createDataFrame(list(enumerate([*found, *none])), "doc_id long, text string")
+    got = {r.doc_id: {x.family for x in r.licences} for r in licenses.find_licences(docs).collect()}
+    assert [got[i] for i in range(len(found))] == [{f} for f in found.values()]
+    assert not any(got[i] for i in range(len(found), len(got)))
+
+
+def test_licence_scores_by_brute_force(spark):
+    """The scores of the expression against sums of the weights of a paragraph's own n-grams."""
+    docs = spark.createDataFrame(list(enumerate([*(f"see {t} here" for f in licenses.TEMPLATES.values() for t in f), "the license of the house", "nothing"])), "doc_id long, text string")
+    rows = licenses.paragraphs(docs).cache()
+    model = licenses.fit_licences(rows)
+    for r in rows.select("tokens", "grams", model.scores(F.col("grams")).alias("scores")).collect():
+        grams = {" ".join(r.tokens[i : i + n]) for n in (1, 2, 3) for i in range(len(r.tokens) - n + 1) if set(r.tokens[i : i + n]) & set(licenses.ANCHORS)}
+        assert grams == set(r.grams)
+        want = [b + sum(model.weights[g][k] for g in grams if g in model.weights) for k, b in enumerate(model.intercepts)]
+        assert r.scores == pytest.approx(want, abs=1e-9)
+
+
 def test_licence_query_finds_every_line(spark):
     fixed = {"mit": "Released under the MIT License.", "apache-2.0": "Licensed under the Apache License, Version 2.0.", "proprietary": "All rights reserved.",
              "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.", "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0."}

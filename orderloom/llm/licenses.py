@@ -189,7 +189,9 @@ def fit_licences(rows: DataFrame, max_rows: int = MAX_TRAINING, penalty: float =
     """Train on the templates and at most ``max_rows`` different paragraphs (of ``paragraphs``), chosen by a hash of their words."""
     spark = rows.sparkSession
     order = F.xxhash64("tokens")
-    distinct = rows.select("tokens").distinct().orderBy(order, "tokens").limit(max_rows).withColumn("grams", _grams(F.col("tokens"), (1, 2, 3)))
+    chosen = rows.select("tokens").distinct().orderBy(order, "tokens").limit(max_rows)
+    # The limit leaves one partition; the labels of all of it would be one task's work.
+    distinct = chosen.repartition(spark.sparkContext.defaultParallelism).withColumn("grams", _grams(F.col("tokens"), (1, 2, 3)))
     corpus = distinct.withColumn("label", _weak_label(F.col("tokens"))).filter("label is not null")
     fixed = _template_rows(spark).withColumn("tokens", _tokens(F.col("text"))).withColumn("grams", _grams(F.col("tokens"), (1, 2, 3)))
     both = corpus.withColumn("held", F.pmod(order, F.lit(5)) == 0).unionByName(fixed.withColumn("held", F.lit(False)).drop("text"))

@@ -383,3 +383,22 @@ def test_all_licences_of_one_line(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: {x.family for x in r.licences} for r in licenses.find_licences(docs).collect()}
     assert got == {0: {"apache-2.0", "mit"}, 1: {"agpl-3.0"}, 2: {"bsd", "proprietary"}}
+
+
+def test_windows_cover_all_letters_and_digits_of_a_text(spark):
+    """In order and without gaps; fewer than the shortest window stay out at the end."""
+    letters = "".join(chr(97 + i * i % 26) + str(i % 10) for i in range(3000))
+    sizes = (0, 23, 24, 63, 100, 239, 240, 241, 263, 5999)
+    texts = [" ".join(letters[i : min(i + 7, n)] for i in range(0, n, 7)) for n in sizes]
+    rows = spark.createDataFrame(list(zip(sizes, texts)), "n int, text string").select("n", secrets.text_windows(F.col("text")).alias("w")).collect()
+    for r in rows:
+        joined = "".join(r["w"])
+        assert letters.startswith(joined) and r["n"] - len(joined) < min(secrets.WINDOWS) and {*map(len, r["w"])} <= {*secrets.WINDOWS}
+
+
+def test_windows_have_the_bins_of_the_whole_battery(spark):
+    texts = ["thequickbrownfoxjumpsoverthelazydog", "q8Zr1Lw0Xc7Vb2Nm9Kj4Hg6Fd3Sa5Po8Iu", "d41d8cd98f00b204e9800998ecf8427e", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "xkqvzjwpfbhmgdycturl"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    token = F.col("t")
+    for r in df.select(secrets._tested(token).alias("a"), secrets._tested(token, secrets._early_bin).alias("b")).collect():
+        assert (r["b"]["band"], r["b"]["encoding"], r["b"]["bin"]) == (r["a"]["band"], r["a"]["encoding"], min(secrets.REJECTED, r["a"]["bin"]))

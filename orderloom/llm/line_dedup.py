@@ -83,10 +83,13 @@ def _layout(n: int, threshold: int) -> tuple[list[tuple[int, int, int]], list[tu
 
 def index_and_probe_keys(line: str, threshold: int, layouts: dict | None = None) -> tuple[list[int], list[int]]:
     """Hashes of segments and substrings, seeded with (length, allowed edits, segment number)."""
-    raw, digest, n = line.encode("utf-32-le"), xxhash.xxh64_intdigest, len(line)
+    digest, n = xxhash.xxh3_64_intdigest, len(line)
     layouts = {} if layouts is None else layouts
     index, probe = layouts.get(n) or layouts.setdefault(n, _layout(n, threshold))
-    return [digest(raw[4 * a : 4 * b], k) for k, a, b in index], [digest(raw[4 * a : 4 * b], k) for k, a, b in probe]
+    if line.isascii():  # the same bytes as below, encoded once
+        raw = line.encode()
+        return [digest(raw[a:b], k) for k, a, b in index], [digest(raw[a:b], k) for k, a, b in probe]
+    return [digest(line[a:b].encode(), k) for k, a, b in index], [digest(line[a:b].encode(), k) for k, a, b in probe]
 
 
 def within(a: str, b: str, limit: int) -> bool:
@@ -135,23 +138,26 @@ def _entries(threshold: int, min_chars: int):
         layouts: dict = {}
         for batch in batches:
             lines = {line for text in batch.column(0).to_pylist() for line in map(str.strip, text.split("\n")) if len(line) >= min_chars}
-            keys, ids, roles = [], [], []
+            keys, ids, counts = [], [], []
             for line in lines:
-                own = line_id(line)
                 index, probe = index_and_probe_keys(line, threshold, layouts)
-                keys += index + probe
-                ids += [own] * (len(index) + len(probe))
-                roles += [0] * len(index) + [1] * len(probe)
+                keys += index
+                keys += probe
+                ids.append(line_id(line))
+                counts += len(index), len(probe)
                 if len(keys) > 1 << 18:
-                    yield _entry_batch(keys, ids, roles)
-                    keys, ids, roles = [], [], []
-            yield _entry_batch(keys, ids, roles)
+                    yield _entry_batch(keys, ids, counts)
+                    keys, ids, counts = [], [], []
+            yield _entry_batch(keys, ids, counts)
 
     return emit
 
 
-def _entry_batch(keys: list, ids: list, roles: list) -> pa.RecordBatch:
-    key, line, role = np.array(keys, np.uint64).view(np.int64), np.array(ids, np.int64), np.array(roles, np.int8)
+def _entry_batch(keys: list[int], ids: list[int], counts: list[int]) -> pa.RecordBatch:
+    """``counts`` has the numbers of index and probe keys of each line in turn."""
+    each = np.array(counts, np.int64)
+    key, line = np.array(keys, np.uint64).view(np.int64), np.repeat(np.array(ids, np.int64), each.reshape(-1, 2).sum(axis=1))
+    role = np.repeat(np.arange(len(each)) % 2, each).astype(np.int8)
     return pa.RecordBatch.from_arrays([pa.array(key), pa.array(line), pa.array(role)], names=["key", "line", "role"])
 
 

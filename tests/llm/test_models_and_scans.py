@@ -402,3 +402,24 @@ def test_windows_have_the_bins_of_the_whole_battery(spark):
     token = F.col("t")
     for r in df.select(secrets._tested(token).alias("a"), secrets._tested(token, secrets._early_bin).alias("b")).collect():
         assert (r["b"]["band"], r["b"]["encoding"], r["b"]["bin"]) == (r["a"]["band"], r["a"]["encoding"], min(secrets.REJECTED, r["a"]["bin"]))
+
+
+def test_cutting_windows_costs_little_beside_the_base_patterns(spark):
+    import time
+
+    rnd = random.Random(6)
+    words = ["".join(rnd.choice("etaoinshrdlu") for _ in range(rnd.randint(2, 9))) for _ in range(500)]
+    texts = [" ".join(" ".join(rnd.choice(words) for _ in range(15)).capitalize() + "." for _ in range(20)) for _ in range(4000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").repartition(4).cache()
+
+    def seconds(column):
+        def once():
+            start = time.perf_counter()
+            df.select(column).write.format("noop").mode("overwrite").save()
+            return time.perf_counter() - start
+
+        return min(once() for _ in range(4))
+
+    patterns, windows = seconds(secrets.base_spans(F.col("t"))), seconds(secrets.text_windows(F.col("t")))
+    df.unpersist()
+    assert windows < 4 * patterns, (windows, patterns)

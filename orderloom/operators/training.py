@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 from functools import reduce
 
@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from orderloom.functions.ordered import running_sums
 from orderloom.functions.quantiles import grouped_quantiles
 from orderloom.operators import boosting
+from orderloom.operators.boosting import sigmoid
 from orderloom.operators.snapshots import FEATURE_COLS
 from orderloom.sources.staging import discard, stage
 
@@ -125,8 +126,8 @@ class BoostedTrees:
 
 @dataclass(frozen=True)
 class Training:
-    """Staged training rows: ``first`` is the first fold that a row is training data of, ``rank`` its
-    place in its class by snapshot and key hash.
+    """Training rows: ``first`` is the first fold that a row is training data of, ``rank`` its
+    place in its class by snapshot and key hash. Reading them joins a row of offsets per range to staged rows.
 
     Folds expand in time, so a fold's rows of a class have the ranks 0, 1, 2, and so on without a gap: taken
     modulo a number, they deal each class evenly in every fold.
@@ -156,9 +157,9 @@ def prepared(df: DataFrame, folds: Sequence[Fold], columns: Sequence[str]) -> Tr
         first.alias("first"), F.col(LABEL).cast("int").alias("y"), "snapshot_date", F.xxhash64(*KEYS).alias("h"), "customer_id",
         F.lit(1).cast("bigint").alias("one"), *[F.when(~F.isnan(v), v).alias(f"x{j}") for j, v in enumerate(numbers)],
     ).filter(F.col("first") < len(folds))
-    ranked = running_sums(stage(rows, "training-rows"), ["snapshot_date", "h", "customer_id"], ["one"], partition_by=["y"])
+    ranked = running_sums(rows, ["snapshot_date", "h", "customer_id"], ["one"], partition_by=["y"])
     cells = [f"x{j}" for j in range(len(columns))]
-    rows = stage(ranked.select("first", "y", (F.col("cum_one") - 1).alias("rank"), *cells), "ranked-rows")
+    rows = ranked.select("first", "y", (F.col("cum_one") - 1).alias("rank"), *cells)
     sums = [e.alias(f"{k}{j}") for j, c in enumerate(cells) for k, e in (("avg", F.avg(c)), ("var", F.var_pop(c)), ("n", F.count(c)))]
     found = rows.groupBy("first", _part().alias("part")).agg(F.count(F.lit(1)).alias("rows"), F.sum("y").alias("pos"), *sums).collect()
     counts = {
@@ -186,49 +187,105 @@ def _medians(training: Training, groups_of: Callable[[tuple], list]) -> dict:
 # --- calibrated logistic regression ----------------------------------------------------------------------
 
 
+#: Rows of a block: few enough for their numbers to stay in a core's cache.
+BLOCK_ROWS = 1 << 12
+BLOCK = {"first": np.int32, "y": np.int8, "part": np.int8, "x": np.float64}
+BLOCKS = "first binary, y binary, part binary, x binary"
+
+
+def _block(first: np.ndarray, y: np.ndarray, part: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
+    columns = [np.ascontiguousarray(v, kind).tobytes() for v, kind in zip((first, y, part, x), BLOCK.values())]
+    return pa.RecordBatch.from_arrays([pa.array([c], pa.binary()) for c in columns], list(BLOCK))
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """(first, y, part, x) of one block after the other; ``x`` has a row of numbers per training row."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            first, y, part, x = (np.frombuffer(batch.column(n)[i].as_buffer(), kind) for n, kind in BLOCK.items())
+            yield first, y, part, x.reshape(len(y), -1)
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (first, y, rank, numbers) to blocks; a missing number is NaN."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, BLOCK_ROWS):
+            cut = batch.slice(at, BLOCK_ROWS)
+            first, y, rank = (cut.column(n).to_numpy() for n in ("first", "y", "rank"))
+            x = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in cut.columns[3:]], axis=1)
+            yield _block(first, y, rank % CALIBRATION_FOLDS, x)
+
+
+@dataclass(frozen=True)
+class _Scales:
+    """Median, mean and deviation of every column, by group ``(fold, part)``."""
+
+    stats: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+    def scaled(self, group: tuple[int, int], x: np.ndarray) -> np.ndarray:
+        """Filled and scaled numbers, and a column of ones."""
+        median, mean, std = self.stats[group]
+        missing = np.isnan(x)
+        filled = np.where(missing, median, x) if missing.any() else x
+        z = np.ones((len(x), x.shape[1] + 1))
+        np.divide(np.subtract(filled, mean, out=z[:, :-1]), std, out=z[:, :-1])
+        return z
+
+
+@dataclass(frozen=True)
+class _Margins:
+    """Turns blocks of features into blocks of margins: a number per fold, by the fit that hasn't seen the row."""
+
+    folds: int
+    scales: _Scales
+    weights: dict[tuple[int, int], np.ndarray]
+
+    def blocks(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for first, y, part, x in _blocks(batches):
+            margins = np.zeros((len(y), self.folds))
+            for (k, p), w in self.weights.items():
+                use = (first <= k) & (part == p)
+                if use.any():
+                    margins[use, k] = self.scales.scaled((k, p), x[use]) @ w
+            yield _block(first, y, part, margins)
+
+
 @dataclass(frozen=True)
 class _Step:
     """What a task needs for one Newton step of all groups ``(fold, part)``."""
 
-    folds: int
-    stats: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, np.ndarray]]
     weights: dict[tuple[int, int], np.ndarray]
-    balance: dict[tuple[int, int], tuple[float, float]]  # weight of a row of class 0, 1
-    margins: dict[tuple[int, int], np.ndarray] | None = None  # calibration: the fitted margin is the only feature
+    balance: dict[tuple[int, int], tuple[float, float]]  # weight of a row of class 0, 1; calibration: its target
+    scales: _Scales | None = None  # without: calibration, the fold's margin is the only feature
+    margins: _Margins | None = None  # calibration: how to get margins, if the blocks hold features
 
     def sums(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(k, p, sums) per task: loss, gradient and curvature."""
         found: dict[tuple[int, int], np.ndarray] = {}
-        for batch in batches:
-            first, y, rank = (batch.column(n).to_numpy() for n in ("first", "y", "rank"))
-            x = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns[3:]], axis=1)
-            missing, part = np.isnan(x), rank % CALIBRATION_FOLDS
+        for first, y, part, x in _blocks(self.margins.blocks(batches) if self.margins else batches):
             for (k, p), w in self.weights.items():
-                use = (first <= k) & ((part == p) if self.margins else (part != p))
+                use = (first <= k) & ((part != p) if self.scales else (part == p))
                 if use.any():
-                    parts = self._sums_of(k, p, w, np.where(missing[use], self.stats[k, p][0], x[use]), y[use])
+                    parts = self._sums_of(k, p, w, x[use] if self.scales else x[use, k], y[use])
                     found[k, p] = found[k, p] + parts if (k, p) in found else parts
         if found:
             columns = [pa.array([g[i] for g in found], pa.int32()) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(list(found.values()), pa.list_(pa.float64()))], ["k", "p", "sums"])
 
     def _sums_of(self, k: int, p: int, w: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        _, mean, std = self.stats[k, p]
-        z = np.column_stack([(x - mean) / std, np.ones(len(x))])
-        target, weight = y.astype(float), np.ones(len(y))
-        if self.margins:
-            z = np.column_stack([z @ self.margins[k, p], np.ones(len(x))])
-            target = np.where(y == 1, self.balance[k, p][1], self.balance[k, p][0])
+        of_class = np.where(y == 1, self.balance[k, p][1], self.balance[k, p][0])
+        if self.scales:
+            z, target, weight = self.scales.scaled((k, p), x), y.astype(float), of_class
         else:
-            weight = np.where(y == 1, self.balance[k, p][1], self.balance[k, p][0])
+            z, target, weight = np.column_stack([x, np.ones(len(x))]), of_class, np.ones(len(y))
         m = z @ w
-        q = boosting.sigmoid(m)
+        q = sigmoid(m)
         loss = (weight * (np.logaddexp(0, m) - target * m)).sum()
         return np.concatenate([[loss], z.T @ (weight * (q - target)), (z.T @ (z * (weight * q * (1 - q))[:, None])).ravel()])
 
 
 def _newton(rows: DataFrame, step: _Step, ridge: np.ndarray, max_iter: int) -> dict[tuple[int, int], np.ndarray]:
-    """Weighted logistic fits of all groups at once, one job a step and one row of sums per task and group.
+    """Weighted logistic fits of all groups at once over staged blocks, one job a step and one row of sums per task and group.
 
     Steps are halved where the loss would rise.
     """
@@ -237,7 +294,7 @@ def _newton(rows: DataFrame, step: _Step, ridge: np.ndarray, max_iter: int) -> d
     move, loss, done = {g: np.zeros(size) for g in fitted}, {g: np.inf for g in fitted}, set()
     for _ in range(max_iter):
         tried = {g: fitted[g] + move[g] for g in fitted if g not in done}
-        now = _Step(step.folds, step.stats, tried, step.balance, step.margins)
+        now = replace(step, weights=tried)
         parts = rows.mapInArrow(now.sums, "k int, p int, sums array<double>")
         total = parts.select("k", "p", F.posexplode("sums").alias("at", "v")).groupBy("k", "p", "at").agg(F.sum("v").alias("v")).collect()
         sums: dict[tuple[int, int], np.ndarray] = {g: np.zeros(1 + size + size * size) for g in tried}
@@ -282,15 +339,20 @@ def fit_calibrated_by_fold(
         moments = [_merged([c[j] for c in own]) for j in range(size)]
         middles = [medians.get(((k, p), f"x{j}"), [0.0])[0] for j in range(size)]
         stats[k, p] = _stats_of(columns, seen[k, p][1], [(med, *m) for med, m in zip(middles, moments)])
-    arrays = {g: (np.array(s.median), np.array(s.mean), np.array([v or 1.0 for v in s.std])) for g, s in stats.items()}
+    scales = _Scales({g: (np.array(s.median), np.array(s.mean), np.array([v or 1.0 for v in s.std])) for g, s in stats.items()})
     balance = {g: (n / (2.0 * (n - pos)), n / (2.0 * pos)) for g, (pos, n) in seen.items()}
-    step = _Step(len(folds), arrays, {g: np.zeros(size + 1) for g in groups}, balance)
-    weights = _newton(training.rows, step, np.array([1.0] * size + [0.0]), max_iter)
+    blocks = stage(training.rows.mapInArrow(_packed, BLOCKS), "logistic-blocks")
+    step = _Step({g: np.zeros(size + 1) for g in groups}, balance, scales)
+    weights = _newton(blocks, step, np.array([1.0] * size + [0.0]), max_iter)
     # Targets are pulled in from 0 and 1 by the class counts of the calibrating rows.
     targets = {g: (1.0 / (n - pos + 2.0), (pos + 1.0) / (pos + 2.0)) for g, (pos, n) in held.items()}
-    step = _Step(len(folds), arrays, {g: np.array([1.0, 0.0]) for g in groups}, targets, weights)
-    sigmoids = _newton(training.rows, step, np.zeros(2), max_iter)
-    discard(training.rows)
+    step = _Step({g: np.array([1.0, 0.0]) for g in groups}, targets, margins=_Margins(len(folds), scales, weights))
+    if len(folds) <= size:  # margins take no more room than features: they are worked out once, else in every step
+        of_features, blocks = blocks, stage(blocks.mapInArrow(step.margins.blocks, BLOCKS), "margins")
+        step = replace(step, margins=None)
+        discard(of_features)
+    sigmoids = _newton(blocks, step, np.zeros(2), max_iter)
+    discard(blocks)
     return [
         CalibratedLogistic(tuple(LinearPart(stats[k, p], tuple(map(float, weights[k, p][:-1])), float(weights[k, p][-1]), *map(float, sigmoids[k, p])) for p in parts))
         for k in range(len(folds))
@@ -346,7 +408,6 @@ def fit_boosted_by_fold(
     settings = boosting.Settings(max_iter, TREE_DEPTH, TREE_STEP, TREE_LEAF_ROWS, TREE_BINS)
     held = F.pmod("rank", F.lit(settings.held_every)) == 0
     rows = boosting.binned_rows(training.rows, layout, names, F.col("first"), F.col("y"), held)
-    discard(training.rows)
     models = boosting.grow_folds(rows, layout, settings, counts, fills, task_rows)
     discard(rows)
     return [BoostedTrees(tuple(columns), models[k]) for k in range(len(folds))]

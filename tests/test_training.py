@@ -217,3 +217,29 @@ def test_rows_to_boost_are_kept_in_blocks(data):
     values = rows.toPandas()
     assert np.array_equal(np.concatenate([b.bins for b in blocks]), layout.binned(values[COLUMNS].to_numpy(float)))
     assert np.array_equal(np.concatenate([b.y for b in blocks]), values["target_1"]) and (np.concatenate([b.bins for b in blocks]) == -1).any()
+
+
+def test_newton_steps_read_blocks_and_calibration_reads_margins(data, monkeypatch):
+    """A step moves blocks, not rows. Margins are worked out once: calibration reads one number per row, not all features."""
+    newton, read = training._newton, []
+
+    def watched(rows, *rest):
+        blocks = rows.collect()
+        read.append((len(blocks), sum(len(r["y"]) for r in blocks), sum(len(r["x"]) for r in blocks) // 8))
+        return newton(rows, *rest)
+
+    monkeypatch.setattr(training, "_newton", watched)
+    training.fit_calibrated_logistic(data, COLUMNS)
+    (few, n, features), (also_few, m, margins) = read
+    assert max(few, also_few) <= 1500 // 100 and n == m == 1500
+    assert (features, margins) == (1500 * len(COLUMNS), 1500)
+
+
+def test_margins_in_every_step_equal_margins_worked_out_once(data):
+    """More folds than features: margins would take more room than features, so they aren't kept."""
+    folds = [Fold(f"cv_fold_{i + 1}", date(2020, 1, 1), date(2020, m, 1)) for i, m in enumerate((4, 6, 8))]
+    assert len(folds) > len(COLUMNS)
+    for fold, model in zip(folds, training.fit_calibrated_by_fold(data, folds, COLUMNS)):
+        alone = training.fit_calibrated_logistic(data.filter(F.col("snapshot_date") < F.lit(fold.validation)), COLUMNS)
+        for a, b in zip(model.parts, alone.parts):
+            assert [*a.weights, a.intercept, a.slope, a.offset] == pytest.approx([*b.weights, b.intercept, b.slope, b.offset], abs=1e-6)

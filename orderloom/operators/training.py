@@ -136,7 +136,7 @@ class Training:
     rows: DataFrame
     folds: tuple[Fold, ...]
     columns: tuple[str, ...]
-    counts: dict[tuple[int, int], tuple]  # (first, part): rows, positives, and mean, variance and count per column
+    counts: dict[tuple[int, int], tuple]  # (first, part): rows, positives, and mean, variance and count, or the count alone, per column
 
     def totals(self, fold: int, parts: Sequence[int] = range(CALIBRATION_FOLDS)) -> tuple[int, int]:
         """(positives, rows) of a fold, or of some parts of it."""
@@ -148,8 +148,8 @@ def _part() -> Column:
     return F.pmod("rank", F.lit(CALIBRATION_FOLDS)).cast("int")
 
 
-def prepared(df: DataFrame, folds: Sequence[Fold], columns: Sequence[str]) -> Training:
-    """Rows that some fold trains on, ranked in one pass of running counts, and their sums per first fold and part."""
+def ranked_rows(df: DataFrame, folds: Sequence[Fold], columns: Sequence[str]) -> DataFrame:
+    """Rows ``(first, y, rank, x0, x1, ...)`` that some fold trains on, ranked in one pass of running counts."""
     later = F.array(*[F.lit(f.validation) for f in folds])
     first = F.size(F.filter(later, lambda v: v <= F.col("snapshot_date")))
     numbers = [F.col(c).cast("double") for c in columns]
@@ -158,15 +158,14 @@ def prepared(df: DataFrame, folds: Sequence[Fold], columns: Sequence[str]) -> Tr
         F.lit(1).cast("bigint").alias("one"), *[F.when(~F.isnan(v), v).alias(f"x{j}") for j, v in enumerate(numbers)],
     ).filter(F.col("first") < len(folds))
     ranked = running_sums(rows, ["snapshot_date", "h", "customer_id"], ["one"], partition_by=["y"])
-    cells = [f"x{j}" for j in range(len(columns))]
-    rows = ranked.select("first", "y", (F.col("cum_one") - 1).alias("rank"), *cells)
-    sums = [e.alias(f"{k}{j}") for j, c in enumerate(cells) for k, e in (("avg", F.avg(c)), ("var", F.var_pop(c)), ("n", F.count(c)))]
-    found = rows.groupBy("first", _part().alias("part")).agg(F.count(F.lit(1)).alias("rows"), F.sum("y").alias("pos"), *sums).collect()
-    counts = {
-        (r["first"], r["part"]): (r["rows"], r["pos"], [(r[f"avg{j}"] or 0.0, r[f"var{j}"] or 0.0, r[f"n{j}"]) for j in range(len(columns))])
-        for r in found
-    }
-    return Training(rows, tuple(folds), tuple(columns), counts)
+    return ranked.select("first", "y", (F.col("cum_one") - 1).alias("rank"), *[f"x{j}" for j in range(len(columns))])
+
+
+def _known_counts(rows: DataFrame, size: int) -> dict[tuple[int, int], tuple]:
+    """Rows, positives and known values per column, by first fold and part."""
+    known = [F.count(f"x{j}").alias(f"n{j}") for j in range(size)]
+    found = rows.groupBy("first", _part().alias("part")).agg(F.count(F.lit(1)).alias("rows"), F.sum("y").alias("pos"), *known).collect()
+    return {(r["first"], r["part"]): (r["rows"], r["pos"], [r[f"n{j}"] for j in range(size)]) for r in found}
 
 
 def _merged(moments: Sequence[tuple[float, float, int]]) -> tuple[float, float, int]:
@@ -216,6 +215,48 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _block(first, y, rank % CALIBRATION_FOLDS, x)
 
 
+def _moments_of(found: np.ndarray | None, x: np.ndarray) -> np.ndarray:
+    """Count, mean and sum of squared deviations of the known values per column, added to those found before."""
+    known = ~np.isnan(x)
+    n = known.sum(axis=0).astype(float)
+    mean = np.where(known, x, 0.0).sum(axis=0) / np.maximum(n, 1.0)
+    spread = (np.where(known, x - mean, 0.0) ** 2).sum(axis=0)
+    if found is None:
+        return np.stack([n, mean, spread])
+    both = np.maximum(found[0] + n, 1.0)
+    gap = mean - found[1]
+    return np.stack([found[0] + n, found[1] + gap * n / both, found[2] + spread + gap**2 * found[0] * n / both])
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(first, part, rows, pos, moments) per task: rows and moments by first fold and part."""
+    found: dict[tuple[int, int], tuple[int, int, np.ndarray]] = {}
+    for first, y, part, x in _blocks(batches):
+        for atom in sorted(set(zip(first.tolist(), part.tolist()))):
+            use = (first == atom[0]) & (part == atom[1])
+            rows, pos, moments = found.get(atom, (0, 0, None))
+            found[atom] = rows + int(use.sum()), pos + int(y[use].sum()), _moments_of(moments, x[use])
+    if found:
+        counts = [pa.array([c[i] for c in found.values()], pa.int64()) for i in (0, 1)]
+        atoms = [pa.array([a[i] for a in found], pa.int32()) for i in (0, 1)]
+        moments = pa.array([c[2].ravel() for c in found.values()], pa.list_(pa.float64()))
+        yield pa.RecordBatch.from_arrays([*atoms, *counts, moments], ["first", "part", "rows", "pos", "moments"])
+
+
+def _block_counts(blocks: DataFrame, size: int) -> dict[tuple[int, int], tuple]:
+    """Rows, positives and the mean, variance and count per column, by first fold and part; a few rows per task come to the driver."""
+    found: dict[tuple[int, int], list] = {}
+    for r in blocks.mapInArrow(_counted, "first int, part int, rows long, pos long, moments array<double>").collect():
+        found.setdefault((r["first"], r["part"]), []).append((r["rows"], r["pos"], np.array(r["moments"]).reshape(3, size)))
+    return {
+        atom: (
+            sum(t[0] for t in tasks), sum(t[1] for t in tasks),
+            [_merged([(float(m[1, j]), float(m[2, j] / m[0, j]) if m[0, j] else 0.0, int(m[0, j])) for _, _, m in tasks]) for j in range(size)],
+        )
+        for atom, tasks in found.items()
+    }
+
+
 @dataclass(frozen=True)
 class _Scales:
     """Median, mean and deviation of every column, by group ``(fold, part)``."""
@@ -322,8 +363,10 @@ def fit_calibrated_by_fold(
     on two thirds of the rows, with classes weighted to equal mass and a penalty of strength 1 against the summed loss, has its margin
     calibrated on the third. Thirds hold equal shares of both classes. All folds and thirds are fitted in the same jobs.
     """
-    training = prepared(df, folds, columns)
     parts, size = range(CALIBRATION_FOLDS), len(columns)
+    rows = ranked_rows(df, folds, columns)
+    blocks = stage(rows.mapInArrow(_packed, BLOCKS), "logistic-blocks")
+    training = Training(rows, tuple(folds), tuple(columns), _block_counts(blocks, size))
     groups = [(k, p) for k in range(len(folds)) for p in parts]
     seen = {(k, p): training.totals(k, [q for q in parts if q != p]) for k, p in groups}
     held = {(k, p): training.totals(k, [p]) for k, p in groups}
@@ -341,7 +384,6 @@ def fit_calibrated_by_fold(
         stats[k, p] = _stats_of(columns, seen[k, p][1], [(med, *m) for med, m in zip(middles, moments)])
     scales = _Scales({g: (np.array(s.median), np.array(s.mean), np.array([v or 1.0 for v in s.std])) for g, s in stats.items()})
     balance = {g: (n / (2.0 * (n - pos)), n / (2.0 * pos)) for g, (pos, n) in seen.items()}
-    blocks = stage(training.rows.mapInArrow(_packed, BLOCKS), "logistic-blocks")
     step = _Step({g: np.zeros(size + 1) for g in groups}, balance, scales)
     weights = _newton(blocks, step, np.array([1.0] * size + [0.0]), max_iter)
     # Targets are pulled in from 0 and 1 by the class counts of the calibrating rows.
@@ -393,7 +435,8 @@ def fit_boosted_by_fold(
 ) -> list[BoostedTrees]:
     """Boosted trees of every fold's training rows. Bins are cut once, at exact quantiles of all rows that some fold trains on;
     a missing value counts as the fold's median."""
-    training = prepared(df, folds, columns)
+    rows = ranked_rows(df, folds, columns)
+    training = Training(rows, tuple(folds), tuple(columns), _known_counts(rows, len(columns)))
     counts = {k: training.totals(k) for k in range(len(folds))}
     if any(not 0 < pos < n for pos, n in counts.values()):
         raise RuntimeError("both classes are needed to fit a model")
@@ -401,7 +444,7 @@ def fit_boosted_by_fold(
     cuts = grouped_quantiles(training.rows, names, [i / TREE_BINS for i in range(1, TREE_BINS)])
     layout = boosting.Layout(tuple(tuple(sorted(set(cuts.get(((), n), [0.0])))) for n in names))
     fills = {k: (0,) * len(columns) for k in counts}
-    if any(c[0] > m[2] for c in training.counts.values() for m in c[2]):
+    if any(c[0] > n for c in training.counts.values() for n in c[2]):
         medians = _medians(training, lambda atom: list(range(atom[0], len(folds))))
         middles = {k: np.array([[medians.get((k, n), [0.0])[0] for n in names]]) for k in counts}
         fills = {k: tuple(int(b) for b in layout.binned(m)[0]) for k, m in middles.items()}

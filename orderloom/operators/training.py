@@ -2,7 +2,7 @@
 only sums, trees and fold lists come to the driver.
 
 Frames carry the feature columns, ``target_1`` and unique keys
-``(customer_id, snapshot_date)``; pass staged ones, fits read them many times.
+``(customer_id, snapshot_date)``; pass staged ones or projections of them, fits read them twice.
 Functions that run in executors travel by value.
 """
 

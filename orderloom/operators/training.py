@@ -188,6 +188,8 @@ def _medians(training: Training, groups_of: Callable[[tuple], list]) -> dict:
 
 #: Rows of a block: few enough for their numbers to stay in a core's cache.
 BLOCK_ROWS = 1 << 12
+#: Numbers of a matrix of rows and groups.
+MATRIX = 1 << 15
 BLOCK = {"first": np.int32, "y": np.int8, "part": np.int8, "x": np.float64}
 BLOCKS = "first binary, y binary, part binary, x binary"
 
@@ -206,13 +208,15 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (first, y, rank, numbers) to blocks; a missing number is NaN."""
+    """Rows (first, y, rank, numbers) to blocks, in which rows of one part, first fold and class lie side by side; a missing number is NaN."""
     for batch in batches:
         for at in range(0, batch.num_rows, BLOCK_ROWS):
             cut = batch.slice(at, BLOCK_ROWS)
             first, y, rank = (cut.column(n).to_numpy() for n in ("first", "y", "rank"))
             x = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in cut.columns[3:]], axis=1)
-            yield _block(first, y, rank % CALIBRATION_FOLDS, x)
+            part = rank % CALIBRATION_FOLDS
+            order = np.lexsort((y, first, part))
+            yield _block(first[order], y[order], part[order], x[order])
 
 
 def _moments_of(found: np.ndarray | None, x: np.ndarray) -> np.ndarray:
@@ -272,6 +276,18 @@ class _Scales:
         np.divide(np.subtract(filled, mean, out=z[:, :-1]), std, out=z[:, :-1])
         return z
 
+    def common(self) -> tuple[np.ndarray, np.ndarray]:
+        """A mean and a deviation that are near those of all groups: numbers scaled by them are scaled once for all."""
+        _, mean, std = self.stats[max(self.stats)]
+        return mean, std
+
+    def moved(self, group: tuple[int, int]) -> np.ndarray:
+        """What turns commonly scaled numbers and a one into those that ``scaled`` gives, as a matrix."""
+        (mean, std), (_, own_mean, own_std) = self.common(), self.stats[group]
+        out = np.diag(np.append(std / own_std, 1.0))
+        out[-1, :-1] = (mean - own_mean) / own_std
+        return out
+
 
 @dataclass(frozen=True)
 class _Margins:
@@ -301,28 +317,90 @@ class _Step:
     margins: _Margins | None = None  # calibration: how to get margins, if the blocks hold features
 
     def sums(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(k, p, sums) per task: loss, gradient and curvature."""
-        found: dict[tuple[int, int], np.ndarray] = {}
-        for first, y, part, x in _blocks(self.margins.blocks(batches) if self.margins else batches):
-            for (k, p), w in self.weights.items():
-                use = (first <= k) & ((part != p) if self.scales else (part == p))
-                if use.any():
-                    parts = self._sums_of(k, p, w, x[use] if self.scales else x[use, k], y[use])
-                    found[k, p] = found[k, p] + parts if (k, p) in found else parts
-        if found:
-            columns = [pa.array([g[i] for g in found], pa.int32()) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(list(found.values()), pa.list_(pa.float64()))], ["k", "p", "sums"])
-
-    def _sums_of(self, k: int, p: int, w: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        of_class = np.where(y == 1, self.balance[k, p][1], self.balance[k, p][0])
+        """(k, p, sums) per task: loss, gradient and curvature.
+
+        Rows of one part, first fold and class count for the same groups, with one weight and target each: margins of all these groups are
+        one matrix product, and so are gradients and curvatures."""
+        scales = self.scales or (self.margins.scales if self.margins else None)
+        groups, size = list(self.weights), len(next(iter(self.weights.values())))
+        k, p = (np.array([g[i] for g in groups]) for i in (0, 1))
+        total, filled = np.zeros((2, len(groups), 1 + size + size * size))
+        touched = np.zeros(len(groups), bool)
+        moved = [scales.moved(g) for g in groups] if scales else []
+        linear = self.weights if self.scales else self.margins.weights if scales else {}
+        directions = np.stack([t @ linear[g] for t, g in zip(moved, groups)], axis=1) if scales else None
+        weights = np.stack([self.weights[g] for g in groups], axis=1)
+        balance = np.array([self.balance[g] for g in groups])
+        for first, y, part, x in _blocks(batches):
+            if scales:
+                mean, std = scales.common()
+                whole, common = ~np.isnan(x).any(axis=1), np.ones((len(x), x.shape[1] + 1))
+                common[:, :-1] = (x - mean) / std
+            change = (np.diff(first) != 0) | (np.diff(y) != 0) | (np.diff(part) != 0)
+            bounds = [0, *(np.flatnonzero(change) + 1).tolist(), len(y)]
+            for s, e in zip(bounds, bounds[1:]):
+                use = np.flatnonzero((k >= first[s]) & ((p != part[s]) if self.scales else (p == part[s])))
+                if not len(use):
+                    continue
+                touched[use] = True
+                run, weight = slice(s, e), balance[use, y[s]]
+                known = (common[run] if whole[run].all() else common[run][whole[run]]) if scales else x[run]
+                step = max(1, MATRIX // len(use))
+                for at in range(0, len(known), step):
+                    rows = known[at : at + step]
+                    if self.scales:
+                        self._add_linear(total, use, rows, directions[:, use], weight, int(y[s]))
+                    else:
+                        self._add_calibration(total, use, rows @ directions[:, use] if scales else rows[:, k[use]], weights, weight)
+            if scales and not whole.all():
+                first, y, part, x = (v[~whole] for v in (first, y, part, x))
+                for g, group in enumerate(groups):
+                    use = (first <= k[g]) & ((part != p[g]) if self.scales else (part == p[g]))
+                    for label in np.unique(y[use]):
+                        # A missing number is filled by the group's own median.
+                        z, one, weight = scales.scaled(group, x[use & (y == label)]), np.array([g]), balance[[g], label]
+                        if self.scales:
+                            self._add_linear(filled, one, z, self.weights[group][:, None], weight, int(label))
+                        else:
+                            self._add_calibration(total, one, z @ linear[group][:, None], weights, weight)
         if self.scales:
-            z, target, weight = self.scales.scaled((k, p), x), y.astype(float), of_class
-        else:
-            z, target, weight = np.column_stack([x, np.ones(len(x))]), of_class, np.ones(len(y))
-        m = z @ w
-        q = sigmoid(m)
-        loss = (weight * (np.logaddexp(0, m) - target * m)).sum()
-        return np.concatenate([[loss], z.T @ (weight * (q - target)), (z.T @ (z * (weight * q * (1 - q))[:, None])).ravel()])
+            total = filled + np.stack([self._moved(t, m, size) for t, m in zip(total, moved)])
+        if touched.any():
+            columns = [pa.array(v[touched], pa.int32()) for v in (k, p)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(list(total[touched]), pa.list_(pa.float64()))], ["k", "p", "sums"])
+
+    @staticmethod
+    def _moved(sums: np.ndarray, by: np.ndarray, size: int) -> np.ndarray:
+        """Gradient and curvature of commonly scaled numbers as those of a group's own."""
+        curve = by.T @ sums[1 + size :].reshape(size, size) @ by
+        return np.concatenate([sums[:1], by.T @ sums[1 : 1 + size], curve.ravel()])
+
+    @staticmethod
+    def _logistic(m: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Loss for target 0, probability, and their product's curvature."""
+        e = np.exp(-np.abs(m))
+        d = 1 / (1 + e)
+        q = np.where(m >= 0, d, e * d)
+        return np.maximum(m, 0) - np.log(d), q, e * d * d
+
+    def _add_linear(self, total: np.ndarray, use: np.ndarray, z: np.ndarray, directions: np.ndarray, weight: np.ndarray, target: int) -> None:
+        """Rows of one class, ``weight`` and direction by group."""
+        m = z @ directions
+        loss, q, c = self._logistic(m)
+        size = z.shape[1]
+        i, j = np.triu_indices(size)
+        half = (z[:, i] * z[:, j]).T @ c
+        curve = np.empty((size * size, len(use)))
+        curve[i * size + j], curve[j * size + i] = half, half
+        found = [(loss - m if target else loss).sum(axis=0)[None], z.T @ (q - target), curve]
+        total[use] += (np.concatenate(found) * weight).T
+
+    def _add_calibration(self, total: np.ndarray, use: np.ndarray, m: np.ndarray, weights: np.ndarray, target: np.ndarray) -> None:
+        s = m * weights[0, use] + weights[1, use]
+        loss, q, c = self._logistic(s)
+        off, cm = q - target, c * m
+        found = [(loss - target * s).sum(axis=0), (off * m).sum(axis=0), off.sum(axis=0), (cm * m).sum(axis=0), cm.sum(axis=0), cm.sum(axis=0), c.sum(axis=0)]
+        total[use] += np.stack(found, axis=1)
 
 
 def _newton(rows: DataFrame, step: _Step, ridge: np.ndarray, max_iter: int) -> dict[tuple[int, int], np.ndarray]:

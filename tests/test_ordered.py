@@ -4,6 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from orderloom.functions import quantiles
 from orderloom.functions.ordered import running_sums
 from orderloom.functions.quantiles import exact_quantiles, grouped_quantiles, quantile_bin
 
@@ -78,3 +79,15 @@ def test_bins_follow_quantile_cut(spark, seed, decimals):
     got = df.withColumn("e", edges).select("x", quantile_bin(F.col("x"), F.col("e")).alias("b")).toPandas()
     expected = pd.qcut(pd.Series(xs), 10, labels=False, duplicates="drop") + 1
     assert dict(zip(got.x, got.b)) == dict(zip(xs, expected))
+
+
+def test_quantiles_count_values_in_arrow_batches(spark):
+    """Not by a binary search in an expression; missing values and both zeros."""
+    values = [None, float("nan"), -0.0, 0.0, -3.5, 1.5, 2.5, 1e308, -1e308, 0.0]
+    df = spark.createDataFrame([(i % 2, v) for i, v in enumerate(values)], "t int, v double")
+    found = grouped_quantiles(df, ["v"], [0.0, 0.5, 1.0], ["t"], lambda atom: [atom[0], "both"])
+    assert found["both", "v"] == [-1e308, 0.0, 1e308] and found[0, "v"] == [-1e308, -1.75, 2.5] and found[1, "v"] == [0.0, 0.75, 1e308]
+    counted = quantiles._Pass([(0, (0.0, 2.0)), (0, (2.25, 3.0))]).counts(df, ["t"], ["v"], 4)
+    assert "MapInArrow" in counted._jdf.queryExecution().executedPlan().toString()
+    rows = sorted((r["atom0"], r["i"], r["cell"], r["n"], r["lo"], r["hi"]) for r in counted.collect())
+    assert rows == [(0, 0, 0, 1, 0.0, 0.0), (0, 1, 1, 1, 2.5, 2.5), (1, 0, 0, 2, 0.0, 0.0), (1, 0, 3, 1, 1.5, 1.5)]

@@ -243,3 +243,115 @@ def test_margins_in_every_step_equal_margins_worked_out_once(data):
         alone = training.fit_calibrated_logistic(data.filter(F.col("snapshot_date") < F.lit(fold.validation)), COLUMNS)
         for a, b in zip(model.parts, alone.parts):
             assert [*a.weights, a.intercept, a.slope, a.offset] == pytest.approx([*b.weights, b.intercept, b.slope, b.offset], abs=1e-6)
+
+
+def test_each_fold_has_a_task_of_its_own(data, monkeypatch):
+    """Dealt by hash, some tasks got three folds and others none."""
+
+    def seen(layout, settings, fills, sizes):
+        def look(batches):
+            import pyarrow as pa
+
+            own = sorted({k for b in batches for k in b.column("k").to_pylist()})
+            if own:
+                columns = [pa.array([v], t) for v, t in zip((own[0], len(own), *[[]] * 5), [pa.int32()] * 2 + [pa.list_(pa.int32())] * 4 + [pa.list_(pa.float64())])]
+                yield pa.RecordBatch.from_arrays(columns, ["k", "tree", "feature", "bin", "left", "right", "value"])
+
+        return look
+
+    found = []
+    tree = boosting.Tree
+    monkeypatch.setattr(boosting, "_fold_grower", seen)
+    monkeypatch.setattr(boosting, "Model", lambda layout, fill, trees: trees)
+    monkeypatch.setattr(boosting, "Tree", lambda *a: found.append(a) or tree(*a))
+    layout = boosting.Layout(((0.5,),) * 2)
+    rows = boosting.binned_rows(data, layout, COLUMNS, F.month("snapshot_date") - 1, F.col("target_1"), F.lit(False))
+    counts = {k: (1, 10 * (k + 1)) for k in range(12)}
+    models = boosting.grow_folds(rows, layout, boosting.Settings(1, 1, 0.1, 1, 2), counts, {k: (0, 0) for k in counts})
+    assert sorted(models) == list(range(12)) and len(found) == 12
+
+
+def test_only_the_smaller_sibling_is_counted(monkeypatch):
+    """Six levels of six nodes' rows would be six passes over all rows."""
+    rng = np.random.default_rng(4)
+    layout = boosting.Layout((tuple(np.linspace(-2, 2, 31)),) * 3)
+    bins = layout.binned(rng.normal(size=(5000, 3)))
+    y = (rng.random(5000) < 0.1 + 0.02 * bins[:, 0]).astype(float)
+    counted = []
+    sums = boosting.Coding.sums
+    monkeypatch.setattr(boosting.Coding, "sums", lambda self, words, g: counted.append(len(g)) or sums(self, words, g))
+    _, trees = boosting.grow_whole(layout, bins, y, np.zeros(5000, bool), boosting.Settings(1, 6, 0.1, 20, 255))
+    assert len(trees) == 1 and counted[0] == 5000 and sum(counted[1:]) <= 5 * 5000 / 2
+
+
+def test_packed_rows_give_the_sums_of_plain_ones():
+    """Bins of many widths, in more than one word, and splits that few rows on a side forbid."""
+    rng = np.random.default_rng(6)
+    widths = [1, 2, 255, 3, 200, 17, 255, 256, 9, 255, 255, 130]
+    layout = boosting.Layout(tuple(tuple(float(i) for i in range(w - 1)) for w in widths))
+    bins = np.stack([rng.integers(0, w, 3000) for w in widths], axis=1).astype(np.int16)
+    y, coding = (rng.random(3000) < 0.2).astype(float), boosting.Coding(layout)
+    words, margin = coding.packed(bins, y), rng.normal(size=3000)
+    assert coding.words > 1 and np.array_equal(words[0] < 0, y == 1)
+    g = boosting.gradients(margin, y)
+    plain = boosting.histograms(layout, bins, np.zeros(3000, int), 1, g, boosting.curvatures(g))[0]
+    assert np.array_equal(coding.sums(words, g), plain[:, :2]) and np.array_equal(coding.counts(words), plain[:, 2])
+    p = 1 / (1 + np.exp(-margin))
+    assert np.abs(g * boosting.UNIT - (p - y)).max() < 1e-9 and np.abs(boosting.curvatures(g) * boosting.UNIT - p * (1 - p)).max() < 2e-9
+    for leaf_rows in (1, 40, 700, 1400, 1600):
+        expected = boosting.best_splits(layout, (plain * [boosting.UNIT, boosting.UNIT, 1])[None], leaf_rows)[0]
+        found = coding.best(words, plain[:, :2], leaf_rows)
+        assert (found and (found.gain, found.feature, found.bin)) == (expected and (expected.gain, expected.feature, expected.bin))
+
+
+def test_newton_sums_of_blocks_equal_sums_row_by_row(monkeypatch):
+    """Missing numbers, groups of several folds; rows of a kind in one matrix product and not once per group."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(8)
+    n, folds = 900, 4
+    x = rng.gamma(2.0, 50.0, (n, 2))
+    x[::40, 1] = np.nan
+    first, y, rank = rng.integers(0, folds, n), rng.integers(0, 2, n), rng.permutation(n)
+    batch = pa.RecordBatch.from_arrays([pa.array(first, pa.int32()), pa.array(y, pa.int32()), pa.array(rank), *map(pa.array, x.T)], ["first", "y", "rank", "x0", "x1"])
+    blocks = list(training._packed(iter([batch])))
+    groups = [(k, p) for k in range(folds) for p in range(3)]
+    scales = training._Scales({(k, p): (np.array([90.0 + k, 80.0 + p]), np.array([100.0 + k, 99.0]), np.array([70.0, 71.0 + p])) for k, p in groups})
+    weights = {(k, p): np.array([0.3, -0.1 * p, 0.02 * k]) for k, p in groups}
+    balance = {g: (0.6, 2.5) for g in groups}
+    calls = []
+    linear = training._Step._add_linear
+    monkeypatch.setattr(training._Step, "_add_linear", lambda self, total, use, z, *rest: calls.append(len(use)) or linear(self, total, use, z, *rest))
+
+    def found(step):
+        return {(r["k"], r["p"]): np.array(r["sums"]) for b in step.sums(iter(blocks)) for r in pa.Table.from_batches([b]).to_pylist()}
+
+    sums = found(training._Step(weights, balance, scales))
+    assert max(calls) == 8
+    for k, p in groups:
+        use = (first <= k) & (rank % 3 != p)
+        z, w = scales.scaled((k, p), x[use]), np.where(y[use] == 1, 2.5, 0.6)
+        m = z @ weights[k, p]
+        q = 1 / (1 + np.exp(-m))
+        curve = z.T @ (z * (w * q * (1 - q))[:, None])
+        expected = np.concatenate([[(w * (np.logaddexp(0, m) - y[use] * m)).sum()], z.T @ (w * (q - y[use])), curve.ravel()])
+        assert sums[k, p] == pytest.approx(expected, rel=1e-9, abs=1e-9)
+    targets = {g: (0.01, 0.9) for g in groups}
+    sums = found(training._Step({g: np.array([1.2, 0.1]) for g in groups}, targets, margins=training._Margins(folds, scales, weights)))
+    for k, p in groups:
+        use = (first <= k) & (rank % 3 == p)
+        m, t = scales.scaled((k, p), x[use]) @ weights[k, p], np.where(y[use] == 1, 0.9, 0.01)
+        z = np.column_stack([m, np.ones(len(m))])
+        s = z @ [1.2, 0.1]
+        q = 1 / (1 + np.exp(-s))
+        expected = np.concatenate([[(np.logaddexp(0, s) - t * s).sum()], z.T @ (q - t), (z.T @ (z * (q * (1 - q))[:, None])).ravel()])
+        assert sums[k, p] == pytest.approx(expected, rel=1e-9, abs=1e-9)
+
+
+def test_the_fit_on_all_rows_runs_beside_the_folds():
+    from threading import Barrier
+
+    from orderloom.plans.training import side_by_side
+
+    met = Barrier(2, timeout=20)
+    assert side_by_side(lambda: (met.wait(), 1)[1], lambda: (met.wait(), 2)[1]) == [1, 2]
